@@ -115,8 +115,8 @@ def _direct(path: str):
 
 def _chunks(path: str, chunk_chars: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = unigram(path)
         for row, texts in rows(batches, ["row", "text"], 1):
+            model = unigram(path)
             text = model.normalize(texts[0])
             starts = range(0, max(1, len(text)), chunk_chars)
             for k, a in enumerate(starts):
@@ -131,9 +131,8 @@ def _each(path: str, extra: list[str], make, out: str, kind: pa.DataType, ddl: s
     schema = pa.schema([("row", pa.int64()), ("chunk", pa.int32()), (out, kind)])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = unigram(path)
         for row, chunk, *args in rows(batches, ["row", "chunk", "body", "size", *extra], 1):
-            yield batch(schema, [row, chunk, [make(model, *(x[0] for x in args))]])
+            yield batch(schema, [row, chunk, [make(unigram(path), *(x[0] for x in args))]])
 
     return chunks.mapInArrow(run, f"row bigint, chunk int, {out} {ddl}")
 
