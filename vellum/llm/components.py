@@ -9,7 +9,9 @@ from vellum.llm.common import forget, materialize
 
 
 def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
-    """(node, component): component is the smallest node reachable. Nodes without an edge are absent.
+    """(node, component): component is the smallest node reachable.
+
+    Nodes without an edge, and the smallest node of each component, are absent: they are their own component.
 
     Large-star links every larger neighbour of a node to the smallest node of its
     neighbourhood; small-star does so for smaller neighbours. Each round is two

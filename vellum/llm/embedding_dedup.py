@@ -48,8 +48,8 @@ def _units(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch(_VEC, [ids, labels, [None if v is None else len(v) // 8 for v in found], found])
 
 
-def greedy(x: np.ndarray, adjacent: np.ndarray, queries: np.ndarray, start: int, beam: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Beam search of many queries in step: (beam nodes, their similarities, nodes seen by each query)."""
+def greedy(x: np.ndarray, adjacent: np.ndarray, queries: np.ndarray, start: int, beam: int) -> tuple[np.ndarray, np.ndarray]:
+    """Beam search of many queries in step: (beam nodes, their similarities)."""
     b, n = len(queries), len(x)
     node = np.full((b, beam), -1)
     sim = np.full((b, beam), -np.inf)
@@ -72,7 +72,7 @@ def greedy(x: np.ndarray, adjacent: np.ndarray, queries: np.ndarray, start: int,
         top = np.argsort(-sims, axis=1, kind="stable")[:, :beam]
         node[every], sim[every], open_[every] = (np.take_along_axis(v, top, axis=1) for v in (nodes, sims, opens))
         open_[every] &= sim[every] > -np.inf
-    return node, sim, seen
+    return node, sim
 
 
 def robust_prune(x: np.ndarray, points: np.ndarray, candidates: np.ndarray, degree: int, alpha: float) -> np.ndarray:
@@ -123,7 +123,7 @@ def build(x: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alpha: float =
     start, order = medoid(x), rng.permutation(n)
     for i in range(0, n, BATCH):
         points = order[i : i + BATCH]
-        found, _, _ = greedy(x, adjacent, x[points], start, beam)
+        found, _ = greedy(x, adjacent, x[points], start, beam)
         adjacent[points] = robust_prune(x, points, np.concatenate([found, adjacent[points]], axis=1), degree, alpha)
         # Link back: the new neighbours of each target, at most `degree` of them at a time.
         source, target = np.repeat(points, degree), adjacent[points].ravel()
@@ -150,7 +150,10 @@ def range_search(x: np.ndarray, adjacent: np.ndarray, threshold: float, beam: in
     start = medoid(x)
     for i in range(0, n, BATCH):
         q = np.arange(i, min(n, i + BATCH))
-        node, sim, seen = greedy(x, adjacent, x[q], start, beam)
+        node, sim = greedy(x, adjacent, x[q], start, beam)
+        # Nodes that a full beam dropped may be in range: only the beam counts as visited.
+        seen = np.zeros((len(q), n + 1), bool)
+        seen[np.arange(len(q))[:, None], node] = True
         a, k = np.nonzero(sim >= threshold - margin)
         front = node[a, k]
         found[q[a], front] |= sim[a, k] >= threshold
