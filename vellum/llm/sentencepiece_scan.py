@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
@@ -103,10 +104,16 @@ def trace(model: Unigram, body: str, size: int, scores: np.ndarray, state: int)
     return [i for part in reversed(out) for i in part]
 
 
+@lru_cache(maxsize=4)
+def _id_cache(path: str) -> UnitCache:
+    """One cache for each Python worker."""
+    model = unigram(path)
+    return UnitCache(model, lambda unit: array("I", model.segment(unit)).tobytes(), b"".join)
+
+
 def _direct(path: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = unigram(path)
-        cache = UnitCache(model, lambda unit: array("I", model.segment(unit)).tobytes(), b"".join)
+        model, cache = unigram(path), _id_cache(path)
         for ids, texts in rows(batches, ["doc_id", "text"]):
             yield batch(_IDS, [ids, texts, [cache.value(model.normalize(t)) for t in texts], [1] * len(ids)])
 
@@ -147,9 +154,11 @@ def _per_document(df: DataFrame, column: str, scan, out: str, ddl: str) -> DataF
     return df.groupBy("row").applyInPandas(run, f"row bigint, chunk int, {out} {ddl}")
 
 
-def _encode_giants(giants: DataFrame, path: str, chunk_chars: int) -> DataFrame:
+def _encode_giants(giants: DataFrame, path: str, chunk_chars: int) -> DataFrame | None:
     spark = giants.sparkSession
     keyed, _ = materialize(giants.withColumn("row", F.monotonically_increasing_id()), "giant-documents")
+    if keyed.isEmpty():
+        return None
     chunks, _ = materialize(keyed.select("row", "text").mapInArrow(_chunks(path, chunk_chars), "row bigint, chunk int, n_chunks int, size int, body string"), "giant-chunks")
     chunks = chunks.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "row", "chunk")
     states = unigram(path).longest
@@ -175,7 +184,8 @@ def encode(docs: DataFrame, model_path: str | None = None, chunk_chars: int = CH
     path = model_path or default_path()
     wanted = id_text(docs, id_col, text_col)
     short = wanted.where(F.char_length("text") <= chunk_chars).mapInArrow(_direct(path), _IDS_DDL)
-    return short.unionByName(_encode_giants(wanted.where(F.char_length("text") > chunk_chars), path, chunk_chars))
+    giants = _encode_giants(wanted.where(F.char_length("text") > chunk_chars), path, chunk_chars)
+    return short if giants is None else short.unionByName(giants)
 
 
 def decode(encoded: DataFrame, model_path: str | None = None, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:

@@ -8,6 +8,7 @@ back. Ties go as in the tokenizer: to the piece that starts first.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -46,6 +47,13 @@ def count_pieces(model: Unigram, text: str) -> int:
     return count[n]
 
 
+@lru_cache(maxsize=4)
+def _count_cache(path: str) -> UnitCache:
+    """One cache for each Python worker."""
+    model = unigram(path)
+    return UnitCache(model, lambda unit: count_pieces(model, unit), sum)
+
+
 def token_counts(docs: DataFrame, model_path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_tokens, n_chars.
 
@@ -56,8 +64,7 @@ def token_counts(docs: DataFrame, model_path: str | None = None, id_col: str = "
     path = model_path or default_path()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = unigram(path)
-        cache = UnitCache(model, lambda unit: count_pieces(model, unit), sum)
+        model, cache = unigram(path), _count_cache(path)
         for ids, texts in rows(batches, ["doc_id", "text"]):
             yield batch(_OUT, [ids, [cache.value(model.normalize(t)) for t in texts], list(map(len, texts))])
 
