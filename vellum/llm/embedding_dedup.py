@@ -1,7 +1,7 @@
 """Operator 3, embedding near-dedup: a robust-pruned flat graph over overlapping cluster shards.
 
 Vectors of one label and dimension are split into shards around sampled centres, each
-vector going to its two nearest; shards that are still large are split again. In a shard
+vector going to its three nearest; shards that are still large are split again. In a shard
 a flat graph is built: nodes search for their place from the medoid, keep neighbours by
 robust pruning and are linked back. The adjacency lists that a vector got in its shards
 are united. On the united lists every vector searches from its shard's medoid with a
@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 from vellum.llm.common import batch, materialize, rows
 from vellum.llm.components import connected_components
 
-DEGREE, BEAM, ALPHA, BATCH = 24, 48, 1.2, 256
-SHARD, COPIES, CENTRES = 2000, 2, 256
+DEGREE, BEAM, ALPHA, BATCH = 16, 32, 1.2, 256
+#: Members a shard has on average, shards that a vector goes to, and centres of one split at most.
+SHARD, COPIES, CENTRES = 600, 3, 256
 _VEC = pa.schema([("vec_id", pa.int64()), ("label", pa.string()), ("dim", pa.int32()), ("vec", pa.binary())])
 _MEMBER = pa.schema([("shard", pa.string()), ("rep", pa.int64()), ("vec", pa.binary()), ("n", pa.int64())])
 
@@ -215,14 +216,24 @@ def _search_shard(threshold: float):
     return run
 
 
-def _assign(copies: int):
+def spread(centres: np.ndarray, closest: float = 0.9) -> np.ndarray:
+    """The centres without those that lie close to an earlier one: a dense group then has one centre and stays together."""
+    kept: list[int] = []
+    for i, s in enumerate(centres @ centres.T):
+        if not (s[kept] >= closest).any():
+            kept.append(i)
+    return centres[kept]
+
+
+def _assign(copies: int, thin: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shards, reps, vecs, ns, centres in rows(batches, ["shard", "rep", "vec", "n", "centres"], 1024):
             out = []
             for shard in set(shards):
                 at = [i for i, s in enumerate(shards) if s == shard]
                 c = _matrix(centres[at[0]])
-                top = np.argsort(-(_matrix([vecs[i] for i in at]) @ c.T), axis=1, kind="stable")[:, :copies]
+                c = spread(c) if thin else c
+                top = np.argsort(-(_matrix([vecs[i] for i in at]) @ c.T), axis=1, kind="stable")[:, : max(1, min(copies, len(c) - 1))]
                 out += [(f"{shard}.{k:03d}", reps[i], vecs[i], ns[i]) for i, near in zip(at, top.tolist(), strict=True) for k in near]
             yield batch(_MEMBER, list(map(list, zip(*out, strict=True))))
 
@@ -230,17 +241,21 @@ def _assign(copies: int):
 
 
 def _shards(groups: DataFrame, size: int, copies: int) -> DataFrame:
-    """shard, rep, vec, n: split until no shard has over twice ``size`` times ``copies`` members."""
+    """shard, rep, vec, n: groups of over ``size`` members are split, then shards of over four times ``size``.
+
+    The first split keeps dense groups together, which finds all their links; later ones,
+    which only shards get that would else grow too large, cut through them.
+    """
     members = groups.select(F.concat_ws("/", F.hex("label"), F.col("dim").cast("string")).alias("shard"), "rep", "vec", "n")
     for level in range(8):
         sizes = members.groupBy("shard").agg(F.count("*").alias("size"))
-        large, _ = materialize(sizes.where(F.col("size") > (size if level == 0 else 2 * size * copies)), "shard-sizes")
+        large, _ = materialize(sizes.where(F.col("size") > (size if level == 0 else 4 * size)), "shard-sizes")
         if large.isEmpty():
             break
-        # About size / `size` centres of each large shard, drawn by a hash; their number is bounded.
-        drawn = members.join(large, "shard").where(F.pmod(F.xxhash64(F.lit(level), "rep"), F.col("size")) < F.least(F.lit(CENTRES), F.ceil(F.col("size") / size) + copies))
+        # Centres are drawn by a hash, so many that a shard has about `size` members; their number is bounded.
+        drawn = members.join(large, "shard").where(F.pmod(F.xxhash64(F.lit(level), "rep"), F.col("size")) < F.least(F.lit(CENTRES), F.ceil(F.col("size") * copies / size) + 1))
         centres = drawn.groupBy("shard").agg(F.transform(F.array_sort(F.collect_list(F.struct("rep", "vec"))), lambda s: s["vec"]).alias("centres")).where(F.size("centres") > copies)
-        split = members.join(centres, "shard").mapInArrow(_assign(copies), "shard string, rep bigint, vec binary, n bigint")
+        split = members.join(centres, "shard").mapInArrow(_assign(copies, level == 0), "shard string, rep bigint, vec binary, n bigint")
         members, _ = materialize(members.join(centres, "shard", "left_anti").unionByName(split), "shard-members")
     return members
 
