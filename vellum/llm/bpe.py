@@ -14,7 +14,7 @@ import os
 
 import numpy as np
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 _VISIBLE = frozenset(map(chr, range(33, 127)))
 
 
@@ -40,7 +40,11 @@ class WordEncoder:
         self.dtype = id_dtype(self.tokenizer.get_vocab_size())
         self.cache: dict[str, bytes] = {}
         self.cache_words = cache_words
-        self.met = bytearray(1 << 22)
+        self.met = bytearray(1 << 24)
+        # In a byte-level vocabulary a token's string has one character for each of its bytes.
+        self.token_bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.tokenizer.get_vocab_size())])
+
+        self.marks = {m: np.array(self.tokenizer.encode(m, add_special_tokens=False).ids, dtype=self.dtype).tobytes() for m in ",."}
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         fresh: dict[str, bytes] = {}
@@ -63,7 +67,8 @@ class WordEncoder:
         if not text:
             return []
         pieces = text.replace("\n", " \n").split(" ")
-        plan = list(map(self.cache.get, pieces))
+        get = self.cache.get
+        plan = list(map(get, pieces))
         first = "\n" + pieces[0]  # encoded behind a newline, which is cut off again
         plan[0] = None
         if all(plan[1:]):
@@ -76,6 +81,10 @@ class WordEncoder:
             if not _clean(p[1:] if i and p[:1] == "\n" else p):
                 doubtful = True
                 break
+            if i and p[-1] in ",." and p[-2:-1].isalpha() and (x := get(p[:-1])):
+                # Letters and a mark behind them are always words of their own.
+                plan[i] = x + self.marks[p[-1]]
+                continue
             plan[i] = unit = first if i == 0 else p if p[0] == "\n" else " " + p
             fresh[unit if i else "\0" + unit] = b""
             if i == 0:
@@ -104,25 +113,23 @@ class WordEncoder:
         return plan
 
     def _encode_fresh(self, fresh: dict[str, bytes]) -> None:
-        """One call of the library for many units; token offsets tell the units apart."""
-        units = list(fresh)
+        """One call of the library for many units; the tokens' lengths tell the units apart."""
+        units, size = list(fresh), self.dtype.itemsize
         for k in range(0, len(units), 20_000):
             part = units[k : k + 20_000]
             texts = [u[1:] if u[0] == "\0" else u for u in part]
             # A newline before all units keeps the first one from standing at the start of a text.
-            e = self.tokenizer.encode("\n" * (texts[0][0] != "\n") + "".join(texts), add_special_tokens=False)
-            ends = np.cumsum([len(t) for t in texts]) + (texts[0][0] != "\n")
-            starts = np.fromiter((o[0] for o in e.offsets), dtype=np.int64, count=len(e.offsets))
-            ids = np.array(e.ids, dtype=self.dtype).tobytes()
-            size = self.dtype.itemsize
-            at = (np.searchsorted(starts, ends) * size).tolist()
-            low = int(np.searchsorted(starts, int(texts[0][0] != "\n"))) * size
+            (e,) = self.tokenizer.encode_batch_fast(["\n" + "".join(texts)], add_special_tokens=False)
+            found = np.array(e.ids, dtype=self.dtype)
+            ends = 1 + np.cumsum([len(t) if t.isascii() else len(t.encode("utf-8", "surrogatepass")) for t in texts])
+            at = (np.searchsorted(np.cumsum(self.token_bytes[found]), ends, side="right") * size).tolist()
+            ids, low = found.tobytes(), size
             for u, high in zip(part, at, strict=True):
                 # Behind a cut-off newline: one token, as a newline before a visible character is a word of its own.
                 fresh[u] = ids[low + size : high] if u[0] == "\0" else ids[low:high]
                 low = high
                 if u[0] != "\0" and len(u) <= 64:
-                    mark = hash(u) & 0x3FFFFF
+                    mark = hash(u) & 0xFFFFFF
                     if self.met[mark]:
                         if len(self.cache) >= self.cache_words:
                             self.cache.clear()
