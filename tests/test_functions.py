@@ -2,12 +2,16 @@
 
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from vellum.functions import captions as C
 from vellum.functions import predicates as P
 from vellum.functions import text as T
+from vellum.operators import articles as R
 from vellum.operators import labels as L
+from vellum.operators import pixels as I
 from vellum.operators import taxonomy as X
 from vellum.plans.query import CLINICAL, DatasetBuilder, validate
 from vellum.sources.exports import export
@@ -72,3 +76,46 @@ def test_captions(spark):
     assert [r[0] for r in df.select(T.fix_caption(F.col("c"))).collect()] == ["A mass in the lung.", "Medical image."]
     df = spark.createDataFrame([("['mri', \"it's\"]",), ("plain",), (None,)], "c string")
     assert [r[0] for r in df.select(T.parse_list_column(F.col("c"))).collect()] == [["mri", "it's"], ["plain"], None]
+
+
+def test_caption_parts(spark):
+    caption = "Brain CT scan. There is a mass in the frontal lobe (A-C) and an intracerebral hemorrhage in the right parietotemporal lobe (C and D)."
+    mass, bleed = "There is a mass in the frontal lobe.", "An intracerebral hemorrhage in the right parietotemporal lobe."
+    want = {"A": [mass], "B": [mass], "C": [mass, bleed], "D": [bleed]}
+    assert {p["reference"]: p["caption"] for p in C.segment(caption)} == {r: " ".join(["Brain CT scan.", *t]) for r, t in want.items()}
+    got = C.segment("a: Chest X-ray of 2.5 cm. b: Abdomen. It is normal.")
+    assert got == [{"reference": "a", "caption": "Chest X-ray of 2.5 cm."}, {"reference": "b", "caption": "Abdomen. It is normal."}]
+    assert [p["reference"] for p in C.segment("Lung (left) and liver (right).")] == ["left", "right"]
+    assert C.segment("One scan.") == [{"reference": "undivided", "caption": "One scan."}]
+    assert C.segment(None) == [] and C.expand("D-A") == ["D", "manual_review_needed"]
+    df = spark.createDataFrame([("Ct (A). Mri (B).",), (None,)], "t string")
+    rows = [r[0] for r in df.select(C.segment_caption("t")).collect()]
+    assert [[p["reference"] for p in r or []] for r in rows] == [["A", "B"], []]
+
+
+def test_case_paragraphs_and_captions(spark):
+    rows = [(1, [("CASE", "x", "p1"), ("INTRO", "case", "p2")]), (2, [("INTRO", "A case", "p3")]), (3, [("INTRO", "x", "A 40-year-old man."), ("INTRO", None, "no")]), (4, []), (5, None)]
+    df = spark.createDataFrame(rows, "id int, s array<struct<kind string, title string, text string>>")
+    got = {r[0]: r[1] for r in df.select("id", R.case_paragraphs(F.col("s"))).collect()}
+    assert got == {1: ["p1"], 2: ["p3"], 3: ["A 40-year-old man."], 4: [], 5: []}
+    c = spark.createDataFrame([("a", "f", 3, "two", "t3"), ("a", "f", 1, "one", "t1"), ("a", "g", 2, "x", "t2"), ("b", "f", 9, "y", "t9")], "article string, file string, o int, text string, tag string")
+    merged = {tuple(r) for r in R.merge_captions(c, "article", "file", "o", "text", "tag").select("article", "file", "o", "text", "tag").collect()}
+    assert merged == {("a", "f", 1, "one. two", "t1"), ("a", "g", 2, "x", "t2"), ("b", "f", 1, "y", "t9")}
+    t = spark.createDataFrame([("A review",), ("Case review",), ("Study",), (None,)], "t string")
+    assert [r[0] for r in t.select(R.is_noise(F.col("t"))).collect()] == [True, False, True, False]
+
+
+def test_image_parts(spark):
+    rng = np.random.default_rng(0)
+    a = np.full((220, 320, 3), 255, np.uint8)
+    for y, x in ((10, 10), (10, 170), (120, 10)):
+        a[y : y + 80, x : x + 120] = rng.integers(0, 255, (80, 120, 1))
+    image = lambda v: {"height": v.shape[0], "width": v.shape[1], "nChannels": v.shape[2], "data": v.tobytes()}
+    schema = "id int, image struct<height int, width int, nChannels int, data binary>"
+    df = spark.createDataFrame([(1, image(a)), (2, image(np.full((60, 60, 1), 255, np.uint8))), (3, None)], schema)
+    got = sorted(I.split_images(df).drop("data").collect())
+    assert [(r["id"], r["part"]) for r in got] == [(1, 1), (1, 2), (1, 3)]
+    for r, (y, x) in zip(got, ((10, 10), (10, 170), (120, 10)), strict=True):
+        assert max(abs(r["y0"] - y), abs(r["x0"] - x), abs(r["y1"] - y - 80), abs(r["x1"] - x - 120)) <= 12
+    s = spark.createDataFrame([(None, 2), (0, 2), (2, 2), (3, 2)], "f int, w int").select(I.split_status(F.col("f"), F.col("w")))
+    assert [r[0] for r in s.collect()] == ["image-not-found", "zero-output-amount", "ok", "incorrect-output-amount"]
