@@ -119,3 +119,9 @@ def test_image_parts(spark):
         assert max(abs(r["y0"] - y), abs(r["x0"] - x), abs(r["y1"] - y - 80), abs(r["x1"] - x - 120)) <= 12
     s = spark.createDataFrame([(None, 2), (0, 2), (2, 2), (3, 2)], "f int, w int").select(I.split_status(F.col("f"), F.col("w")))
     assert [r[0] for r in s.collect()] == ["image-not-found", "zero-output-amount", "ok", "incorrect-output-amount"]
+
+
+def test_owl_round_trip():
+    t = X.Taxonomy({"tree": ["taxonomy"], "a": ["tree"], "b": ["tree"], "size": ["taxonomy"], "s": ["size"], "l": ["size"]}, {"a": ["size"]}, {"sa": ["s", "a"]}, {"lb": ["l", "b"]})
+    text = X.to_owl(t, {"a": {"Description": "<first> & one"}})
+    assert X.parse_owl(text) == t and "DisjointUnion" in text and "&lt;first&gt; &amp; one" in text

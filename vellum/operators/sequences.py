@@ -93,3 +93,9 @@ def shards(df: DataFrame, n: int, order: list[str], total: int, name: str = "sha
 def grid_order(df: DataFrame, y: str, x: str, cell: int = 50) -> DataFrame:
     """Rows by cell: top to bottom, then left to right."""
     return df.orderBy(F.floor(F.col(y) / cell), F.floor(F.col(x) / cell), y, x)
+
+
+def grid_rank(df: DataFrame, group: str, y: str, x: str, ties: list[str], cell: int = 50, name: str = "rank") -> DataFrame:
+    """Place of each box in its group's reading order: rows of cells from above, then from the left."""
+    w = Window.partitionBy(group).orderBy(F.floor(F.col(y) / cell), F.floor(F.col(x) / cell), *ties)
+    return df.withColumn(name, F.row_number().over(w))

@@ -149,6 +149,48 @@ def parse_owl(text: str, root: str = "taxonomy") -> Taxonomy:
     return out
 
 
+def to_owl(taxonomy: Taxonomy, notes: dict[str, dict[str, str]] | None = None, base: str = "urn:taxonomy") -> str:
+    """OWL/XML that ``parse_owl`` reads back: subclass axioms, restrictions, disjoint unions of siblings, labels and ``notes``."""
+    top = ET.Element("Ontology", {"xmlns": "http://www.w3.org/2002/07/owl#", "ontologyIRI": base})
+    iri = lambda name: f"{base}#{name}"
+    props = {"has_subsidiary_tree": taxonomy.subsidiary, "maps_to": taxonomy.maps_to, "is_composed_by": taxonomy.composed_by}
+    kids = taxonomy.children()
+    named = [taxonomy.root, *taxonomy.parents]
+    named += sorted({c for table in props.values() for s, ds in table.items() for c in (s, *ds)} - set(named))
+
+    def add(parent: ET.Element, kind: str, name: str | None = None) -> ET.Element:
+        return ET.SubElement(parent, kind, {"IRI": iri(name)} if name else {})
+
+    for kind, names in (("Class", named), ("ObjectProperty", list(props))):
+        for name in names:
+            add(add(top, "Declaration"), kind, name)
+    for child, parents in taxonomy.parents.items():
+        for parent in parents:
+            axiom = add(top, "SubClassOf")
+            add(axiom, "Class", child)
+            add(axiom, "Class", parent)
+    for prop, table in props.items():
+        for source, targets in table.items():
+            for target in targets:
+                axiom = add(top, "SubClassOf")
+                add(axiom, "Class", source)
+                some = add(axiom, "ObjectSomeValuesFrom")
+                add(some, "ObjectProperty", prop)
+                add(some, "Class", target)
+    for parent in named:
+        if parent != taxonomy.root and len(kids.get(parent, [])) > 1:
+            union = add(top, "DisjointUnion")
+            for name in (parent, *kids[parent]):
+                add(union, "Class", name)
+    for name in named:
+        for key, value in {"label": name, **(notes or {}).get(name, {})}.items():
+            axiom = add(top, "AnnotationAssertion")
+            ET.SubElement(axiom, "AnnotationProperty", {"abbreviatedIRI": "rdfs:label"} if key == "label" else {"IRI": iri(key)})
+            ET.SubElement(axiom, "IRI").text = iri(name)
+            ET.SubElement(axiom, "Literal").text = value
+    return ET.tostring(top, encoding="unicode")
+
+
 def dimensions(spark: SparkSession, taxonomy: Taxonomy) -> dict[str, DataFrame]:
     """class_map, maps_to and compound as small tables: their size is the taxonomy's."""
     cm = spark.createDataFrame(taxonomy.class_map() or [], "class_name string, class_path string, column_name string, conditioning_class string, parent_class string, tree_name string")

@@ -126,7 +126,7 @@ class DatasetBuilder:
         level = {"article": self.articles, "case": self.cases, "image": self.images}
         return {name: distinct_values(level[f.level], f.column) for name, f in (self.fields or CLINICAL).items() if f.column in level[f.level].columns}
 
-    def example(self, number: int = 0, order: str | None = None) -> DataFrame:
+    def example(self, number: int = 0, order: str | list[str] | None = None) -> DataFrame:
         """The image with this number, with its case and its article."""
         image = self.images.orderBy(order or self.case_key).offset(number).limit(1)
         shared = [c for c in self.cases.columns if c in self.images.columns and c != self.case_key]

@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
+from vellum.functions import captions as C
 from vellum.functions import ids, predicates as P, text as T
 from vellum.operators import aggregates as A
+from vellum.operators import articles as R
 from vellum.operators import harmonize as H
 from vellum.operators import labels as L
 from vellum.operators import ngrams as N
+from vellum.operators import pixels as I
 from vellum.operators import sequences as S
 from vellum.operators import taxonomy as X
 from vellum.plans.query import DatasetBuilder, Field
@@ -380,3 +386,75 @@ def taxonomy_paths(spark, sf):
 @query()
 def fig_numbers(spark, sf):
     return table(spark, sf, "documents").select("doc_id", T.extract_figure_numbers(F.concat(F.lit("As shown in Fig. 1 and 2, figs. 4-7. "), "text")).alias("numbers"))
+
+
+@query("SELECT l_orderkey, l_linenumber, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY floor(l_quantity / 10), floor(l_partkey / 10), l_linenumber, l_suppkey) AS INTEGER) AS rank FROM lineitem")
+def grid_sort(spark, sf):
+    return S.grid_rank(table(spark, sf, "lineitem"), "l_orderkey", "l_quantity", "l_partkey", ["l_linenumber", "l_suppkey"], 10).select("l_orderkey", "l_linenumber", "rank")
+
+
+@query("""WITH m AS (SELECT conv_id, role, min(turn) AS first, string_agg(text, '. ' ORDER BY turn, text) AS text FROM conversations GROUP BY 1, 2)
+  SELECT conv_id, role, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY first, role) AS INTEGER) AS turn, text, role || first AS tag FROM m""")
+def merge_captions(spark, sf):
+    c = table(spark, sf, "conversations").withColumn("tag", F.concat("role", F.col("turn").cast("string")))
+    return R.merge_captions(c, "conv_id", "role", "turn", "text", "tag").select("conv_id", "role", "turn", "text", "tag")
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'one ' || lang WHEN doc_id % 2 = 0 THEN 'two ' || lang ELSE 'A 40-year-old man.' END AS paragraphs FROM documents")
+def case_fallback(spark, sf):
+    one = lambda kind, title, text: F.struct(kind.alias("kind"), title.alias("title"), text.alias("text"))
+    k = F.col("doc_id")
+    sections = F.array(
+        one(F.when(k % 3 == 0, "case").otherwise("intro"), F.lit("x"), F.concat(F.lit("one "), "lang")),
+        one(F.lit("intro"), F.when(k % 2 == 0, "A Case").otherwise("none"), F.concat(F.lit("two "), "lang")),
+        one(F.lit("intro"), F.lit("x"), F.lit("A 40-year-old man.")),
+    )
+    return table(spark, sf, "documents").select("doc_id", F.array_join(R.case_paragraphs(sections), "|").alias("paragraphs"))
+
+
+@query("""SELECT p_partkey, reference, replace(caption, '#', p_brand) AS caption FROM part JOIN (VALUES (0, 'A', 'Scan of #. A mass.'), (0, 'B', 'Scan of #. A mass.'), (0, 'C', 'Scan of #. A mass. A cyst.'), (0, 'D', 'Scan of #. A cyst.'), (1, 'a', 'Chest of #.'), (1, 'b', 'Leg. It is normal.'), (2, 'undivided', '# alone'))
+  t(k, reference, caption) ON p_partkey % 3 = k""")
+def segment_caption(spark, sf):
+    b, k = F.col("p_brand"), F.col("p_partkey") % 3
+    caption = F.when(k == 0, F.concat(F.lit("Scan of "), b, F.lit(". A mass (A-C) and a cyst (C and D)."))).when(k == 1, F.concat(F.lit("a: Chest of "), b, F.lit(". b: Leg. It is normal."))).otherwise(F.concat(b, F.lit(" alone")))
+    return table(spark, sf, "part").select("p_partkey", F.explode(C.segment_caption(caption)).alias("p")).select("p_partkey", "p.reference", "p.caption")
+
+
+@F.pandas_udf(BinaryType())
+def _panels(key: pd.Series) -> pd.Series:
+    """White images of 60 rows with one to three grey panels of noise, side by side."""
+
+    def draw(k: int) -> bytes:
+        a = np.full((60, 70 * (k % 3 + 1) + 20), 255, np.uint8)
+        for i in range(k % 3 + 1):
+            a[10:50, 20 + 70 * i : 60 + 70 * i] = np.random.default_rng(k).integers(0, 255, (40, 40))
+        return a.tobytes()
+
+    return key.map(draw)
+
+
+@query("SELECT p_partkey, p_partkey % 3 + 1 AS parts, CASE WHEN p_partkey % 3 = 1 THEN 'ok' ELSE 'incorrect-output-amount' END AS status FROM part")
+def image_parts(spark, sf):
+    width = (70 * (F.col("p_partkey") % 3 + 1) + 20).cast("int")
+    image = F.struct(F.lit(60).alias("height"), width.alias("width"), F.lit(1).alias("nChannels"), _panels("p_partkey").alias("data"))
+    drawn = table(spark, sf, "part").select("p_partkey", image.alias("image"))
+    counts = I.split_images(drawn).groupBy("p_partkey").agg(F.count("*").alias("parts"))
+    return counts.withColumn("status", I.split_status(F.col("parts"), F.lit(2)))
+
+
+@query("SELECT o_orderkey, l_linenumber FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_linenumber = 1 OR l_linenumber = o_orderkey % 4")
+def match_cases(spark, sf):
+    cases = table(spark, sf, "orders").select("o_orderkey", F.array(F.lit(1), (F.col("o_orderkey") % 4).cast("int")).alias("numbers"))
+    images = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber")
+    return R.match_cases(cases, images, "o_orderkey", "numbers", "l_linenumber").select("o_orderkey", "l_linenumber")
+
+
+@query("""WITH p AS (SELECT l_orderkey, l_returnflag, list({'l_linenumber': l_linenumber} ORDER BY l_linenumber) AS parts FROM lineitem GROUP BY 1, 2)
+  SELECT l_orderkey, CAST(to_json(list({'l_returnflag': l_returnflag, 'parts': parts} ORDER BY l_returnflag)) AS VARCHAR) AS images FROM p GROUP BY 1""")
+def group_images(spark, sf):
+    return R.group_images(table(spark, sf, "lineitem"), "l_orderkey", "l_returnflag", ["l_linenumber"]).select("l_orderkey", F.to_json("images").alias("images"))
+
+
+@query("""SELECT l_orderkey AS o_orderkey, l_linenumber, o_totalprice, c_name FROM (SELECT l_orderkey, l_linenumber FROM lineitem ORDER BY 1, 2 LIMIT 1 OFFSET 5) JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey""")
+def point_lookup(spark, sf):
+    return levels(spark, sf).example(5, ["o_orderkey", "l_linenumber"]).select("o_orderkey", "l_linenumber", "o_totalprice", "c_name")
