@@ -1,11 +1,12 @@
 """Operator 9, license scans: a positional index of rare licence words.
 
 Templates are short runs of licence words, each with a mandatory key phrase at a known
-place. The rarity of the templates' words is counted over all documents. The index holds,
-for each word that is the rarest of a template or of its key phrase, where in which
-template it stands. A file is looked up by its rarest licence words; each hit says where
-the template would begin. Places on which hits agree are verified word by word: the key
-phrase must stand there in full, and the words around it give the score.
+place. The rarity of the templates' words is counted over all documents. The index holds
+the two rarest words of each template's key phrase, with where in the template they
+stand. A file's indexed words are looked up, the rarest first; each place of such a word
+says where the template would begin, and the beginnings that a template's words give are
+intersected. Those left are verified word by word: the key phrase must stand there in
+full, and the words around it give the score.
 """
 
 from __future__ import annotations
@@ -69,37 +70,59 @@ def words_of(text: str) -> list[bytes]:
 
 
 class RareIndex:
-    """Postings (template, place) of anchor words; idf holds the rarity of every template word."""
+    """Postings (template, place) of the two rarest words of each key phrase; idf holds the rarity of every template word."""
 
     def __init__(self, templates: tuple[Template, ...], idf: dict[str, float]):
         self.templates = [(t, [w.encode() for w in t.words]) for t in templates]
         self.idf = {w.encode(): x for w, x in idf.items()}
         self.postings: dict[bytes, list[tuple[int, int]]] = {}
+        self.anchors: list[int] = []
         for i, (t, words) in enumerate(self.templates):
-            a, b = t.key
-            # The key phrase's rarest word finds every place where the phrase stands.
-            at = max(range(a, b), key=lambda k: (self.idf[words[k]], -k))
-            self.postings.setdefault(words[at], []).append((i, at))
+            rarest = sorted(range(*t.key), key=lambda k: (-self.idf[words[k]], k))[:2]
+            self.anchors.append(len(rarest))
+            for at in rarest:
+                self.postings.setdefault(words[at], []).append((i, at))
+
+    def begins(self, words: list[bytes]) -> dict[int, set[int]]:
+        """Template -> where it would begin, as all its postings agree. A key phrase stands only there."""
+        present = set(words)
+        met = self.postings.keys() & present
+        wanted = [0] * len(self.templates)
+        for w in met:
+            for i, _ in self.postings[w]:
+                wanted[i] += 1
+        out: dict[int, set[int]] = {i: set() for i, n in enumerate(wanted) if n == self.anchors[i]}
+        seen: set[int] = set()
+        for w in sorted(met, key=lambda w: (-self.idf[w], w)):
+            alive = [(i, at) for i, at in self.postings[w] if i in out]
+            if not alive:
+                continue
+            places, p = [], -1
+            for _ in range(words.count(w)):
+                p = words.index(w, p + 1)
+                places.append(p)
+            for i, at in alive:
+                hits = {p - at for p in places}
+                hits = hits & out[i] if i in seen else hits
+                seen.add(i)
+                out[i] = hits
+        return out
 
     def scan(self, words: list[bytes]) -> list[tuple[int, int, float]]:
         """(template, place of its key phrase, score) of every verified place."""
-        postings, found = self.postings, []
-        for w in sorted(postings.keys() & set(words), key=lambda w: -self.idf[w]):
-            lists, p = postings[w], -1
-            for _ in range(words.count(w)):
-                p = words.index(w, p + 1)
-                for i, at in lists:
-                    t, want = self.templates[i]
-                    a, b = t.key
-                    begin = p - at
-                    if begin + a < 0 or words[begin + a : begin + b] != want[a:b]:
-                        continue
-                    total = hit = 0.0
-                    for k, x in enumerate(want):
-                        total += self.idf[x]
-                        if 0 <= begin + k < len(words) and words[begin + k] == x:
-                            hit += self.idf[x]
-                    found.append((i, begin + a, hit / total if total else 1.0))
+        found = []
+        for i, places in self.begins(words).items():
+            t, want = self.templates[i]
+            a, b = t.key
+            for begin in sorted(places):
+                if begin + a < 0 or words[begin + a : begin + b] != want[a:b]:
+                    continue
+                total = hit = 0.0
+                for k, x in enumerate(want):
+                    total += self.idf[x]
+                    if 0 <= begin + k < len(words) and words[begin + k] == x:
+                        hit += self.idf[x]
+                found.append((i, begin + a, hit / total if total else 1.0))
         return found
 
 
