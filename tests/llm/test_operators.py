@@ -176,6 +176,25 @@ def test_embedding_dedup(spark, size, least):
     assert audit["recall"] >= min(least, 0.97)
 
 
+def planted(n, others, dims=32, spread=0.03, seed=4):
+    """A dense group of distinct vectors, all pairs linked, among others that link with nothing."""
+    rng = np.random.default_rng(seed)
+    heart = rng.normal(size=dims)
+    x = np.concatenate([heart / np.linalg.norm(heart) + rng.normal(size=(n, dims)) * spread, rng.normal(size=(others, dims))])
+    return [(i, v, 0) for i, v in enumerate(x.tolist())]
+
+
+def test_embedding_dedup_counts_all_links_of_a_large_dense_group(spark):
+    rows = planted(2600, 400)
+    x = np.array([v for _, v, _ in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = (x @ x.T >= 0.93).sum(axis=1) - 1
+    got = {r["vec_id"]: r for r in embedding_dedup.embedding_dedup(vectors(spark, rows)).collect()}
+    assert want[:2600].sum() > 2500 * 2599
+    assert [got[i]["n_links"] for i in range(3000)] == want.tolist()
+    assert {got[i]["component_id"] for i in range(2600)} == {0}
+
+
 def test_bpe_words_equal_whole_texts():
     enc = bpe.WordEncoder(bpe.default_path(), cache_words=200)
     rng = random.Random(1)

@@ -1,8 +1,9 @@
 """Operator 3, embedding near-dedup: a robust-pruned flat graph over overlapping cluster shards.
 
 Vectors of one label and dimension are split into shards around sampled centres, each
-vector going to its three nearest; shards that are still large are split again. In a shard
-a flat graph is built: nodes search for their place from the medoid, keep neighbours by
+vector going to its three nearest; shards that are still large are split again. Dense groups
+aren't cut: shards that stay too large for them are compared exactly, block by block. In any
+other shard a flat graph is built: nodes search for their place from the medoid, keep neighbours by
 robust pruning and are linked back. The adjacency lists that a vector got in its shards
 are united. On the united lists every vector searches from its shard's medoid with a
 beam, then expands through all nodes in range. Each pair found is verified by its cosine
@@ -26,8 +27,9 @@ from vellum.llm.components import connected_components
 DEGREE, BEAM, ALPHA, BATCH = 16, 32, 1.2, 256
 #: Members a shard has on average, shards that a vector goes to, and centres of one split at most.
 SHARD, COPIES, CENTRES = 600, 3, 256
+#: Members of a block and of a tile in the exact comparison; what the name of a shard that goes there begins with (it sorts before all others).
+BLOCK, TILE, EXACT = 4096, 512, "!"
 _VEC = pa.schema([("vec_id", pa.int64()), ("label", pa.string()), ("dim", pa.int32()), ("vec", pa.binary())])
-_MEMBER = pa.schema([("shard", pa.string()), ("rep", pa.int64()), ("vec", pa.binary()), ("n", pa.int64())])
 
 
 def unit(x: list | None) -> bytes | None:
@@ -225,17 +227,34 @@ def spread(centres: np.ndarray, closest: float = 0.9) -> np.ndarray:
     return centres[kept]
 
 
-def _assign(copies: int, thin: bool):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shards, reps, vecs, ns, centres in rows(batches, ["shard", "rep", "vec", "n", "centres"], 1024):
-            out = []
-            for shard in set(shards):
-                at = [i for i, s in enumerate(shards) if s == shard]
-                c = _matrix(centres[at[0]])
-                c = spread(c) if thin else c
-                top = np.argsort(-(_matrix([vecs[i] for i in at]) @ c.T), axis=1, kind="stable")[:, : max(1, min(copies, len(c) - 1))]
-                out += [(f"{shard}.{k:03d}", reps[i], vecs[i], ns[i]) for i, near in zip(at, top.tolist(), strict=True) for k in near]
-            yield batch(_MEMBER, list(map(list, zip(*out, strict=True))))
+def _thin(copies: int, level: int):
+    """The drawn centres of a shard without close ones; none if the shard can't be split without cutting a dense group.
+
+    Behind the first level that is so if over half of the drawn centres lie around a single one.
+    """
+
+    def kept(centres) -> list[bytes]:
+        c = _matrix(centres)
+        few = spread(c)
+        if len(few) <= copies or level and (c @ few.T >= 0.9).mean(axis=0).max() > 0.5:
+            return []
+        return [v.tobytes() for v in few]
+
+    @F.pandas_udf("array<binary>")
+    def run(centres: pd.Series) -> pd.Series:
+        return centres.map(kept)
+
+    return run
+
+
+def _assign(copies: int):
+    def run(members: pd.DataFrame, centres: pd.DataFrame) -> pd.DataFrame:
+        if members.empty or centres.empty:
+            return pd.DataFrame({"shard": [], "rep": [], "vec": [], "n": []})
+        c = _matrix(centres["centres"].iloc[0])
+        top = np.argsort(-(_matrix(members["vec"]) @ c.T), axis=1, kind="stable")[:, : max(1, min(copies, len(c) - 1))]
+        out = members[["shard", "rep", "vec", "n"]].loc[members.index.repeat(top.shape[1])]
+        return out.assign(shard=[f"{s}.{k:03d}" for s, k in zip(out["shard"], top.ravel().tolist(), strict=True)])
 
     return run
 
@@ -243,21 +262,105 @@ def _assign(copies: int, thin: bool):
 def _shards(groups: DataFrame, size: int, copies: int) -> DataFrame:
     """shard, rep, vec, n: groups of over ``size`` members are split, then shards of over four times ``size``.
 
-    The first split keeps dense groups together, which finds all their links; later ones,
-    which only shards get that would else grow too large, cut through them.
+    Centres are thinned at every level, so a dense group stays together. Shards that are
+    still over the limit at the end get a name that begins with ``EXACT``.
     """
     members = groups.select(F.concat_ws("/", F.hex("label"), F.col("dim").cast("string")).alias("shard"), "rep", "vec", "n")
+    whole = None
     for level in range(8):
         sizes = members.groupBy("shard").agg(F.count("*").alias("size"))
         large, _ = materialize(sizes.where(F.col("size") > (size if level == 0 else 4 * size)), "shard-sizes")
         if large.isEmpty():
             break
-        # Centres are drawn by a hash, so many that a shard has about `size` members; their number is bounded.
+        # Centres are drawn by a hash, so many that a shard has about `size` members; their number is bounded, the next level goes on.
         drawn = members.join(large, "shard").where(F.pmod(F.xxhash64(F.lit(level), "rep"), F.col("size")) < F.least(F.lit(CENTRES), F.ceil(F.col("size") * copies / size) + 1))
-        centres = drawn.groupBy("shard").agg(F.transform(F.array_sort(F.collect_list(F.struct("rep", "vec"))), lambda s: s["vec"]).alias("centres")).where(F.size("centres") > copies)
-        split = members.join(centres, "shard").mapInArrow(_assign(copies, level == 0), "shard string, rep bigint, vec binary, n bigint")
-        members, _ = materialize(members.join(centres, "shard", "left_anti").unionByName(split), "shard-members")
-    return members
+        centres = drawn.groupBy("shard").agg(F.transform(F.array_sort(F.collect_list(F.struct("rep", "vec"))), lambda s: s["vec"]).alias("centres"), F.ceil(F.first("size") / BLOCK).alias("salts"))
+        centres, path = materialize(centres.withColumn("centres", _thin(copies, level)("centres")).where(F.size("centres") > copies), "shard-centres")
+        salted = members.join(centres.select("shard", "salts"), "shard").withColumn("salt", F.pmod(F.xxhash64("rep"), F.col("salts")))
+        # Read anew: both sides of the cogroup come from this table.
+        dealt = centres.sparkSession.read.schema(centres.schema).parquet(path).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)))
+        split = salted.groupBy("shard", "salt").cogroup(dealt.groupBy("shard", "salt")).applyInPandas(_assign(copies), "shard string, rep bigint, vec binary, n bigint")
+        # What can't be split stays as it is and is not tried again.
+        rest = members.join(centres.select("shard"), "shard", "left_anti")
+        if level:
+            done = rest if whole is None else whole.unionByName(rest)
+            whole, _ = materialize(done, "shard-members")
+            members, _ = materialize(split, "shard-members")
+        else:
+            members, _ = materialize(rest.unionByName(split), "shard-members")
+    members = members if whole is None else whole.unionByName(members)
+    over = members.groupBy("shard").agg(F.count("*").alias("size")).where(F.col("size") > 4 * size).select("shard", F.lit(True).alias("over"))
+    named = members.join(over, "shard", "left").withColumn("shard", F.when(F.col("over"), F.concat(F.lit(EXACT), "shard")).otherwise(F.col("shard")))
+    return materialize(named.select("shard", "rep", "vec", "n"), "shard-members")[0]
+
+
+def _forest(found: np.ndarray) -> np.ndarray:
+    """For rows and columns of a matrix of links, numbered on: the first of those that links join."""
+    n, m = found.shape
+    turned = np.ascontiguousarray(found.T)
+    root = np.full(n + m, -1)
+    for i in range(n):
+        if root[i] >= 0:
+            continue
+        root[i], front = i, np.array([i])
+        while len(front):
+            columns = np.flatnonzero(found[front].any(axis=0) & (root[n:] < 0))
+            root[n + columns] = i
+            front = np.flatnonzero(turned[columns].any(axis=0) & (root[:n] < 0))
+            root[front] = i
+    return np.where(root < 0, np.arange(n + m), root)
+
+
+def _compare_blocks(threshold: float):
+    """All pairs of two blocks of one shard (or of one block): each member's links, and one link to the first of its group."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        me, low, high = pdf["shard"].iloc[0], pdf["low"].iloc[0], pdf["high"].iloc[0]
+        # A pair counts in the first of the shards that both are in: members with a common earlier shard are no pair here.
+        earlier = [tuple(sorted(s for s in a if s < me)) for a in pdf["shards"]]
+        kinds = sorted(set(earlier))
+        names = {s: i for i, s in enumerate(sorted({s for k in kinds for s in k}))}
+        holds = np.zeros((len(kinds), len(names)), np.float32)
+        for i, k in enumerate(kinds):
+            holds[i, [names[s] for s in k]] = 1
+        number = {k: i for i, k in enumerate(kinds)}
+        pdf = pdf.assign(kind=[number[e] for e in earlier]).sort_values(["kind", "rep"], ignore_index=True)
+        left, right = (pdf[pdf["block"] == b] for b in (low, high))
+        if left.empty or right.empty:
+            return pd.DataFrame({"rep": [], "links": [], "root": []}).astype("int64")
+        x, y, kx, ky = _matrix(left["vec"]), _matrix(right["vec"]), left["kind"].to_numpy(), right["kind"].to_numpy()
+        found = np.zeros((len(x), len(y)), bool)
+        for i in range(0, len(x), TILE):
+            for j in range(0, len(y), TILE):
+                (p, a), (q, b) = (np.unique(k, return_inverse=True) for k in (kx[i : i + TILE], ky[j : j + TILE]))
+                owned = holds[p] @ holds[q].T == 0
+                if owned.any():
+                    hit = x[i : i + TILE] @ y[j : j + TILE].T >= threshold
+                    found[i : i + TILE, j : j + TILE] = hit if owned.all() else hit & owned[a[:, None], b[None, :]]
+        if low == high:
+            np.fill_diagonal(found, False)
+        count = lambda f, w: np.concatenate([f[i : i + TILE].astype(np.float64) @ w for i in range(0, len(f), TILE)])
+        links, ids = count(found, right["n"].to_numpy(np.float64)), left["rep"].to_numpy()
+        if low == high:
+            # Rows and columns are the same members.
+            found |= np.eye(len(x), dtype=bool)
+            root = _forest(found)[: len(x)]
+        else:
+            root = _forest(found)
+            links = np.concatenate([links, count(found.T, left["n"].to_numpy(np.float64))])
+            ids = np.concatenate([ids, right["rep"].to_numpy()])
+        return pd.DataFrame({"rep": ids, "links": links.astype(np.int64), "root": ids[root]}).query("links > 0 or rep != root")
+
+    return run
+
+
+def _exact(members: DataFrame, where: DataFrame, threshold: float) -> DataFrame:
+    """rep, links, root of oversized shards: blocks of about ``BLOCK`` members, by a hash, each against each."""
+    blocks = members.groupBy("shard").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    dealt = members.join(blocks, "shard").join(where, "rep").withColumn("block", F.pmod(F.xxhash64(F.lit(-1), "rep"), F.col("blocks")))
+    pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    pairs = pairs.select("shard", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "rep", "vec", "n", "shards")
+    return pairs.groupBy("shard", "low", "high").applyInPandas(_compare_blocks(threshold), "rep bigint, links bigint, root bigint")
 
 
 def embedding_dedup(embeddings: DataFrame, threshold: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", shard_size: int = SHARD, copies: int = COPIES) -> DataFrame:
@@ -276,10 +379,13 @@ def embedding_dedup(embeddings: DataFrame, threshold: float = 0.93, id_col: str
     # One id may stand for several vectors: nodes have numbers of their own.
     groups, _ = materialize(groups.withColumn("node", F.monotonically_increasing_id()), "nodes")
     members = _shards(groups.select("label", "dim", "vec", F.col("node").alias("rep"), "n"), shard_size, copies)
-    near = members.groupBy("shard").applyInPandas(_build_shard, "rep bigint, near array<bigint>")
+    small, over = members.where(~F.col("shard").startswith(EXACT)), members.where(F.col("shard").startswith(EXACT))
+    near = small.groupBy("shard").applyInPandas(_build_shard, "rep bigint, near array<bigint>")
     united = near.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
     where = members.groupBy("rep").agg(F.collect_set("shard").alias("shards"))
-    searched = members.join(united.join(where, "rep"), "rep").groupBy("shard").applyInPandas(_search_shard(threshold), "rep bigint, links bigint, root bigint")
+    searched = small.join(united.join(where, "rep"), "rep").groupBy("shard").applyInPandas(_search_shard(threshold), "rep bigint, links bigint, root bigint")
+    if not over.isEmpty():
+        searched = searched.unionByName(_exact(over, where, threshold))
     searched, _ = materialize(searched, "links")
     ids = groups.select(F.col("node"), F.col("rep").alias("low"))
     roots = searched.where("rep <> root").join(ids, searched.rep == ids.node).select(F.col("low").alias("u"), "root").join(ids, F.col("root") == ids.node).select("u", F.col("low").alias("v"))
