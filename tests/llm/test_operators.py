@@ -195,6 +195,15 @@ def test_embedding_dedup_counts_all_links_of_a_large_dense_group(spark):
     assert {got[i]["component_id"] for i in range(2600)} == {0}
 
 
+def test_embedding_dedup_keeps_dense_groups_whole_beyond_the_first_split(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "CENTRES", 16)
+    rows = planted(300, 1200)
+    got = {r["vec_id"]: r for r in embedding_dedup.embedding_dedup(vectors(spark, rows), shard_size=80).collect()}
+    want = 2 * len(brute_links(rows[:300]))
+    assert want > 290 * 299
+    assert sum(got[i]["n_links"] for i in range(300)) >= 0.999 * want
+
+
 def test_bpe_words_equal_whole_texts():
     enc = bpe.WordEncoder(bpe.default_path(), cache_words=200)
     rng = random.Random(1)
