@@ -214,6 +214,21 @@ def test_bpe_words_equal_whole_texts():
             assert enc.tokenizer.encode(text, add_special_tokens=False).ids == np.frombuffer(ids, enc.dtype).tolist(), text
 
 
+def test_bpe_keeps_the_library_default_for_added_tokens(spark):
+    from tokenizers import Tokenizer
+
+    fresh = Tokenizer.from_file(bpe.default_path())
+    enc = bpe.WordEncoder(bpe.default_path())
+    cases = ["x <|endoftext|> y", "<|endoftext|>", "a<|endoftext|>b the nation, a", "no token <|endof text|>", "the nation\n<|endoftext|><|endoftext|> \n z"]
+    for text, ids in zip(cases, enc.encode_many(cases), strict=True):
+        assert fresh.encode(text, add_special_tokens=False).ids == np.frombuffer(ids, enc.dtype).tolist(), text
+    assert np.frombuffer(enc.encode(cases[0]), enc.dtype).tolist() == [87, 220, 50256, 331]
+    df = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    want = {i: len(fresh.encode(x, add_special_tokens=False).ids) + 1 for i, x in enumerate(cases)}
+    assert {r["doc_id"]: r["doc_tokens"] for r in packing.pack(df).collect()} == want
+    assert {r["doc_id"]: r["n_tokens"] for r in token_records.token_records(df).collect()} == want
+
+
 def direct_ids(rows, end):
     t = bpe.encoder(bpe.default_path()).tokenizer
     return [(i, [*t.encode(x, add_special_tokens=False).ids, end]) for i, x in rows]

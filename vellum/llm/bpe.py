@@ -5,7 +5,8 @@ between two visible characters always parts words, so the text between two of th
 encoded alike wherever it stands. The library encodes each such unit once, many in one
 call; the ids of units that come again are kept, as bytes, until the cache is full.
 Units with doubtful borders (runs of white space, unusual characters) are encoded
-together with their neighbours.
+together with their neighbours. A text that holds the string of an added token goes
+through the library whole.
 """
 
 from __future__ import annotations
@@ -36,7 +37,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Units of different texts could together make an added token that holds white space.
+        self.whole = any(c.isspace() for t in self.added for c in t)
         self.dtype = id_dtype(self.tokenizer.get_vocab_size())
         self.cache: dict[str, bytes] = {}
         self.cache_words = cache_words
@@ -66,6 +69,9 @@ class WordEncoder:
         """
         if not text:
             return []
+        if self.whole or any(t in text for t in self.added):
+            odd[(text,)] = b""
+            return [(text,)]
         pieces = text.replace("\n", " \n").split(" ")
         get = self.cache.get
         plan = list(map(get, pieces))
