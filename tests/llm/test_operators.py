@@ -318,6 +318,19 @@ def test_language_id(odd, spark, sf):
     assert langid.train(docs.where("false")).predict("abc") == ("und", 0.0)
 
 
+def test_every_language_is_learned(spark):
+    rng = random.Random(6)
+    alphabet = lambda k: [chr(0x4E00 + 12 * k + j) for j in range(12)]
+    rows = [(100 * k + i, "".join(rng.choices(alphabet(k), k=60)), f"l{k:02d}") for k in range(70) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(df)
+    assert model.langs == [f"l{k:02d}" for k in range(70)]
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.language_id(df, model=model).collect()}
+    assert np.mean([got[i] == lang for i, _, lang in rows]) > 0.98
+    with pytest.raises(ValueError, match="70 languages"):
+        langid.train(df, max_langs=64)
+
+
 def test_language_of_a_prediction_is_no_input(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     model = langid.train(docs)

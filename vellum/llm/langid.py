@@ -5,8 +5,8 @@ features. Document frequencies are counted over all training documents. The weig
 fitted by follow-the-regularised-leader (FTRL-proximal) with L1 and L2 penalties on a
 bounded sample of them, drawn by a hash of the id at a rate for each language; a part of
 the sample that the fit doesn't see sets the temperature. The model is the non-zero rows
-of a table of ``2**bits`` by languages and goes to every task; its size doesn't depend on
-the corpus.
+of a table of ``2**bits`` by languages and goes to every task; its size depends on the
+number of languages, not of documents. Every language of the training documents is learned.
 """
 
 from __future__ import annotations
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from vellum.llm.common import batch, rows
 
 BITS = 15
-#: Expected number of sampled training documents of one language, and of languages at most.
-SAMPLE_PER_LANG, MAX_LANGS = 600, 64
+#: Expected number of sampled training documents of one language.
+SAMPLE_PER_LANG = 600
 _OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
 _FEATURES = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("feature", pa.list_(pa.int32())), ("tf", pa.list_(pa.float32()))])
 _DF = pa.schema([("feature", pa.int32()), ("n", pa.int64())])
@@ -133,14 +133,17 @@ def _training(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Dat
     return out.where("doc_id is not null and lang is not null and text is not null and crc32(encode(cast(doc_id as string), 'UTF-8')) % 4 <> 2")
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_per_lang: int = SAMPLE_PER_LANG, max_langs: int = MAX_LANGS, bits: int = BITS) -> Model:
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_per_lang: int = SAMPLE_PER_LANG, max_langs: int | None = None, bits: int = BITS) -> Model:
     """Fit the model; an empty one if there is nothing to learn from.
 
     The driver gathers one row a language, one a feature, and the sparse features of about
-    ``sample_per_lang`` documents of each of the ``max_langs`` most frequent languages.
+    ``sample_per_lang`` documents of each language. More languages than ``max_langs``, if
+    it is given, are an error: none is left out.
     """
     learn = _training(docs, id_col, text_col, lang_col)
-    per_lang = {r["lang"]: r["n"] for r in learn.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()}
+    per_lang = {r["lang"]: r["n"] for r in learn.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if max_langs is not None and len(per_lang) > max_langs:
+        raise ValueError(f"{len(per_lang)} languages, but max_langs is {max_langs}")
     langs = sorted(per_lang)
     if not langs:
         return Model([], np.ones(1 << bits, np.float32), np.zeros((1 << bits, 0)), np.zeros(0), 1.0, bits)
@@ -161,9 +164,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
     # A share of each language, by a hash of the id: no sort, no shuffle, the same documents every time.
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    chosen = F.lit(False)
-    for lang, n in per_lang.items():
-        chosen = chosen | ((F.col("lang") == lang) & (draw < F.lit(int((1 << 30) * min(1.0, sample_per_lang / n)))))
+    shares = docs.sparkSession.createDataFrame([(lang, int((1 << 30) * min(1.0, sample_per_lang / n))) for lang, n in per_lang.items()], "lang string, share long")
+    chosen = learn.join(F.broadcast(shares), "lang").where(draw < F.col("share"))
 
     def extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, names, texts in rows(batches, ["doc_id", "lang", "text"]):
@@ -171,13 +173,14 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             yield batch(_FEATURES, [ids, names, [a for a, _ in found], [x for _, x in found]])
 
     model = Model(langs, idf, np.zeros((1 << bits, len(langs))), np.zeros(len(langs)), 1.0, bits)
-    sample = learn.where(chosen).mapInArrow(extract, "doc_id bigint, lang string, feature array<int>, tf array<float>").toArrow()
+    sample = chosen.select("doc_id", "lang", "text").mapInArrow(extract, "doc_id bigint, lang string, feature array<int>, tf array<float>").toArrow()
     order = np.argsort(sample.column("doc_id").to_numpy(), kind="stable")
     feature, tf, lang = sample.column("feature").combine_chunks(), sample.column("tf").combine_chunks(), sample.column("lang").to_pylist()
+    number = {x: i for i, x in enumerate(langs)}
     examples = []
     for i in order.tolist():
         at = feature[i].values.to_numpy()
-        examples.append((at, model.vector(at, tf[i].values.to_numpy()), langs.index(lang[i])))
+        examples.append((at, model.vector(at, tf[i].values.to_numpy()), number[lang[i]]))
     fit = [e for i, e in enumerate(examples) if i % 5] or examples
     model.weights, model.bias = ftrl(fit, 1 << bits, len(langs))
     rest = examples[::5]
