@@ -17,6 +17,17 @@ from vellum.plans.query import CLINICAL, DatasetBuilder, validate
 from vellum.sources.exports import export
 
 
+def test_figure_numbers_to_the_end_of_the_sentence():
+    assert T.figure_numbers("Figures labelled 3 and 4.") == [3, 4]
+    assert T.figure_numbers("Fig. 2 shows x and 3. Then 5.") == [2, 3]
+    assert T.figure_numbers("Figs. " + ", ".join(f"{i} (first  part)"[:-1] for i in range(1, 13)) + ".") == list(range(1, 13))
+    assert T.figure_numbers("Fig 1 one two three four 2 one two three four five 3") == [1, 2]
+    assert T.figure_numbers("Figure shows one two three four five 6.") == []
+    assert T.figure_numbers("(Fig. 1) of 3 men") == [1]
+    assert T.figure_numbers("Fig. 1 and a 5-year-old, and 7 years") == [1]
+    assert T.figure_numbers("Fig. 2A-C and 5, 7 through 9") == [2, 5, 7, 8, 9]
+
+
 def test_figure_numbers_and_mentions():
     assert T.figure_numbers("as shown in Fig. 1 and 2.") == [1, 2]
     assert T.figure_numbers("(figs. 4-7).") == [4, 5, 6, 7]

@@ -60,29 +60,40 @@ def extract_gender(text: Column) -> Column:
 
 
 _FIG = re.compile(r"\bfig(?:ure)?s?\b\.?", re.I)
-_FIG_TOKEN = re.compile(r"\d+|through|to|and|[-–,&]|[A-Za-z]+|[^\s]")
+_FIG_PART = re.compile(r"\d+|[-–]|[A-Za-z]+")
+_FIG_STOP = re.compile(r"[^A-Za-z0-9(,.\-–&]")
 
 
-def figure_numbers(text: str | None, below: int = 16) -> list[int]:
-    """Numbers behind mentions of figures, ranges opened; those of ``below`` and more go; in order, once each."""
+def figure_numbers(text: str | None, below: int = 16, gap: int = 5) -> list[int]:
+    """Numbers behind mentions of figures, ranges opened; those of ``below`` and more go; in order, once each.
+
+    A mention reaches to the full stop or the next mention. It ends earlier behind a token
+    with any other mark, and where more than ``gap`` tokens hold no number. Numbers of years don't count.
+    """
     out: list[int] = []
-    for mention in _FIG.finditer(text or ""):
-        last, dash, gap = None, False, 0
-        for token in _FIG_TOKEN.findall(text[mention.end() : mention.end() + 80]):
-            if token.isdigit():
-                n = int(token)
-                out += range(last + 1, n + 1) if dash and last is not None and last < n < last + below else [n]
-                last, dash, gap = n, False, 0
-            elif token in ("-", "–", "to", "through"):
-                dash = last is not None
-            elif token.lower().startswith("year"):
-                out = out[:-1] if last is not None else out
-                break
-            elif token in (",", "&", "and") or (len(token) == 1 and token.isalpha()):
-                gap += 1
-            else:
+    text = text or ""
+    mentions = list(_FIG.finditer(text))
+    for mention, after in zip(mentions, [*mentions[1:], None], strict=False):
+        stop = text.find(".", mention.end(), after.start() if after else len(text))
+        rest = text[mention.end() : stop if stop >= 0 else after.start() if after else len(text)]
+        last, at, dash = None, 0, False
+        for k, token in enumerate(re.split(r"\s+", rest)):
+            if k - at > gap:
                 break
-            if gap > 5:
+            if "year" in token.lower():
+                # '45-year-old' has its number in the token, '45 years' in the one before.
+                if last is not None and at == k - 1 and token.lower().startswith("year"):
+                    out.pop()
+                dash = False
+                continue
+            for part in _FIG_PART.findall(token):
+                if part.isdigit():
+                    n = int(part)
+                    out += range(last + 1, n + 1) if dash and last is not None and last < n < last + below else [n]
+                    last, at, dash = n, k, False
+                else:
+                    dash = last is not None and part.lower() in ("-", "–", "to", "through")
+            if _FIG_STOP.search(token):
                 break
     return list(dict.fromkeys(n for n in out if n < below))
 
