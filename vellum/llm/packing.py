@@ -29,13 +29,13 @@ _PIECE_DDL = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_
 def _encode(path: str, end_id: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, before = encoder(path), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], dtype=enc.dtype).tobytes()
-        for ids, texts in rows(batches, ["doc_id", "text"]):
-            out = [x + end for x in enc.encode_many(texts)]
-            n = [len(x) // enc.dtype.itemsize for x in out]
-            at = before + np.cumsum([0, *n])
-            before = int(at[-1])
-            yield batch(_IDS, [[part] * len(n), at[:-1], ids, n, out])
+        for b in batches:
+            doc_ids, texts = (b.column(b.schema.get_field_index(c)) for c in ("doc_id", "text"))
+            for first, ids, n in enc.blocks(texts, end_id):
+                edges = np.cumsum(np.r_[0, n])
+                data = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((edges * enc.dtype.itemsize).astype(np.int32)), pa.py_buffer(ids)])
+                yield batch(_IDS, [np.full(len(n), part), before + edges[:-1], doc_ids.slice(first, len(n)), n, data])
+                before += int(edges[-1])
 
     return run
 

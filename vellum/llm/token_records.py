@@ -69,28 +69,33 @@ def _write(uri: str, path: str, end_id: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context, enc = TaskContext.get(), encoder(path)
         filesystem, folder = _fs(uri)
-        shard, end = context.partitionId(), np.array([end_id], dtype=enc.dtype).tobytes()
+        shard = context.partitionId()
         names = _names(folder, shard)
         drafts = [f"{x}.attempt-{context.taskAttemptId()}" for x in names]
         records = tokens = 0
         out = None
-        for ids, texts in rows(batches, ["doc_id", "text"]):
-            if out is None:
+        for b in batches:
+            doc_ids, texts = (b.column(b.schema.get_field_index(c)) for c in ("doc_id", "text"))
+            if out is None and b.num_rows:
                 filesystem.create_dir(folder, recursive=True)
                 out, index = (filesystem.open_output_stream(x) for x in drafts)
                 out.write(struct.pack(HEADER, MAGIC, enc.dtype.itemsize))
                 at = struct.calcsize(HEADER)
-            for doc_id, x in zip(ids, enc.encode_many(texts), strict=True):
-                x = frame(x + end)
-                n = (len(x) - 16) // enc.dtype.itemsize
-                out.write(x)
-                index.write(struct.pack(INDEX, doc_id is None, doc_id or 0, at, n))
-                at, records, tokens = at + len(x), records + 1, tokens + n
+            for first, ids, sizes in enc.blocks(texts, end_id):
+                low = 0
+                for doc_id, n in zip(doc_ids.slice(first, len(sizes)).to_pylist(), sizes.tolist(), strict=True):
+                    x = frame(ids[low : low + n].tobytes())
+                    out.write(x)
+                    index.write(struct.pack(INDEX, doc_id is None, doc_id or 0, at, n))
+                    low, at, records, tokens = low + n, at + len(x), records + 1, tokens + n
         if out is not None:
             out.close()
             index.close()
             # Under the final names only whole files stand; another attempt puts the same bytes there.
+            # Some file systems refuse to move onto a file, so what an earlier attempt left goes first.
             for draft, name in zip(drafts, names, strict=True):
+                if filesystem.get_file_info(name).type != pafs.FileType.NotFound:
+                    filesystem.delete_file(name)
                 filesystem.move(draft, name)
             yield batch(_MANIFEST, [[shard], [records], [tokens], [at]])
 
@@ -109,7 +114,8 @@ def write_records(docs: DataFrame, uri: str | None = None, end_id: int = 2, toke
     wanted = id_text(docs, id_col, text_col)
     size = wanted.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
     shards = max(1, -(-size // shard_bytes), min(spark.sparkContext.defaultParallelism, size >> 20))
-    dealt = wanted.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
+    # The text's beginning parts rows that share an id (or have none) and keeps their order.
+    dealt = wanted.repartitionByRange(shards, "doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
     return uri, materialize(dealt.mapInArrow(_write(uri, tokenizer_path or default_path(), end_id), "shard bigint, records bigint, tokens bigint, bytes bigint"), "token-manifest")[0]
 
 
@@ -184,6 +190,12 @@ def read_records(spark: SparkSession, uri: str, manifest: DataFrame) -> DataFram
 
 
 def token_records(docs: DataFrame, end_id: int = 2, tokenizer_path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Write the records and read them back. An empty table gives an empty result; other columns are ignored."""
+    """Write the records and read them back: doc_id, start, n_tokens, ids_crc32, from the files.
+
+    Null and empty texts are the end id alone. Rows that repeat an id, or have none, are
+    records of their own, by text; null ids come first. A very long text is one record.
+    The strings of added tokens in a text get the library's default ids. An empty table
+    gives an empty result; other columns are ignored.
+    """
     uri, manifest = write_records(docs, None, end_id, tokenizer_path, id_col, text_col)
     return read_records(docs.sparkSession, uri, manifest)
