@@ -12,6 +12,7 @@ from vellum.functions import text as T
 from vellum.operators import articles as R
 from vellum.operators import labels as L
 from vellum.operators import pixels as I
+from vellum.operators import sequences as S
 from vellum.operators import taxonomy as X
 from vellum.plans.query import CLINICAL, DatasetBuilder, validate
 from vellum.sources.exports import export
@@ -136,3 +137,14 @@ def test_owl_round_trip():
     t = X.Taxonomy({"tree": ["taxonomy"], "a": ["tree"], "b": ["tree"], "size": ["taxonomy"], "s": ["size"], "l": ["size"]}, {"a": ["size"]}, {"sa": ["s", "a"]}, {"lb": ["l", "b"]})
     text = X.to_owl(t, {"a": {"Description": "<first> & one"}})
     assert X.parse_owl(text) == t and "DisjointUnion" in text and "&lt;first&gt; &amp; one" in text
+
+
+def test_row_numbers_are_dense_over_many_partitions(spark):
+    df = spark.read.parquet("/root/testdata/sf0.1/lineitem.parquet").select("l_orderkey", "l_linenumber").repartition(7)
+    n = df.count()
+    for parts in (3, 40):
+        out = S.dense_numbers(df, ["l_orderkey", "l_linenumber"], "k", parts)
+        low, high, many = out.agg(F.min("k"), F.max("k"), F.countDistinct("k")).first()
+        assert (low, high, many) == (1, n, n)
+    assert sorted(r["count"] for r in S.shards(df, 7, ["l_orderkey", "l_linenumber"]).groupBy("shard").count().collect()) == sorted(n // 7 + (i < n % 7) for i in range(7))
+    assert S.dense_numbers(df.where("false"), ["l_orderkey"]).count() == 0

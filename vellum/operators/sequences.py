@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellum.functions.ids import numbered
+from vellum.storage import materialize
 
 
 def sessions(df: DataFrame, group: str, order: str, marker: Column, name: str = "session") -> DataFrame:
@@ -57,22 +58,41 @@ def wide_intervals(df: DataFrame, group: str, position: str, least: int) -> Data
     return out.where(F.col("high") - F.col("low") >= least)
 
 
-def dense_numbers(df: DataFrame, order: list[str], name: str = "number") -> DataFrame:
+def _in_partitions(df: DataFrame, order: list[str], parts: int | None = None) -> DataFrame:
+    """The rows with __part and __at: range partitions in order, and the place in each.
+
+    The bounds of range partitions are sampled anew whenever their plan runs, so the table
+    is written once; sizes and rows are both read from what was written.
+    """
+    dealt = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
+    dealt = dealt.sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id())
+    return materialize(dealt.withColumn("__at", F.monotonically_increasing_id() - F.shiftleft(F.col("__part").cast("bigint"), 33)), "numbered")[0]
+
+
+def _sizes(placed: DataFrame) -> list[tuple[int, int]]:
+    """(partition, rows): one row a partition, however many rows there are."""
+    return [(r["__part"], r["n"]) for r in placed.groupBy("__part").agg(F.count("*").alias("n")).orderBy("__part").collect()]
+
+
+def _numbered(placed: DataFrame, sizes: list[tuple[int, int]], name: str) -> DataFrame:
+    before, at = [], 0
+    for part, n in sizes:
+        before.append((part, at))
+        at += n
+    # One small row a partition: its size is that of the job's plan, not of the data.
+    table = F.broadcast(placed.sparkSession.createDataFrame(before or [(0, 0)], "__part int, __before long"))
+    return placed.join(table, "__part").withColumn(name, F.col("__before") + F.col("__at") + 1).drop("__part", "__at", "__before")
+
+
+def dense_numbers(df: DataFrame, order: list[str], name: str = "number", parts: int | None = None) -> DataFrame:
     """Number all rows from 1 in the given total order, without one window over the whole table.
 
-    Rows are range-partitioned and sorted; the partitions' sizes give each its first number.
-    The driver gathers one size per partition.
+    Rows are range-partitioned, sorted and written; the partitions' sizes give each its
+    first number. The driver gathers one size per partition. Rows that tie in ``order`` get
+    numbers of their own in some order.
     """
-    spark = df.sparkSession
-    parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id())
-    numbered_rows = parts.withColumn("__at", F.monotonically_increasing_id() - F.shiftleft(F.col("__part").cast("bigint"), 33))
-    sizes = numbered_rows.groupBy("__part").agg(F.count("*").alias("n")).orderBy("__part").collect()
-    offsets, at = [], 0
-    for r in sizes:
-        offsets.append((r["__part"], at))
-        at += r["n"]
-    table = spark.createDataFrame(offsets or [(0, 0)], "__part int, __before long")
-    return numbered_rows.join(F.broadcast(table), "__part").withColumn(name, F.col("__before") + F.col("__at") + 1).drop("__part", "__at", "__before")
+    placed = _in_partitions(df, order, parts)
+    return _numbered(placed, _sizes(placed), name)
 
 
 def row_ids(df: DataFrame, order: list[str], prefix: str, width: int, name: str) -> DataFrame:
@@ -80,14 +100,16 @@ def row_ids(df: DataFrame, order: list[str], prefix: str, width: int, name: str)
     return dense_numbers(df, order, "__number").withColumn(name, numbered(prefix, F.col("__number") - 1, width)).drop("__number")
 
 
-def shards(df: DataFrame, n: int, order: list[str], total: int, name: str = "shard") -> DataFrame:
+def shards(df: DataFrame, n: int, order: list[str], name: str = "shard") -> DataFrame:
     """Deal the rows in order to n shards whose sizes differ by one at most; none is lost."""
+    placed = _in_partitions(df, order)
+    sizes = _sizes(placed)
+    total = sum(size for _, size in sizes)
     big, size = total % n, total // n
-    out = dense_numbers(df, order, "__number")
     at = F.col("__number") - 1
     edge = big * (size + 1)
     late = F.floor((at - edge) / F.lit(max(size, 1))) + big
-    return out.withColumn(name, F.when(at < edge, F.floor(at / F.lit(size + 1))).otherwise(late).cast("int")).drop("__number")
+    return _numbered(placed, sizes, "__number").withColumn(name, F.when(at < edge, F.floor(at / F.lit(size + 1))).otherwise(late).cast("int")).drop("__number")
 
 
 def grid_order(df: DataFrame, y: str, x: str, cell: int = 50) -> DataFrame:

@@ -252,9 +252,9 @@ def rank_dense(spark, sf):
     return S.rank_within(table(spark, sf, "lineitem"), "l_orderkey", ["l_partkey"], dense=True).select("l_orderkey", "l_linenumber", "rank")
 
 
-@query("SELECT p_partkey, 'file_' || right('0000000' || CAST(row_number() OVER (ORDER BY p_partkey) - 1 AS VARCHAR), 7) AS file_id FROM part")
+@query("SELECT l_orderkey, l_linenumber, 'file_' || right('000000000' || CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber) - 1 AS VARCHAR), 9) AS file_id FROM lineitem")
 def row_ids(spark, sf):
-    return S.row_ids(table(spark, sf, "part"), ["p_partkey"], "file_", 7, "file_id").select("p_partkey", "file_id")
+    return S.row_ids(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"], "file_", 9, "file_id")
 
 
 @query("WITH t AS (SELECT event_id, user_id, event_type = 'click' AS f, lag(event_type = 'click') OVER w AS b, lead(event_id) OVER w AS a, row_number() OVER w AS r FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)) SELECT event_id, user_id FROM t WHERE r = 1 OR a IS NULL OR f IS DISTINCT FROM b")
@@ -267,10 +267,9 @@ def interval_threshold(spark, sf):
     return S.wide_intervals(table(spark, sf, "events"), "user_id", "event_id", 20)
 
 
-@query("SELECT p_partkey, CAST(ntile(7) OVER (ORDER BY p_partkey) - 1 AS INTEGER) AS shard FROM part")
+@query("SELECT l_orderkey, l_linenumber, CAST(ntile(7) OVER (ORDER BY l_orderkey, l_linenumber) - 1 AS INTEGER) AS shard FROM lineitem")
 def shard_split(spark, sf):
-    part = table(spark, sf, "part")
-    return S.shards(part, 7, ["p_partkey"], part.count()).select("p_partkey", "shard")
+    return S.shards(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"), 7, ["l_orderkey", "l_linenumber"])
 
 
 _PROSE = "SELECT doc_id AS id, CASE doc_id % 8 WHEN 0 THEN 'A 45-year-old man came.' WHEN 1 THEN 'She was aged sixty two and well.' WHEN 2 THEN 'An 8 months old girl.' WHEN 3 THEN 'A seventy three years old woman.' WHEN 4 THEN 'A 140-year-old male.' WHEN 5 THEN 'Patient was seen. He left.' WHEN 6 THEN 'A transgender man, aged 30.' ELSE 'No data here' END AS t FROM documents"
