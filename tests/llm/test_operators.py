@@ -408,3 +408,19 @@ def test_empty_tables(spark, empty):
     vecs = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     for out in (sentencepiece_scan.encode_digest(empty), line_dedup.line_dedup_digest(pages), embedding_dedup.embedding_dedup(vecs), exact_dedup.exact_dedup(empty), langid.language_id(empty), packing.pack(empty), token_counts.token_counts(empty), token_records.token_records(empty), license_scan.license_scan(empty), simhash.simhash_dedup(empty)):
         assert out.count() == 0
+
+
+def test_line_dedup_edges(spark):
+    """A line at exactly the ratio stays; repeated rows are pages; a very long page; a site of one page; a line beyond the ratio goes."""
+    shared = lambda i: ("<p>often</p>" if i < 4 else "") + ("<p>at ratio</p>" if i < 3 else "") + f"<p>own {i}</p>"
+    rows = [(i, "http://a.example/", shared(i)) for i in range(10)] + [(20, "http://b.example/x", "<p>same</p>")] * 2 + [(30, "http://c.example/", "<p>" + "long word " * 200_000 + "</p>"), (31, "http://d.example/", "<p>alone</p>")]
+    got = {}
+    for r in line_dedup.line_dedup(spark.createDataFrame(rows, "page_id long, url string, html string")).collect():
+        got.setdefault(r["page_id"], []).append(r["kept"])
+    assert got[0] == [["at ratio", "own 0"]] and got[3] == [["own 3"]] and got[9] == [["own 9"]]
+    assert got[20] == [[], []] and len(got[30][0][0]) > 1_900_000 and got[31] == [["alone"]]
+
+
+def test_line_dedup_does_not_move_pages_for_a_small_table_of_lines(spark, sf):
+    plan = line_dedup.line_dedup(spark.read.parquet(f"{sf}/pages.parquet"))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(host" not in plan

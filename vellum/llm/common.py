@@ -1,48 +1,14 @@
-"""Helpers shared by the training-data operators: shared folder, written tables, Arrow batches."""
+"""Helpers shared by the training-data operators: written tables, Arrow batches."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor and the driver can reach.
-
-    It is the session's ``spark.checkpoint.dir``. Only where that is unset (a local
-    test session) is a temporary folder made and set as the checkpoint folder.
-    """
-    given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not given:
-        given = tempfile.mkdtemp(prefix="vellum-shared-")
-        spark.sparkContext.setCheckpointDir(given)
-    return given.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/vellum/{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """Write ``df`` as a table in the shared folder and read it back: cuts the lineage.
-
-    A lost executor then costs a re-read of the table, not a recomputation.
-    """
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
-
-
-def forget(spark: SparkSession, *paths: str) -> None:
-    """Delete intermediate tables that nothing reads any more."""
-    for path in paths:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+from vellum.storage import forget, materialize, new_path, shared_dir  # noqa: F401
 
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -15,9 +15,10 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
 
     Large-star links every larger neighbour of a node to the smallest node of its
     neighbourhood; small-star does so for smaller neighbours. Each round is two
-    aggregations with map-side combine and two equi-joins, whose hot keys adaptive
-    execution splits; no neighbourhood is gathered in one place. The edge table is
-    written to the shared folder after each round and the round before is deleted.
+    aggregations with map-side combine and two equi-joins. The aggregated side of a join is
+    written first: then both sides are plain shuffles, and adaptive execution splits hot
+    keys, which it does not do behind an aggregation. No neighbourhood is gathered in one
+    place. Tables are written to the shared folder and deleted after the next round.
     Null ends and self-loops are ignored; an empty table gives an empty result.
     """
     spark = edges.sparkSession
@@ -26,13 +27,14 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
     seen = _digest(now)
     while seen[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low, low_path = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "cc-low")
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large, large_path = materialize(large, "cc-large")
+        low, least_path = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "cc-low")
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         after, after_path = materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "cc")
         digest = _digest(after)
-        forget(spark, path)
+        forget(spark, path, low_path, large_path, least_path)
         now, path, done, seen = after, after_path, digest == seen, digest
         if done:
             break

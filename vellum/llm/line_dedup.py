@@ -4,7 +4,10 @@ DataFrame functions only. Every page gives each of its distinct lines once, as a
 digest with its host; pages are counted by (host, line) with map-side combine, so a host
 with a third of all pages is spread over its lines. A line is boilerplate if its pages
 exceed ``ratio`` of the host's pages. A host has at most (lines per page) / ratio such
-lines, whatever its size, so they fit one row per host, which the pages join.
+lines, whatever its size, so they fit one row per host. These rows are written and the
+pages join them: below the session's broadcast threshold, which Spark checks against the
+table's size, no page moves; above it both sides are plain shuffles, and adaptive
+execution splits the partition of a hot host.
 """
 
 from __future__ import annotations
@@ -12,7 +15,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-RATIO, MIN_PAGES = 0.3, 3
+from vellum.storage import materialize
+
+#: A line on one page alone repeats nothing, however few pages its site has.
+RATIO, MIN_PAGES = 0.3, 2
 #: Elements whose contents aren't text, and tags that end a line.
 HIDDEN = r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->"
 BREAKS = r"(?i)</?(?:p|br|div|li|ul|ol|h[1-6]|tr|td|th|table|title|head|body|html|nav|article|section|header|footer|aside|main|pre|blockquote)(?:[ \t\r\n/][^>]*)?>"
@@ -39,7 +45,7 @@ def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAG
 
     ``pages`` has host and lines.
     """
-    totals = pages.groupBy("host").agg(F.count("*").alias("total")).where(F.col("total") >= min_pages)
+    totals = pages.groupBy("host").agg(F.count("*").alias("total"))
     each = pages.select("host", F.explode(F.array_distinct(F.transform("lines", digest))).alias("line"))
     counts = each.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
     bad = counts.join(totals, "host").where(F.col("n") > F.lit(ratio) * F.col("total"))
@@ -50,12 +56,13 @@ def line_dedup(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGE
     """One row per input row: page_id, host, lines (all), kept (lines that aren't boilerplate), in page order.
 
     Null html has no lines; a null or odd URL belongs to the host ''. A line that a page
-    repeats counts once for it, and is kept or dropped in all its places. Ids may repeat or
-    be null: every row is a page. An empty table gives an empty result; other columns are
+    repeats counts once for it, and is kept or dropped in all its places; one that stands on
+    exactly ``ratio`` of the pages is kept. Lines are compared whole, however long. Ids may
+    repeat or be null: every row is a page, a repeated one too. An empty table gives an empty result; other columns are
     ignored.
     """
     named = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col).cast("string")).alias("host"), html_lines(F.col(html_col).cast("string")).alias("lines"))
-    bad = boilerplate(named.select("host", "lines"), ratio, min_pages)
+    bad, _ = materialize(boilerplate(named.select("host", "lines"), ratio, min_pages), "boilerplate")
     joined = named.join(bad, "host", "left")
     kept = F.filter("lines", lambda x: ~F.array_contains(F.col("bad"), digest(x)))
     return joined.select("page_id", "host", "lines", F.when(F.col("bad").isNull(), F.col("lines")).otherwise(kept).alias("kept"))
