@@ -120,6 +120,83 @@ def test_simhash_finds_all_near_links(spark):
     assert all(got[x] == want[i] for i, x in enumerate(fps))
 
 
+@pytest.mark.parametrize("blocks", [5, 6])
+def test_simhash_splits_large_shards_again(spark, blocks):
+    """Values that share most bits meet in a few shards; every link is found, however the shards are split."""
+    rng = random.Random(8)
+    hot = rng.getrandbits(64)
+    fps = {hot ^ (rng.getrandbits(20) << 5) for _ in range(700)} | {rng.getrandbits(64) for _ in range(50)}
+    fps = sorted(fps)
+    df = spark.createDataFrame([(i, simhash._signed(x)) for i, x in enumerate(fps)], "doc_id long, fp long")
+    got = {r["fp"] & (2**64 - 1): r["component_id"] for r in simhash.near_groups(df, 3, blocks - 1, large=30).collect()}
+    want = groups_of([(a, b) for a, b in combinations(range(len(fps)), 2) if (fps[a] ^ fps[b]).bit_count() <= 3], range(len(fps)))
+    assert len(set(want.values())) > 20 and all(got[x] == want[i] for i, x in enumerate(fps))
+
+
+def test_a_dense_group_is_not_compared_in_all_pairs():
+    rng = random.Random(2)
+    base, looked = rng.getrandbits(64), 0
+
+    class Counted(int):
+        def __xor__(self, other):
+            nonlocal looked
+            looked += 1
+            return int(self) ^ int(other)
+
+    tree, n = simhash.BKTree(), 4000
+    for _ in range(n):
+        x = base
+        for b in rng.sample(range(64), 2):
+            x ^= 1 << b
+        tree.add(Counted(x), 4)
+    assert len({tree.root(i) for i in range(n)}) == 1 and looked < n * 100
+
+
+def jaccard_groups(rows, least=0.8):
+    """Links and groups by comparing all pairs of texts."""
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if (w := (t or "").lower().split()) else set() for i, t in rows}
+    links = [(a, b) for a, b in combinations(sorted(sets), 2) if len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b])]
+    return links, groups_of(links, sets)
+
+
+def edited(rng, words, changes):
+    words = list(words)
+    for k in rng.sample(range(len(words)), changes):
+        words[k] = f"new{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def test_near_copies(spark, sf):
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    rows, passage = [], rng.choices(vocabulary, k=60)
+    for _ in range(60):
+        base = rng.choices(vocabulary, k=rng.randrange(30, 400))
+        rows.append(" ".join(base))
+        for _ in range(rng.randrange(0, 5)):
+            rows.append(edited(rng, base, rng.randrange(0, max(2, len(base) // 25))))
+    rows += [" ".join(passage + rng.choices(vocabulary, k=60)) for _ in range(80)]
+    rows += ["", None, "  ", "one two", "ONE\ttwo", "one two three"]
+    rows = list(enumerate(rows))
+    links, want = jaccard_groups(rows)
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, keys string, fp int").repartition(5)
+    got = {r["doc_id"]: r for r in simhash.near_copies(df).collect()}
+    assert len(links) > 60 and {i: r["component_id"] for i, r in got.items()} == want
+    assert all(r["kept"] == (i == r["component_id"]) for i, r in got.items())
+    docs = spark.read.parquet(sf.replace("sf0.001", "sf0.01") + "/documents.parquet")
+    links, want = jaccard_groups(texts(docs))
+    found = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(docs).collect()}
+    assert sum(found[a] == found[b] for a, b in links) >= 0.99 * len(links)
+    assert all(want[i] == want[c] for i, c in found.items())
+
+
+def test_near_copies_odd(odd, empty):
+    got = simhash.near_copies(odd).collect()
+    assert len(got) == len(ODD) and simhash.near_copies(empty).count() == 0
+    assert {r["doc_id"]: r["component_id"] for r in got if r["doc_id"] in (1, 2, 3, 4, 6)} == {1: 1, 2: 1, 3: 3, 4: 3, 6: 3}
+    assert all(r["kept"] for r in got if r["doc_id"] is None)
+
+
 @pytest.mark.parametrize("blocks", [5, 6, 7])
 def test_every_block_choice_keeps_pairs_together(blocks):
     rng = random.Random(1)

@@ -8,7 +8,7 @@ import pytest
 
 import corpus_pipeline
 from vellum.llm import bpe, queries
-from test_operators import brute_fingerprint, groups_of
+from test_operators import jaccard_groups
 
 
 def test_stages_keep_columns_and_decide(spark):
@@ -29,8 +29,7 @@ def test_run_equals_brute_force(spark, sf):
     for i in sorted(first):
         last[docs[i]] = i
     kept = sorted(last.values())
-    fp = {i: brute_fingerprint(docs[i]) for i in kept}
-    groups = groups_of([(a, b) for a in fp for b in fp if a < b and (fp[a] ^ fp[b]).bit_count() <= 4], fp)
+    _, groups = jaccard_groups([(i, docs[i]) for i in kept])
     want = {i for i, g in groups.items() if i == g}
     got = corpus_pipeline.run(spark, sf).collect()
     assert {r["doc_id"] for r in got} == want

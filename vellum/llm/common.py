@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,31 +29,36 @@ def batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-def sorted_runs(batches: Iterable[pa.RecordBatch], key: list[str]) -> Iterator[pa.Table]:
-    """Tables of consecutive rows with equal key, from batches already sorted by it.
+def shared_runs(batches: Iterable[pa.RecordBatch], key: list[str]) -> Iterator[pa.Table]:
+    """Tables of two and more consecutive rows with equal key, from batches already sorted by it.
 
-    Only the current run is held, so memory is bounded by the largest run.
+    Keys are integers without nulls. Only the current run is held, so memory is bounded by
+    the largest run; a row that is alone costs no Python.
     """
     held: list[pa.RecordBatch] = []
     held_key = None
     for b in batches:
-        if not b.num_rows:
+        n = b.num_rows
+        if not n:
             continue
-        cols = [b.column(b.schema.get_field_index(k)) for k in key]
-        starts = {0}
+        cols = [b.column(b.schema.get_field_index(k)).to_numpy() for k in key]
+        changes = np.zeros(n - 1, bool)
         for c in cols:
-            if b.num_rows > 1:
-                import pyarrow.compute as pc
-
-                differs = pc.fill_null(pc.not_equal(c.slice(1), c.slice(0, b.num_rows - 1)), True)
-                starts.update((pc.indices_nonzero(differs).to_numpy() + 1).tolist())
-        cuts = [*sorted(starts), b.num_rows]
-        for i, j in zip(cuts, cuts[1:], strict=False):
-            k = tuple(c[i].as_py() for c in cols)
-            if held and k != held_key:
+            changes |= c[1:] != c[:-1]
+        cuts = [0, *(np.flatnonzero(changes) + 1).tolist(), n]
+        first = tuple(c[0].item() for c in cols)
+        if held and first != held_key:
+            if sum(x.num_rows for x in held) > 1:
                 yield pa.Table.from_batches(held)
-                held = []
-            held_key = k
-            held.append(b.slice(i, j - i))
-    if held:
+            held = []
+        held.append(b.slice(0, cuts[1]))
+        held_key = first
+        if len(cuts) == 2:
+            continue
+        if sum(x.num_rows for x in held) > 1:
+            yield pa.Table.from_batches(held)
+        for i in (np.flatnonzero(np.diff(cuts[1:-1]) > 1) + 1).tolist():
+            yield pa.Table.from_batches([b.slice(cuts[i], cuts[i + 1] - cuts[i])])
+        held, held_key = [b.slice(cuts[-2], n - cuts[-2])], tuple(c[-1].item() for c in cols)
+    if sum(x.num_rows for x in held) > 1:
         yield pa.Table.from_batches(held)
