@@ -11,38 +11,56 @@ from pyspark.sql import functions as F
 
 from vellum.llm.common import materialize
 from vellum.llm.exact_dedup import exact_dedup
-from vellum.llm.langid import language_id
+from vellum.llm.langid import language_column, train
 from vellum.llm.packing import pack
-from vellum.llm.simhash import simhash_dedup
+from vellum.llm.simhash import near_copies
 
 #: A document of a learned language scores at least 1 / (number of languages); below this it is rejected.
 LEAST_LANGUAGE_SCORE = 0.3
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language stay; those without a letter, and those that no language fits, go."""
-    found = language_id(docs).where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE))
-    return _only(docs, found)
+    """Documents in a learned language stay; those without a letter, and those that no language fits, go.
+
+    Each row is judged by its own text, in one pass without a join: rows that repeat an id
+    or have none are judged one by one. Very long texts are read whole. Null and empty texts
+    go. Without a language to learn from, or in an empty table, nothing stays.
+    """
+    found = language_column(train(docs))(F.col("text").cast("string"))
+    return docs.where((found["lang_pred"] != "und") & (found["score"] >= LEAST_LANGUAGE_SCORE))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the document with the largest doc_id stays."""
-    return _only(docs, exact_dedup(docs).where("kept"))
+    """Of equal texts, the document with the largest doc_id stays.
+
+    Null counts as empty text. Rows that share an id (null is one) stay if one of them does.
+    Texts are compared whole. An empty table stays empty; other columns stay as they are.
+    """
+    return _without_dropped(docs, exact_dedup(docs), "exact")
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by their fingerprints, the one with the smallest doc_id stays."""
-    return _only(docs, simhash_dedup(docs).where("kept"))
+    """Of documents linked by a Jaccard similarity of 0.8 or more of their five-word shingles, the one with the smallest doc_id stays.
+
+    Texts without words are equal to each other; rows with a null id stay. Rows that share an
+    id stay if one of them does. An empty table stays empty; other columns stay as they are.
+    """
+    return _without_dropped(docs, near_copies(docs), "near")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents as pieces of sequences of at most 2048 ids."""
+    """All documents as pieces of sequences of at most 2048 ids; null and empty texts are a single end id, repeated or null ids are documents of their own, an empty table has no pieces."""
     return pack(docs)
 
 
-def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id (null included) is among the kept ones, with their own columns."""
-    return docs.join(kept.select(F.col("doc_id").alias("__kept")).distinct(), F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
+def _without_dropped(docs: DataFrame, verdicts: DataFrame, name: str) -> DataFrame:
+    """The rows of ``docs`` whose doc_id has a kept row, with their own columns.
+
+    Only the dropped ids are written and joined: where Spark finds the table small enough it
+    is broadcast and no text moves, else both sides are shuffled by doc_id.
+    """
+    dropped, _ = materialize(verdicts.groupBy("doc_id").agg(F.max("kept").alias("kept")).where("not kept").select(F.col("doc_id").alias("__dropped")), f"{name}-dropped")
+    return docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("__dropped")), "left_anti")
 
 
 STAGES = [("language_id", language_stage), ("exact_dedup", exact_stage), ("simhash_near_dedup", near_stage), ("packing", packing_stage)]

@@ -391,10 +391,76 @@ def test_language_id(odd, spark, sf):
     assert len(rows) == len(ODD)
     assert {r["lang_pred"] for r in rows if r["doc_id"] in (3, 4, 6, 7)} == {"und"}
     model = langid.train(docs)
-    assert (model.weights == 0).mean() > 0.3
+    assert len(model.values) < 0.7 * (1 << langid.BITS) * len(model.langs) and (model.values != 0).all()
     assert langid.train(docs.where("false")).predict("abc") == ("und", 0.0)
 
 
+def reference_features(text, bits):
+    """Counts of the hashed runs, one run at a time, in whole numbers."""
+    low, counts = 1 << 32, defaultdict(int)
+    c = [ord(x) for x in text.lower()]
+    for i, x in enumerate(c):
+        a = x * 2654435761 % low
+        counts[a >> 32 - bits] += 1
+        if i + 1 < len(c):
+            b = (a ^ c[i + 1] * 2246822519 % low) * 3266489917 % low
+            counts[b >> 32 - bits] += 1
+            if i + 2 < len(c):
+                counts[((b ^ c[i + 2] * 668265263 % low) * 374761393 % low) >> 32 - bits] += 1
+    return counts
+
+
+def test_language_features_equal_a_plain_count():
+    for text in ("", "a", "Ab", "The nation — naïve 你好!", "aaa" * 50):
+        at, tf = langid.features(text, 12)
+        want = reference_features(text, 12)
+        assert at.tolist() == sorted(want) and np.allclose(tf, [1 + np.log(want[k]) for k in sorted(want)], atol=1e-5)
+
+
+def test_ftrl_equals_a_coordinate_wise_computation():
+    rng = np.random.default_rng(3)
+    examples = [(np.sort(rng.choice(12, 4, replace=False)).astype(np.int32), rng.random(4), int(rng.integers(3))) for _ in range(25)]
+    alpha, beta, l1, l2 = 0.5, 1.0, 0.6, 0.02
+    w, b = langid.ftrl(examples, 12, 3, alpha, beta, l1, l2, epochs=2)
+    z, n = [[0.0] * 3 for _ in range(13)], [[0.0] * 3 for _ in range(13)]
+
+    def weight(f, k):
+        if abs(z[f][k]) <= l1:
+            return 0.0
+        return -(z[f][k] - (l1 if z[f][k] > 0 else -l1)) / ((beta + n[f][k] ** 0.5) / alpha + l2)
+
+    order = np.random.default_rng(0)
+    for _ in range(2):
+        for i in order.permutation(len(examples)):
+            at, x, y = examples[i]
+            pairs = [*zip(at.tolist(), x.tolist(), strict=True), (12, 1.0)]
+            s = [sum(v * weight(f, k) for f, v in pairs) for k in range(3)]
+            e = [np.exp(v - max(s)) for v in s]
+            step = [((f, k), v * (e[k] / sum(e) - (k == y)), weight(f, k)) for f, v in pairs for k in range(3)]
+            for (f, k), g, old in step:
+                z[f][k] += g - ((n[f][k] + g * g) ** 0.5 - n[f][k] ** 0.5) / alpha * old
+                n[f][k] += g * g
+    assert np.allclose(w, [[weight(f, k) for k in range(3)] for f in range(12)]) and np.allclose(b, [weight(12, k) for k in range(3)])
+    assert (w == 0).any()
+
+
+def test_calibration_and_sparse_logits():
+    rng = np.random.default_rng(5)
+    labels = rng.integers(0, 3, 300)
+    logits = rng.normal(size=(300, 3)) + 2.0 * np.eye(3)[labels]
+    loss = lambda t: float(np.mean([np.log(np.exp(z / t).sum()) - z[y] / t for z, y in zip(logits, labels, strict=True)]))
+    best = langid.calibrate(logits, labels)
+    assert loss(best) <= min(loss(t) for t in np.geomspace(0.1, 10, 400)) + 1e-6 and langid.calibrate(np.zeros((0, 3)), np.zeros(0)) == 1.0
+    dense = rng.normal(size=(1 << 8, 3)) * (rng.random((1 << 8, 3)) < 0.3)
+    row, column = np.nonzero(dense)
+    model = langid.Model(["a", "b", "c"], np.ones(1 << 8, np.float32), np.searchsorted(row, np.arange((1 << 8) + 1)), column, dense[row, column], np.array([0.1, 0.2, 0.3]), 1.0, 8)
+    at, tf = langid.features("some words of a text", 8)
+    want = langid.unit_tfidf(at, tf, model.idf).astype(float) @ dense[at] + model.bias
+    assert np.allclose(model.logits(at, tf), want)
+    p = np.exp(want - want.max())
+    assert model.predict("some words of a text") == ("abc"[int(want.argmax())], pytest.approx(p.max() / p.sum()))
+
+
 def test_every_language_is_learned(spark):
     rng = random.Random(6)
     alphabet = lambda k: [chr(0x4E00 + 12 * k + j) for j in range(12)]
