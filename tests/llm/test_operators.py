@@ -567,3 +567,59 @@ def test_line_dedup_edges(spark):
 def test_line_dedup_does_not_move_pages_for_a_small_table_of_lines(spark, sf):
     plan = line_dedup.line_dedup(spark.read.parquet(f"{sf}/pages.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning(host" not in plan
+
+
+def brute_license(words, idf):
+    """Labels and score by trying every template at every place, without an index."""
+    labels, best = set(), 0.0
+    for t in license_scan.TEMPLATES:
+        w = list(t.words)
+        key = w[t.key[0] : t.key[1]]
+        if not t.body:
+            labels |= {t.label} if any(words[i : i + len(w)] == w for i in range(len(words))) else set()
+            continue
+        rarest = sorted(set(w), key=lambda x: (-idf[x], x))[: license_scan.ANCHORS]
+        votes = sorted((p - at, x) for p, x in enumerate(words) if x in rarest for at, y in enumerate(w) if x == y)
+        groups = []
+        for v in votes:
+            if groups and v[0] - groups[-1][-1][0] <= license_scan.DRIFT:
+                groups[-1].append(v)
+            else:
+                groups.append([v])
+        for g in groups:
+            if sum(idf[x] for x in {x for _, x in g}) < license_scan.LEAST_VOTES * sum(idf[x] for x in rarest):
+                continue
+            window = words[max(0, g[0][0] - license_scan.DRIFT) : max(0, g[-1][0] + len(w) + license_scan.DRIFT)]
+            if not any(window[i : i + len(key)] == key for i in range(len(window))):
+                continue
+            near = {(a, b) for a, b in zip(window, window[1:])}
+            pairs = [(a, b) for a, b in zip(w, w[1:])]
+            score = sum(idf[a] + idf[b] for a, b in pairs if (a, b) in near) / sum(idf[a] + idf[b] for a, b in pairs)
+            if score >= license_scan.LEAST_SCORE:
+                labels.add(t.label)
+                best = max(best, min(1.0, score))
+    return labels, best
+
+
+def test_license_labels_and_scores_equal_brute_force(spark, docs):
+    rng = random.Random(9)
+    made = []
+    for label, _, text in license_scan.BODIES:
+        w = text.split()
+        made += [text, "x " * 40 + text + " y" * 30 + " " + text.upper(), " ".join(x for x in w if rng.random() > 0.05), " ".join(w[: len(w) // 2]), " ".join(rng.sample(w, len(w)))]
+    made += ["The MIT License is short.", "Licensed under CC BY-NC 4.0.", "creative commons attribution", "", None, "license " * 3000]
+    made = spark.createDataFrame([(10_000 + i, t) for i, t in enumerate(made)], "doc_id long, text string")
+    both = made.unionByName(docs.select("doc_id", "text"))
+    rows = texts(both)
+    split = {i: [x.encode() for x in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t))] for i, t in rows}
+    sets = [set(w) for w in split.values()]
+    idf = {w: np.log((1 + len(sets)) / (1 + sum(w in s for s in sets))) + 1 for t in license_scan.TEMPLATES for w in t.words}
+    got = {r["doc_id"]: r for r in license_scan.license_scan(both).collect()}
+    for i, words in split.items():
+        labels, score = brute_license(words, idf)
+        assert got[i]["labels"] == ",".join(sorted(labels)) and abs(got[i]["score"] - score) < 1e-9, i
+    for k, (label, _, _) in enumerate(license_scan.BODIES):
+        assert label in got[10_000 + 5 * k]["labels"].split(",") and got[10_000 + 5 * k]["score"] > 0.99
+    name = got[10_000 + 5 * len(license_scan.BODIES)]
+    assert (name["labels"], name["score"]) == ("mit", 0.0)
+    assert got[10_001 + 5 * len(license_scan.BODIES)]["labels"] == "cc-by,cc-by-nc"

@@ -1,12 +1,14 @@
 """Operator 9, license scans: a positional index of rare licence words.
 
-Templates are short runs of licence words, each with a mandatory key phrase at a known
-place. The rarity of the templates' words is counted over all documents. The index holds
-the two rarest words of each template's key phrase, with where in the template they
-stand. A file's indexed words are looked up, the rarest first; each place of such a word
-says where the template would begin, and the beginnings that a template's words give are
-intersected. Those left are verified word by word: the key phrase must stand there in
-full, and the words around it give the score.
+Templates are the operative words of licences, each with a mandatory key phrase, and the
+names of licences, which are their own key phrase. The rarity of the templates' words is
+counted over all documents. The index holds the rarest words of each template, with all
+their places in it. A file's indexed words are looked up, the rarest first; each place of
+such a word says where the template would begin. Beginnings that lie close together are one
+place (words may have been left out or put in between), and it counts if the words that vote
+for it have half the weight of the template's indexed words. There the key phrase is verified in full,
+and the share of the template's neighbouring words that also stand side by side there is the
+score. A name has no slack: its two rarest words must agree on one beginning.
 """
 
 from __future__ import annotations
@@ -21,115 +23,121 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellum.llm.common import batch, id_text, rows
+from vellum.llm.license_texts import BASE_PHRASES, BODIES, PHRASES
+
+#: Indexed words of a body, words by which the beginnings of one place differ at most from the next, least share of votes and of a score.
+ANCHORS, DRIFT, LEAST_VOTES, LEAST_SCORE = 16, 12, 0.5, 0.6
+
+_WORDS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
+_OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("base_labels", pa.string()), ("labels", pa.string()), ("score", pa.float64())])
+_OUT_DDL = "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, labels string, score double"
+_DF = pa.schema([("word", pa.string()), ("n", pa.int64())])
+
+
+def words_of(text: str) -> list[bytes]:
+    """Runs of digits, ASCII letters (lower-cased) and characters beyond ASCII."""
+    return text.encode("utf-8", "surrogatepass").translate(_WORDS).split()
 
 
 @dataclass(frozen=True)
 class Template:
-    """``words`` with the key phrase at ``key[0]:key[1]``; base templates are their key phrase alone."""
+    """``words`` with the key phrase at ``key[0]:key[1]``; names (``body`` false) are their key phrase alone."""
 
     label: str
-    words: tuple[str, ...]
+    words: tuple[bytes, ...]
     key: tuple[int, int]
+    body: bool = True
     base: bool = False
 
 
 def template(label: str, text: str, key: str | None = None, base: bool = False) -> Template:
-    words, phrase = tuple(text.split()), tuple((key or text).split())
+    words, phrase = tuple(words_of(text)), tuple(words_of(key or text))
     at = next(i for i in range(len(words)) if words[i : i + len(phrase)] == phrase)
-    return Template(label, words, (at, at + len(phrase)), base)
-
-
-TEMPLATES = (
-    template("gpl", "gnu general public license", base=True),
-    template("apache", "apache license", base=True),
-    template("cc-by", "cc by", base=True),
-    template("mit", "mit license", base=True),
-    template("agpl", "gnu affero general public license"),
-    template("lgpl", "gnu lesser general public license"),
-    template("mpl", "mozilla public license"),
-    template("epl", "eclipse public license"),
-    template("bsd", "bsd license"),
-    template("isc", "isc license"),
-    template("gpl", "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", "under the terms of the gnu general public license"),
-    template("apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license", "licensed under the apache license"),
-    template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "permission is hereby granted free of charge"),
-    template("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "redistribution and use in source and binary forms"),
-    template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "permission to use copy modify and or distribute this software"),
-    template("cc-by", "this work is licensed under a creative commons attribution 4 0 international license", "creative commons attribution"),
-)
-
-_WORDS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
-_OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("base_labels", pa.string()), ("labels", pa.string()), ("score", pa.float64())])
-_OUT_DDL = "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, labels string, score double"
-_DF = pa.schema([("word", pa.string()), ("n", pa.int64())])
+    return Template(label, words, (at, at + len(phrase)), key is not None, base)
 
 
-def words_of(text: str) -> list[bytes]:
-    """Runs of digits, ASCII letters (lower-cased) and characters beyond ASCII."""
-    return text.encode("utf-8", "surrogatepass").translate(_WORDS).split()
+TEMPLATES = (*(template(label, text, base=i < BASE_PHRASES) for i, (label, text) in enumerate(PHRASES)), *(template(label, text, key) for label, key, text in BODIES))
 
 
 class RareIndex:
-    """Postings (template, place) of the two rarest words of each key phrase; idf holds the rarity of every template word."""
+    """Postings (template, place) of the rarest words of each template; of equally rare ones the first by spelling."""
 
-    def __init__(self, templates: tuple[Template, ...], idf: dict[str, float]):
-        self.templates = [(t, [w.encode() for w in t.words]) for t in templates]
-        self.idf = {w.encode(): x for w, x in idf.items()}
+    def __init__(self, templates: tuple[Template, ...], idf: dict[bytes, float]):
+        self.templates, self.idf = templates, idf
         self.postings: dict[bytes, list[tuple[int, int]]] = {}
-        self.anchors: list[int] = []
-        for i, (t, words) in enumerate(self.templates):
-            rarest = sorted(range(*t.key), key=lambda k: (-self.idf[words[k]], k))[:2]
-            self.anchors.append(len(rarest))
-            for at in rarest:
-                self.postings.setdefault(words[at], []).append((i, at))
-
-    def begins(self, words: list[bytes]) -> dict[int, set[int]]:
-        """Template -> where it would begin, as all its postings agree. A key phrase stands only there."""
-        present = set(words)
-        met = self.postings.keys() & present
-        wanted = [0] * len(self.templates)
-        for w in met:
-            for i, _ in self.postings[w]:
-                wanted[i] += 1
-        out: dict[int, set[int]] = {i: set() for i, n in enumerate(wanted) if n == self.anchors[i]}
-        seen: set[int] = set()
+        self.anchors: list[list[bytes]] = []
+        for i, t in enumerate(templates):
+            rarest = sorted(set(t.words), key=lambda w: (-idf[w], w))[: ANCHORS if t.body else 2]
+            self.anchors.append(rarest)
+            for at, w in enumerate(t.words):
+                if w in rarest:
+                    self.postings.setdefault(w, []).append((i, at))
+        self.weight = [sum(idf[w] for w in a) for a in self.anchors]
+        self.pairs = [[(w, v, idf[w] + idf[v]) for w, v in zip(t.words, t.words[1:], strict=False)] for t in templates]
+
+    def begins(self, words: list[bytes]) -> dict[int, list[tuple[int, bytes]]]:
+        """Template -> (where it would begin, the word that says so), of the templates that enough indexed words could vote for."""
+        met = self.postings.keys() & set(words)
+        could = [0.0] * len(self.templates)
+        for i in {i for w in met for i, _ in self.postings[w]}:
+            could[i] = sum(self.idf[w] for w in self.anchors[i] if w in met)
+        alive = {i for i, t in enumerate(self.templates) if could[i] and could[i] >= (LEAST_VOTES if t.body else 1) * self.weight[i]}
+        out: dict[int, list[tuple[int, bytes]]] = {i: [] for i in alive}
         for w in sorted(met, key=lambda w: (-self.idf[w], w)):
-            alive = [(i, at) for i, at in self.postings[w] if i in out]
-            if not alive:
+            wanted = [(i, at) for i, at in self.postings[w] if i in alive]
+            if not wanted:
                 continue
             places, p = [], -1
             for _ in range(words.count(w)):
                 p = words.index(w, p + 1)
                 places.append(p)
-            for i, at in alive:
-                hits = {p - at for p in places}
-                hits = hits & out[i] if i in seen else hits
-                seen.add(i)
-                out[i] = hits
+            for i, at in wanted:
+                if not self.templates[i].body and out[i]:
+                    # Names: the beginnings must agree, so only those that rarer words gave are kept.
+                    known = {b for b, x in out[i] if x != w}
+                    out[i] = [(b, w) for b in (p - at for p in places) if b in known] if known else out[i] + [(p - at, w) for p in places]
+                else:
+                    out[i] += [(p - at, w) for p in places]
         return out
 
+    def places(self, i: int, begins: list[tuple[int, bytes]]) -> Iterator[tuple[int, int]]:
+        """(first, last) beginning of each place that has votes enough."""
+        begins.sort()
+        k = 0
+        while k < len(begins):
+            j = k + 1
+            while j < len(begins) and begins[j][0] - begins[j - 1][0] <= DRIFT:
+                j += 1
+            if sum(self.idf[w] for w in {w for _, w in begins[k:j]}) >= LEAST_VOTES * self.weight[i]:
+                yield begins[k][0], begins[j - 1][0]
+            k = j
+
     def scan(self, words: list[bytes]) -> list[tuple[int, int, float]]:
-        """(template, place of its key phrase, score) of every verified place."""
+        """(template, place of its key phrase, score) of every verified place; names have score 0."""
         found = []
-        for i, places in self.begins(words).items():
-            t, want = self.templates[i]
+        for i, begins in sorted(self.begins(words).items()):
+            t = self.templates[i]
             a, b = t.key
-            for begin in sorted(places):
-                if begin + a < 0 or words[begin + a : begin + b] != want[a:b]:
+            key, n = list(t.words[a:b]), len(t.words)
+            if not t.body:
+                found += [(i, p, 0.0) for p in sorted({p for p, _ in begins}) if p >= 0 and words[p : p + n] == key]
+                continue
+            for low, high in self.places(i, begins):
+                window = words[max(0, low - DRIFT) : max(0, high + n + DRIFT)]
+                at = next((p for p in range(len(window) - (b - a) + 1) if window[p] == key[0] and window[p : p + b - a] == key), None)
+                if at is None:
                     continue
-                total = hit = 0.0
-                for k, x in enumerate(want):
-                    total += self.idf[x]
-                    if 0 <= begin + k < len(words) and words[begin + k] == x:
-                        hit += self.idf[x]
-                found.append((i, begin + a, hit / total if total else 1.0))
+                side_by_side = set(zip(window, window[1:], strict=False))
+                total = sum(x for _, _, x in self.pairs[i])
+                score = sum(x for w, v, x in self.pairs[i] if (w, v) in side_by_side) / total
+                if score >= LEAST_SCORE:
+                    found.append((i, max(0, low - DRIFT) + at, min(1.0, score)))
         return found
 
 
-def word_rarity(docs: DataFrame, templates: tuple[Template, ...], id_col: str = "doc_id", text_col: str = "text") -> dict[str, float]:
+def word_rarity(docs: DataFrame, templates: tuple[Template, ...], id_col: str = "doc_id", text_col: str = "text") -> dict[bytes, float]:
     """Inverse document frequency of the templates' words over all documents; the driver gets one row a word."""
-    vocabulary = {w for t in templates for w in t.words}
-    wanted = {w.encode() for w in vocabulary}
+    wanted = {w for t in templates for w in t.words}
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, seen = 0, Counter()
@@ -141,17 +149,18 @@ def word_rarity(docs: DataFrame, templates: tuple[Template, ...], id_col: str =
 
     counts = {r["word"]: r["n"] for r in id_text(docs, id_col, text_col).mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).collect()}
     n = counts.get(None) or 0
-    return {w: math.log((1 + n) / (1 + counts.get(w, 0))) + 1 for w in vocabulary}
+    return {w: math.log((1 + n) / (1 + counts.get(w.decode(), 0))) + 1 for w in wanted}
 
 
 def license_scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     n_base counts all places of base phrases, first_word and last_word are the smallest and
-    largest of their starts (null if none). labels also has what the other templates found.
-    score is the rarity-weighted share of the best template that stands at a verified place
-    (0 if none). Null text counts as empty: no words, empty labels, score 0. Ids may repeat
-    or be null. An empty table gives an empty result; other columns are ignored.
+    largest of their starts (null if none). labels also has what the other templates found:
+    names that stand in full, and bodies at a verified place. score is the rarity-weighted share
+    of the best body that stands at a verified place; 0 if none does, so a name alone scores 0.
+    Null text counts as empty: no words, empty labels, score 0. Whole texts are read. Ids may
+    repeat or be null. An empty table gives an empty result; other columns are ignored.
     """
     idf = word_rarity(docs, templates, id_col, text_col)
 
