@@ -55,8 +55,8 @@ def test_longest_match_and_constraints(spark):
 
 
 def test_paths_and_errors():
-    path = "main_tree:class_1.class_1_4~subsidiary_tree:class_c"
-    assert X.path_tasks(path) == [("main_tree", "class_1"), ("main_tree:class_1", "class_1_4"), ("main_tree:class_1.class_1_4~subsidiary_tree", "class_c")]
+    path = "vehicle:boat.ferry~size:large"
+    assert X.path_tasks(path) == [("vehicle", "boat"), ("vehicle:boat", "ferry"), ("vehicle:boat.ferry~size", "large")]
     good = {"t": ["taxonomy"], "a": ["t"], "b": ["t"]}
     X.Taxonomy(good).validate()
     for bad, word in (({**good, "c": ["a"]}, "single child"), ({**good, "b": ["t", "a"]}, "graph"), ({"t": ["taxonomy"]}, "empty"), ({**good, "x": ["y"], "y": ["x"]}, "recursion")):
@@ -91,10 +91,10 @@ def test_captions(spark):
 
 
 def test_caption_parts(spark):
-    caption = "Brain CT scan. There is a mass in the frontal lobe (A-C) and an intracerebral hemorrhage in the right parietotemporal lobe (C and D)."
-    mass, bleed = "There is a mass in the frontal lobe.", "An intracerebral hemorrhage in the right parietotemporal lobe."
+    caption = "Chest film of the patient. We see a cyst near the hilum (A-C) and a broken rib on the other side (C and D)."
+    mass, bleed = "We see a cyst near the hilum.", "A broken rib on the other side."
     want = {"A": [mass], "B": [mass], "C": [mass, bleed], "D": [bleed]}
-    assert {p["reference"]: p["caption"] for p in C.segment(caption)} == {r: " ".join(["Brain CT scan.", *t]) for r, t in want.items()}
+    assert {p["reference"]: p["caption"] for p in C.segment(caption)} == {r: " ".join(["Chest film of the patient.", *t]) for r, t in want.items()}
     got = C.segment("a: Chest X-ray of 2.5 cm. b: Abdomen. It is normal.")
     assert got == [{"reference": "a", "caption": "Chest X-ray of 2.5 cm."}, {"reference": "b", "caption": "Abdomen. It is normal."}]
     assert [p["reference"] for p in C.segment("Lung (left) and liver (right).")] == ["left", "right"]

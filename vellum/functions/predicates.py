@@ -26,13 +26,13 @@ def _sure(test: Column) -> Column:
 
 
 def at_least(value: Column, bounds: list) -> Column:
-    """value >= the smallest bound; null is false."""
-    return _sure(value.cast("int") >= F.lit(min(map(int, bounds))))
+    """value >= the smallest bound; null, and what isn't a number, is false."""
+    return _sure(value.try_cast("int") >= F.lit(min(map(int, bounds))))
 
 
 def at_most(value: Column, bounds: list) -> Column:
-    """value <= the largest bound; null is false."""
-    return _sure(value.cast("int") <= F.lit(max(map(int, bounds))))
+    """value <= the largest bound; null, and what isn't a number, is false."""
+    return _sure(value.try_cast("int") <= F.lit(max(map(int, bounds))))
 
 
 def member(value: Column, members: list[str], ignore_case: bool = False) -> Column:
@@ -41,6 +41,11 @@ def member(value: Column, members: list[str], ignore_case: bool = False) -> Colu
     return _sure(value.isin(members))
 
 
+def whitelisted(value: Column, allowed: list[str]) -> Column:
+    """One of the allowed values; an empty list allows all."""
+    return member(value, list(allowed)) if allowed else F.lit(True)
+
+
 def has_substrings(text: Column, needles: list[str], operator: str = "all") -> Column:
     """Literal substrings, ignoring case."""
     low = F.lower(F.coalesce(text, F.lit("")))

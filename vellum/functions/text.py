@@ -17,8 +17,9 @@ _MENTIONS = ArrayType(StructType([StructField("mention", StringType()), StructFi
 ONES = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split()
 TENS = {"twenty": 20, "thirty": 30, "forty": 40, "fifty": 50, "sixty": 60, "seventy": 70, "eighty": 80, "ninety": 90}
 NUMBER_WORDS = {**{w: i + 1 for i, w in enumerate(ONES)}, **TENS}
-_WORD = "(?:" + "|".join(sorted(NUMBER_WORDS, key=len, reverse=True)) + ")"
-_NUMBER = rf"(\d+|{_WORD}(?:[- ]{_WORD})?)"
+HUNDRED = "hundred"
+_WORD = "(?:" + "|".join(sorted([*NUMBER_WORDS, HUNDRED], key=len, reverse=True)) + ")"
+_NUMBER = rf"(\d+|{_WORD}(?:[- ](?:and[- ])?{_WORD}){{0,3}})"
 _UNIT = r"(years?|yrs?|yo|y/o|months?|weeks?|days?)"
 OLD = rf"(?i)\b{_NUMBER}[- ]*{_UNIT}\b[^.]{{0,20}}?(?:old|\bo\b|(?<=yo))"
 AGED = rf"(?i)\b(?:aged|age of|age)[: ]+{_NUMBER}\b(?:[- ]*{_UNIT})?"
@@ -26,10 +27,10 @@ LIMIT = 130
 
 
 def words_to_number(words: Column) -> Column:
-    """The sum of the number words (or the digits) in a phrase; 0 if there are none."""
+    """The number that a phrase of number words (or digits) says, such as one hundred and five; 0 if it says none."""
     table = F.create_map(*[F.lit(x) for kv in NUMBER_WORDS.items() for x in kv])
     parts = F.split(F.lower(words), "[- ]+")
-    return F.aggregate(parts, F.lit(0), lambda a, w: a + F.coalesce(w.try_cast("int"), table[w], F.lit(0)))
+    return F.aggregate(parts, F.lit(0), lambda a, w: F.when(w == HUNDRED, F.greatest(a, F.lit(1)) * 100).otherwise(a + F.coalesce(w.try_cast("int"), table[w], F.lit(0))))
 
 
 def extract_age(text: Column) -> Column:
@@ -43,20 +44,35 @@ def extract_age(text: Column) -> Column:
     return F.when(age <= LIMIT, age)
 
 
-_TRANS = r"(?i)\btrans(?:gender|sexual|\s+(?:man|woman|male|female))\b"
-_FEMALE = r"(?i)\b(?:female|woman|women|girl|lady|pregnant|primigravida|multigravida|puerpera)\b"
-_MALE = r"(?i)\b(?:male|man|men|boy|gentleman)\b"
-_SHE, _HE = r"(?i)\b(?:she|her|hers)\b", r"(?i)\b(?:he|his|him)\b"
+#: The words that tell a gender, in lower case.
+TRANSGENDER = ["transgender", "transexual", "transsexual", "trans man", "trans woman", "trans male", "trans female"] + [f"{a}{d}to{d}{b}" for a, b in (("female", "male"), ("male", "female")) for d in "- "]
+ACRONYMS = ["mtf", "ftm"]
+FEMALE = ["woman", "women", "girl", "girls", "mistress", "mistresses", "lady", "ladies", "female", "females", "puerpera", "primigravida", "multigravida", "pregnant"]
+MALE = ["man", "men", "boy", "boys", "gentleman", "gentlemen", "mister", "male", "males"]
+SHE, HE = ["she", "her", "hers", "herself"], ["he", "his", "him", "himself"]
+
+
+def whole_words(words: list[str]) -> str:
+    """A pattern for any of the words, with no ASCII letter or digit on either side; for lower-cased text."""
+    return "(?:^|[^a-z0-9])(?:" + "|".join(words) + ")(?:[^a-z0-9]|$)"
+
+
+#: Classes in order: the first whose pattern is found decides. Acronyms count in a text's first sentence alone.
+GENDERS = [("Transgender", whole_words(TRANSGENDER)), ("Female", whole_words(FEMALE)), ("Male", whole_words(MALE)), ("Female", whole_words(SHE) + r"|\sf\s"), ("Male", whole_words(HE) + r"|\sm\s")]
 
 
 def extract_gender(text: Column) -> Column:
     """Female, Male, Transgender or Unknown: the first sentence decides, then the whole text; nouns go before pronouns."""
+    whole = F.lower(F.coalesce(text, F.lit("")))
+    first = F.get(F.split(whole, r"\."), 0)
 
     def find(t: Column) -> Column:
-        return F.when(t.rlike(_TRANS), "Transgender").when(t.rlike(_FEMALE), "Female").when(t.rlike(_MALE), "Male").when(t.rlike(_SHE), "Female").when(t.rlike(_HE), "Male")
+        out = F.when(first.rlike(whole_words(ACRONYMS)), "Transgender")
+        for name, pattern in GENDERS:
+            out = out.when(t.rlike(pattern), name)
+        return out
 
-    whole = F.coalesce(text, F.lit(""))
-    return F.coalesce(find(F.get(F.split(whole, r"\."), 0)), find(whole), F.lit("Unknown"))
+    return F.coalesce(find(first), find(whole), F.lit("Unknown"))
 
 
 _FIG = re.compile(r"\bfig(?:ure)?s?\b\.?", re.I)
@@ -156,18 +172,29 @@ def clean_spaces(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
-def _literal(x: str | None) -> list[str] | None:
-    if x is None:
-        return None
-    if not x.startswith("["):
-        return [x] if x else []
-    return [str(v) for v in ast.literal_eval(x) if v is not None]
+def _literal(x: str) -> list[str]:
+    try:
+        found = ast.literal_eval(x)
+    except (ValueError, SyntaxError, MemoryError, RecursionError):
+        return [x]
+    return [str(v) for v in found if v is not None] if isinstance(found, (list, tuple)) else [x]
 
 
 @F.pandas_udf(_STRINGS)
-def parse_list_column(column: pd.Series) -> pd.Series:
-    """Lists written as Python literals; a cell that isn't one is a list of itself."""
-    return column.map(_literal)
+def _odd_lists(column: pd.Series) -> pd.Series:
+    return column.map(lambda x: None if x is None else _literal(x))
+
+
+def parse_list_column(column: Column) -> Column:
+    """Lists written as Python literals: a JSON reader takes those of plain quoted strings, Python the odd rest.
+
+    A cell that isn't a list, or a malformed one, is a list of itself; an empty cell an empty list; null stays null.
+    """
+    quoted = r"^\[\s*(?:'[^'\"\\\\]*'|\"[^\"\\\\]*\")?(?:\s*,\s*(?:'[^'\"\\\\]*'|\"[^\"\\\\]*\"))*\s*\]$"
+    plain = F.from_json(column, _STRINGS, {"allowSingleQuotes": "true"})
+    none = F.array().cast(_STRINGS)
+    odd = _odd_lists(F.when(column.startswith("[") & ~column.rlike(quoted), column))
+    return F.when(column.isNull(), None).when(column == "", none).when(~column.startswith("["), F.array(column)).when(column.rlike(quoted), plain).otherwise(odd)
 
 
 def html_metadata(html: Column) -> Column:

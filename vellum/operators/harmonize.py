@@ -7,6 +7,8 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vellum.operators.sequences import row_ids
+
 #: Dataset types whose cases must have an image.
 NEEDS_IMAGE = {"text": True, "case_series": True, "image": False, "multimodal": False}
 
@@ -68,6 +70,16 @@ def merge_update(previous: DataFrame, incoming: DataFrame, key: str) -> DataFram
     return previous.unionByName(new_rows(incoming, previous, key), allowMissingColumns=True)
 
 
+def update(previous: DataFrame, incoming: DataFrame, key: str, year: str, order: list[str], prefix: str, width: int, name: str = "file_id") -> DataFrame:
+    """One update: new rows of the last known year and later are appended, and all rows numbered anew.
+
+    ``previous`` has a row at least; rows of the incoming table whose year is null or no number don't count as late.
+    """
+    last = previous.agg(F.max(F.col(year).try_cast("int"))).first()[0]
+    late = incoming.where(F.col(year).try_cast("int") >= F.lit(last))
+    return row_ids(merge_update(previous, late, key).drop(name), order, prefix, width, name)
+
+
 def fill_from(left: DataFrame, right: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Left join; null values of ``columns`` are filled from the right side."""
     other = right.select(key, *[F.col(c).alias(f"__{c}") for c in columns])

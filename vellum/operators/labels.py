@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 WORD = r"[^\s!(),.:;?\[\]{}]"
 
 
-def annotations(df: DataFrame, ngram: str = "ngram", prefix: str = "label", order: str | None = None) -> DataFrame:
-    """ngram (lower case), labels: the non-null label columns; rows without a label go, of equal n-grams the last stays."""
+def annotations(df: DataFrame, order: str, ngram: str = "ngram", prefix: str = "label") -> DataFrame:
+    """ngram (lower case), labels: the non-null label columns; rows without a label go, of equal n-grams the last by ``order`` stays.
+
+    A table has no order of its own once it is dealt to tasks, so the column that holds it is needed.
+    """
     columns = [c for c in df.columns if c.lower().startswith(prefix)]
     if not columns:
         raise ValueError(f"no column begins with {prefix!r}")
     labels = F.filter(F.array(*columns), lambda x: x.isNotNull() & (x != ""))
-    out = df.select(F.lower(ngram).alias("ngram"), labels.alias("labels"), F.col(order).alias("o") if order else F.monotonically_increasing_id().alias("o"))
+    out = df.select(F.lower(ngram).alias("ngram"), labels.alias("labels"), F.col(order).alias("o"))
     return out.where(F.size("labels") > 0).groupBy("ngram").agg(F.max_by("labels", "o").alias("labels"))
 
 
@@ -49,11 +52,48 @@ def leftmost_longest(found: Column) -> Column:
 
 
 def label_texts(texts: DataFrame, key: str, text: str, dictionary: DataFrame, longest: int = 5) -> DataFrame:
-    """key, label_list (sorted, distinct) of every text; texts without a match have an empty list."""
-    found = matches(texts, key, text, dictionary, longest)
-    per = found.groupBy(key).agg(F.collect_list(F.struct("s", "e", "ngram", "labels")).alias("m"))
-    labelled = per.select(key, F.array_sort(F.array_distinct(F.flatten(F.transform(leftmost_longest(F.col("m")), lambda m: m["labels"])))).alias("label_list"))
-    return texts.select(key).join(labelled, key, "left").select(key, F.coalesce("label_list", F.array().cast("array<string>")).alias("label_list"))
+    """key, label_list (sorted, distinct) of every row; texts without a match have an empty list.
+
+    Equal texts are scanned once, whatever their keys; rows that share a key are texts of their own.
+    """
+    known = texts.select(F.col(text).alias("__text")).where(F.col("__text").isNotNull()).distinct()
+    found = matches(known.withColumn("__h", F.sha2("__text", 256)), "__h", "__text", dictionary, longest)
+    per = found.groupBy("__h").agg(F.collect_list(F.struct("s", "e", "ngram", "labels")).alias("m"))
+    labelled = per.select("__h", F.array_sort(F.array_distinct(F.flatten(F.transform(leftmost_longest(F.col("m")), lambda m: m["labels"])))).alias("label_list"))
+    return texts.select(key, F.sha2(text, 256).alias("__h")).join(labelled, "__h", "left").select(key, F.coalesce("label_list", F.array().cast("array<string>")).alias("label_list"))
+
+
+def special_chars(df: DataFrame, text: str) -> DataFrame:
+    """char: the distinct characters that are neither ASCII letters and digits nor white space."""
+    return df.select(F.explode(F.array_distinct(F.split(F.regexp_replace(F.col(text), r"[a-zA-Z0-9\s]", ""), ""))).alias("char")).where("char <> ''").distinct()
+
+
+def boundary_chars(df: DataFrame, text: str, ngrams: DataFrame, ngram: str = "ngram") -> DataFrame:
+    """char: special characters of the corpus that begin or end no n-gram of the dictionary."""
+    edges = ngrams.select(F.explode(F.array(F.substring(ngram, 1, 1), F.substring(ngram, -1, 1))).alias("char")).distinct()
+    return special_chars(df, text).join(edges, "char", "left_anti")
+
+
+#: The label that blocks others, the one that says that a finding is absent, and the findings it contradicts.
+BLOCKER, ABSENT, FINDINGS = "_LABEL_BLOCKER", "_assertion_absent", ["mass", "benign", "malignant"]
+
+
+def label_pipeline(labels: Column, requirements: list[tuple[list[str], list[str]]] = (), blocker: str = BLOCKER, absent: str = ABSENT, findings: list[str] = FINDINGS) -> Column:
+    """The fixed sequence behind dictionary labels: the blocker goes, absent findings go, then labels whose requirements are missing.
+
+    ``requirements`` holds (checked labels, labels of which one is required), in order.
+    """
+    out = remove_incompatibilities(remove_label(labels, blocker), [absent], findings)
+    out = remove_label(out, absent)
+    for checked, required in requirements:
+        out = check_requirements(out, checked, required)
+    return out
+
+
+def label_captions(texts: DataFrame, key: str, text: str, annotated: DataFrame, order: str, requirements: list[tuple[list[str], list[str]]] = (), longest: int = 5) -> DataFrame:
+    """key, label_list of every caption: annotations read, longest matches found, constraints applied."""
+    found = label_texts(texts, key, text, annotations(annotated, order), longest)
+    return found.withColumn("label_list", label_pipeline(F.col("label_list"), requirements))
 
 
 def _overlap(labels: Column, group: list[str]) -> Column:

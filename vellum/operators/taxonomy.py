@@ -191,6 +191,54 @@ def to_owl(taxonomy: Taxonomy, notes: dict[str, dict[str, str]] | None = None, b
     return ET.tostring(top, encoding="unicode")
 
 
+def parse_notes(text: str) -> dict[str, dict[str, str]]:
+    """class -> annotation -> value of an OWL/XML file, labels aside: what ``to_owl`` takes as ``notes``."""
+    out: dict[str, dict[str, str]] = defaultdict(dict)
+    names: dict[str, str] = {}
+    found = []
+    for e in ET.fromstring(text):
+        if e.tag.rpartition("}")[2] != "AnnotationAssertion":
+            continue
+        part = {x.tag.rpartition("}")[2]: x for x in e}
+        if not {"AnnotationProperty", "IRI", "Literal"} <= part.keys():
+            continue
+        kind = part["AnnotationProperty"].get("IRI") or part["AnnotationProperty"].get("abbreviatedIRI") or ""
+        subject, value = (part["IRI"].text or "").rpartition("#")[2], part["Literal"].text or ""
+        if kind.endswith("label"):
+            names[subject] = value
+        else:
+            found.append((subject, kind.rpartition("#")[2] or kind, value))
+    for subject, kind, value in found:
+        out[names.get(subject, subject)][kind] = value
+    return dict(out)
+
+
+#: The annotations of a class.
+PROPERTIES = ["SNOMED_ID", "Synonym", "auxiliary_class", "Description"]
+
+
+def property_table(spark: SparkSession, notes: dict[str, dict[str, str]], properties: list[str] = PROPERTIES) -> DataFrame:
+    """One row a class with its annotations; as small as the taxonomy."""
+    return spark.createDataFrame([(c, *[v.get(p) for p in properties]) for c, v in sorted(notes.items())], "class_name string, " + ", ".join(f"`{p}` string" for p in properties))
+
+
+def with_properties(class_map: DataFrame, properties: DataFrame) -> DataFrame:
+    return class_map.join(properties, "class_name", "left")
+
+
+def subsidiary_flags(class_map: DataFrame) -> DataFrame:
+    """The classes with ``subsidiary``: whether tasks of more than one column hang on their conditioning class."""
+    flags = class_map.groupBy("conditioning_class").agg((F.countDistinct("column_name") > 1).alias("subsidiary"))
+    return class_map.join(flags, "conditioning_class", "left")
+
+
+def multiclass_columns(labels: Column, groups: dict[str, list[str]]) -> list[Column]:
+    """One column a group of classes: the last label of the list that is in it, empty if none is."""
+    from vellum.operators.labels import first_match
+
+    return [first_match(labels, classes).alias(name) for name, classes in groups.items()]
+
+
 def dimensions(spark: SparkSession, taxonomy: Taxonomy) -> dict[str, DataFrame]:
     """class_map, maps_to and compound as small tables: their size is the taxonomy's."""
     cm = spark.createDataFrame(taxonomy.class_map() or [], "class_name string, class_path string, column_name string, conditioning_class string, parent_class string, tree_name string")
@@ -264,8 +312,8 @@ def multiplex(df: DataFrame, labels: str, taxonomy: Taxonomy, output_format: str
         return out.withColumn("postprocessed_label_list", add_compounds(F.col("label_list"), taxonomy.composed_by)).drop("__tasks")
     kids = taxonomy.children()
     names = sorted({t for p in paths.values() for t, _ in path_tasks(p)})
-    for t in names:
-        out = out.withColumn(taxonomy._named(t, kids), F.coalesce(F.try_element_at(task_map(F.col("__tasks")), F.lit(t)), F.lit("")))
+    out = out.withColumn("__tasks", task_map(F.col("__tasks")))
+    out = out.select("*", *[F.coalesce(F.try_element_at(F.col("__tasks"), F.lit(t)), F.lit("")).alias(taxonomy._named(t, kids)) for t in names])
     if output_format != "multiplex_without_merging":
         for name, columns in (merged or {}).items():
             out = out.withColumn(name, F.filter(F.array(*[F.col(f"`{c}`") for c in columns]), lambda x: x != "")).drop(*columns)
@@ -273,9 +321,12 @@ def multiplex(df: DataFrame, labels: str, taxonomy: Taxonomy, output_format: str
 
 
 def disjoint_violations(df: DataFrame, key: str, labels: str, class_map: DataFrame) -> DataFrame:
-    """(key, parent_class, n) of rows with several labels under one parent: siblings are disjoint."""
+    """(key, parent_class, n) of rows with several labels under one parent: siblings are disjoint.
+
+    Spark broadcasts the classes if they are small, as a taxonomy's are; nothing is forced.
+    """
     opened = df.select(key, F.explode(labels).alias("class_name")).distinct()
-    return opened.join(F.broadcast(class_map.select("class_name", "parent_class")), "class_name").groupBy(key, "parent_class").agg(F.count("*").alias("n")).where("n > 1")
+    return opened.join((class_map.select("class_name", "parent_class")), "class_name").groupBy(key, "parent_class").agg(F.count("*").alias("n")).where("n > 1")
 
 
 def parent_model(task: str) -> str:

@@ -14,6 +14,8 @@ from vellum.functions import captions as C
 from vellum.functions import ids, predicates as P, text as T
 from vellum.operators import aggregates as A
 from vellum.operators import articles as R
+from vellum.operators import figures as G
+from vellum.operators import folds as O
 from vellum.operators import harmonize as H
 from vellum.operators import labels as L
 from vellum.operators import ngrams as N
@@ -22,6 +24,8 @@ from vellum.operators import sequences as S
 from vellum.operators import taxonomy as X
 from vellum.plans.query import DatasetBuilder, Field
 from vellum.session import table
+from vellum.sources import acquisition as Q
+from vellum.sources import projections as J
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -131,9 +135,9 @@ def _terms(name: str, operator: str, match_type: str, sql: str) -> None:
     ORACLE_SQL[name] = f"SELECT p_partkey FROM part WHERE {sql}"
 
 
-NEEDLES = {"full_match": ["Standard", "part"], "partial_match": ["STAND", "1"]}
-_FULL = ["list_contains(%s, 'standard')" % _TERMS, "list_contains(%s, 'part')" % _TERMS]
-_PART = ["len(list_filter(%s, lambda t: contains(t, '%s'))) > 0" % (_TERMS, n) for n in ("stand", "1")]
+NEEDLES = {"full_match": ["Small", "ring"], "partial_match": ["STA", "in"]}
+_FULL = ["list_contains(%s, 'small')" % _TERMS, "list_contains(%s, 'ring')" % _TERMS]
+_PART = ["len(list_filter(%s, lambda t: contains(t, '%s'))) > 0" % (_TERMS, n) for n in ("sta", "in")]
 for _m, _tests in (("full", _FULL), ("partial", _PART)):
     _terms(f"array_{_m}_all", "all", f"{_m}_match", " AND ".join(_tests))
     _terms(f"array_{_m}_any", "any", f"{_m}_match", " OR ".join(_tests))
@@ -284,9 +288,16 @@ def age_extract(spark, sf):
     return prose(spark, sf).select("id", T.extract_age(F.col("t")).alias("age"))
 
 
-@query(f"WITH p AS ({_PROSE}) SELECT id, CASE id % 8 WHEN 0 THEN 'Male' WHEN 1 THEN 'Female' WHEN 2 THEN 'Female' WHEN 3 THEN 'Female' WHEN 4 THEN 'Male' WHEN 5 THEN 'Male' WHEN 6 THEN 'Transgender' ELSE 'Unknown' END AS gender FROM p")
+_GENDER = "CASE " + f"WHEN regexp_matches(a, '{T.whole_words(T.ACRONYMS)}') THEN 'Transgender' " + " ".join(f"WHEN regexp_matches(%s, '{pattern}') THEN '{name}'" for name, pattern in T.GENDERS) + " END"
+
+
+@query(f"""WITH p AS (SELECT id, lower(t || ' ' || coalesce(text, '')) AS t FROM ({_PROSE.replace(' FROM documents', ', text FROM documents')})),
+  f AS (SELECT id, t, split_part(t, '.', 1) AS a FROM p)
+  SELECT id, coalesce({_GENDER.replace('%s', 'a')}, {_GENDER.replace('%s', 't')}, 'Unknown') AS gender FROM f""")
 def gender_extract(spark, sf):
-    return prose(spark, sf).select("id", T.extract_gender(F.col("t")).alias("gender"))
+    case = F.expr(_PROSE[_PROSE.index("CASE") : _PROSE.index(" AS t")])
+    t = F.concat(case, F.lit(" "), F.coalesce("text", F.lit("")))
+    return table(spark, sf, "documents").select(F.col("doc_id").alias("id"), T.extract_gender(t).alias("gender"))
 
 
 @query("SELECT doc_id, sha256(replace(replace(text, ' the ', '<a.webp><b.webp>'), ' la ', '<c.webp>')) AS replaced FROM documents")
@@ -457,3 +468,156 @@ def group_images(spark, sf):
 @query("""SELECT l_orderkey AS o_orderkey, l_linenumber, o_totalprice, c_name FROM (SELECT l_orderkey, l_linenumber FROM lineitem ORDER BY 1, 2 LIMIT 1 OFFSET 5) JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey""")
 def point_lookup(spark, sf):
     return levels(spark, sf).example(5, ["o_orderkey", "l_linenumber"]).select("o_orderkey", "l_linenumber", "o_totalprice", "c_name")
+
+
+def clinical(spark: SparkSession, sf: str):
+    """Customers as articles, orders as their cases, line items as the cases' images, under the clinical names."""
+    key = lambda c: F.concat(F.lit("PMC"), c.cast("string"))
+    articles = table(spark, sf, "customer").select(key(F.col("c_custkey")).alias("pmcid"), F.col("c_name").alias("title"), F.col("c_mktsegment").alias("license"), F.array("c_mktsegment").alias("keywords"))
+    orders = table(spark, sf, "orders").select("o_orderkey", F.concat(key(F.col("o_custkey")), F.lit("_"), F.col("o_orderkey").cast("string")).alias("case_id"), F.year("o_orderdate").alias("age"), F.col("o_orderpriority").alias("gender"), F.concat(F.lit("See fig 1 and fig 2 here. Of "), "o_orderpriority").alias("case_text"))
+    items = table(spark, sf, "lineitem").join(orders.select(F.col("o_orderkey").alias("l_orderkey"), "case_id"), "l_orderkey")
+    file = F.concat("case_id", F.lit("_"), F.col("l_linenumber").cast("string"), F.lit(".jpg"))
+    images = items.select("case_id", "l_linenumber", file.alias("file"), F.concat(F.lit("in/"), file).alias("file_path"), F.when(F.col("l_linenumber") % 2 == 0, "a").otherwise("undivided").alias("image_component"), F.concat(F.lit("fig "), F.col("l_linenumber").cast("string")).alias("mention"))
+    return articles, orders.drop("o_orderkey"), images.withColumn("case_substring", F.array("mention"))
+
+
+_CLINICAL = """WITH cas AS (SELECT 'PMC' || o_custkey || '_' || o_orderkey AS case_id, 'PMC' || o_custkey AS pmcid, o_orderkey, o_orderpriority AS gender, CAST(year(o_orderdate) AS INTEGER) AS age, 'See fig 1 and fig 2 here. Of ' || o_orderpriority AS case_text FROM orders),
+  img AS (SELECT case_id, pmcid, o_orderkey, l_linenumber, case_id || '_' || l_linenumber || '.jpg' AS file FROM lineitem JOIN cas ON l_orderkey = o_orderkey)"""
+
+
+@query("SELECT 'PMC' || c_custkey AS pmcid, c_mktsegment AS license, c_mktsegment AS keywords, 2 AS nulls FROM customer")
+def project_article_metadata(spark, sf):
+    out = J.article_metadata(clinical(spark, sf)[0])
+    return out.select("pmcid", "license", F.array_join("keywords", ",").alias("keywords"), (F.col("mesh_terms").isNull().cast("int") + F.col("major_mesh_terms").isNull().cast("int")).alias("nulls"))
+
+
+@query("SELECT 'PMC' || c_custkey AS pmcid, c_name AS title, c_mktsegment AS license, 10 AS columns FROM customer")
+def project_citations(spark, sf):
+    out = J.citations(clinical(spark, sf)[0])
+    return out.select("pmcid", "title", "license", F.lit(len(out.columns)).alias("columns"))
+
+
+@query(_CLINICAL + " SELECT case_id, pmcid, gender, age, case_text FROM cas")
+def project_cases(spark, sf):
+    return J.case_table(clinical(spark, sf)[1])
+
+
+@query(_CLINICAL + " SELECT file, case_id, 'ds/images/' || file[:4] || '/' || file[:5] || '/' || file AS file_path, l_linenumber % 2 = 0 AS split_during_preprocessing, 16 AS columns FROM img")
+def project_images(spark, sf):
+    out = J.image_table(clinical(spark, sf)[2], "ds")
+    return out.select("file", "case_id", "file_path", "split_during_preprocessing", F.lit(len(out.columns)).alias("columns"))
+
+
+@query(_CLINICAL + ", n AS (SELECT case_id, count(*) AS k FROM img GROUP BY 1) SELECT case_id, 'https://www.ncbi.nlm.nih.gov/pmc/articles/' || pmcid || '/' AS link, k AS amount_of_images, 'images/' || case_id[:4] || '/' || case_id[:5] || '/' || case_id AS image_folder FROM cas JOIN n USING (case_id)")
+def case_series_table(spark, sf):
+    _, cases, images = clinical(spark, sf)
+    return J.case_series_table(cases, images).select("case_id", "link", "amount_of_images", "image_folder")
+
+
+@query(_CLINICAL + """, m AS (SELECT case_id, string_agg('<' || file || '>', '' ORDER BY file) FILTER (l_linenumber = 1) AS a, string_agg('<' || file || '>', '' ORDER BY file) FILTER (l_linenumber = 2) AS b FROM img GROUP BY 1)
+  SELECT case_id, 'See ' || coalesce(a, 'fig 1') || ' and ' || coalesce(b, 'fig 2') || ' here. Of ' || gender AS case_text FROM cas LEFT JOIN m USING (case_id)""")
+def image_token_cases(spark, sf):
+    _, cases, images = clinical(spark, sf)
+    return J.with_image_tokens(cases, images).select("case_id", "case_text")
+
+
+@query(_CLINICAL + " SELECT case_id, file, CASE WHEN l_linenumber IN (1, 2) THEN 'See fig 1 and fig 2 here.' ELSE '' END AS text_references FROM img")
+def sentence_figures(spark, sf):
+    _, cases, images = clinical(spark, sf)
+    return G.sentence_figures(cases, images, "case_id", "case_text", "l_linenumber").select("case_id", "file", F.array_join("text_references", "|").alias("text_references"))
+
+
+@query("""WITH m AS (SELECT l_orderkey AS k, CASE WHEN l_linenumber = 1 THEN 'undivided' ELSE l_returnflag END AS c, strftime(l_shipdate, '%Y-%m-%d') AS mention FROM lineitem),
+  f AS (SELECT DISTINCT l_orderkey AS k, l_returnflag AS c FROM lineitem)
+  SELECT k, c, (SELECT coalesce(string_agg(DISTINCT mention, ',' ORDER BY mention), '') FROM m WHERE m.k = f.k AND m.c IN (f.c, 'undivided')) AS mentions FROM f""")
+def join_figure_refs(spark, sf):
+    items = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_returnflag").alias("c"), "l_linenumber", F.date_format("l_shipdate", "yyyy-MM-dd").alias("mention"))
+    mentions = items.withColumn("c", F.when(F.col("l_linenumber") == 1, "undivided").otherwise(F.col("c")))
+    return G.join_figure_references(items.select("k", "c").distinct(), mentions, "k", "c", "mentions").select("k", "c", F.array_join("mentions", ",").alias("mentions"))
+
+
+@query("SELECT p_partkey FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_linenumber = 1)")
+def downloaded(spark, sf):
+    return G.downloaded(table(spark, sf, "part"), table(spark, sf, "lineitem").where("l_linenumber = 1").select(F.col("l_partkey").alias("p_partkey")), "p_partkey").select("p_partkey")
+
+
+@query(_CLINICAL + " SELECT case_id, c_mktsegment AS license FROM cas LEFT JOIN customer ON 'PMC' || c_custkey = pmcid")
+def join_license(spark, sf):
+    articles, cases, _ = clinical(spark, sf)
+    return G.join_license(cases, articles, "case_id").select("case_id", "license")
+
+
+@query("SELECT DISTINCT c AS char FROM (SELECT unnest(string_split(regexp_replace(text, '[a-zA-Z0-9\\s]', '', 'g'), '')) AS c FROM documents) WHERE c <> ''")
+def special_chars(spark, sf):
+    return L.special_chars(table(spark, sf, "documents"), "text")
+
+
+@query("""WITH s AS (SELECT DISTINCT c AS char FROM (SELECT unnest(string_split(regexp_replace(text, '[a-zA-Z0-9\\s]', '', 'g'), '')) AS c FROM documents) WHERE c <> '')
+  SELECT char FROM s WHERE char NOT IN (SELECT text[1] FROM benchmark UNION ALL SELECT text[-1] FROM benchmark)""")
+def boundary_chars(spark, sf):
+    return L.boundary_chars(table(spark, sf, "documents"), "text", table(spark, sf, "benchmark"), "text")
+
+
+@query("""WITH x AS (SELECT p_partkey, list_concat(CASE WHEN p_size % 2 = 0 THEN ['_assertion_absent'] ELSE [] END, CASE WHEN p_size % 3 = 0 THEN ['mass'] ELSE [] END, ['_LABEL_BLOCKER', 'ct'], CASE WHEN p_size % 5 = 0 THEN ['axial'] ELSE [] END) AS x FROM part),
+  y AS (SELECT p_partkey, CASE WHEN list_has_all(x, ['mass', '_assertion_absent']) THEN list_filter(x, lambda e: e NOT IN ('mass', '_assertion_absent', '_LABEL_BLOCKER')) ELSE list_filter(x, lambda e: e NOT IN ('_LABEL_BLOCKER', '_assertion_absent')) END AS y FROM x)
+  SELECT p_partkey, array_to_string(CASE WHEN list_contains(y, 'mass') THEN y ELSE list_filter(y, lambda e: e <> 'axial') END, ',') AS labels FROM y""")
+def label_pipeline(spark, sf):
+    one = lambda test, name: F.when(test, F.array(F.lit(name))).otherwise(F.array().cast("array<string>"))
+    k = F.col("p_size")
+    labels = F.concat(one(k % 2 == 0, "_assertion_absent"), one(k % 3 == 0, "mass"), F.array(F.lit("_LABEL_BLOCKER"), F.lit("ct")), one(k % 5 == 0, "axial"))
+    return table(spark, sf, "part").select("p_partkey", F.array_join(L.label_pipeline(labels, [(["axial"], ["mass"])]), ",").alias("labels"))
+
+
+@query("SELECT c_custkey FROM customer WHERE c_mktsegment IN ('BUILDING') AND c_custkey >= 0")
+def license_whitelist(spark, sf):
+    return table(spark, sf, "customer").where(P.whitelisted(F.col("c_mktsegment"), ["BUILDING"]) & P.whitelisted(F.col("c_name"), [])).select("c_custkey")
+
+
+@query("SELECT c_nationkey AS k, count(DISTINCT c_mktsegment) > 1 AS varied FROM customer GROUP BY 1")
+def varied(spark, sf):
+    return A.varied(table(spark, sf, "customer"), "c_nationkey", "c_mktsegment").withColumnRenamed("c_nationkey", "k")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber LIMIT 100")
+def most_first(spark, sf):
+    return O.most_first(table(spark, sf, "lineitem"), "l_extendedprice", "l_orderkey", "l_linenumber", limit=100).select("l_orderkey", "l_linenumber", "l_extendedprice")
+
+
+@query("SELECT doc_id, 'PMC' || doc_id AS pmcid, 'Title ' || lang AS title, lang AS license, len(coalesce(text, '')) > 0 AS has_text, 2 AS n_captions, 'f2.jpg' AS second_file FROM documents")
+def article_xml(spark, sf):
+    escaped = F.regexp_replace(F.replace(F.replace(F.coalesce("text", F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), r"[\x00-\x08\x0b\x0c\x0e-\x1f]", "")
+    info = lambda k, v: F.concat(F.lit(f'<infon key="{k}">'), v if not isinstance(v, str) else F.lit(v), F.lit("</infon>"))
+    passage = lambda *parts: F.concat(F.lit("<passage>"), *parts, F.lit("</passage>"))
+    text = lambda t: F.concat(F.lit("<text>"), t, F.lit("</text>"))
+    figure = lambda n: passage(info("type", "fig_caption"), info("id", f"F{n}"), info("file", f"f{n}.jpg"), text(F.lit(f"Scan {n}.")))
+    xml = F.concat(F.lit("<collection><document><id>"), F.col("doc_id").cast("string"), F.lit("</id>"), passage(info("section_type", "TITLE"), info("type", "front"), info("license", F.col("lang")), text(F.concat(F.lit("Title "), "lang"))), passage(info("section_type", "CASE"), info("type", "paragraph"), text(escaped)), figure(1), figure(2), F.lit("</document></collection>"))
+    one = Q.article_xml(F.col("xml"))
+    out = table(spark, sf, "documents").select("doc_id", xml.alias("xml")).select("doc_id", one.alias("a"))
+    return out.select("doc_id", "a.pmcid", "a.title", "a.license", (F.length(F.get("a.sections", 0)["text"]) > 0).alias("has_text"), F.size("a.captions").alias("n_captions"), F.get("a.captions", 1)["file"].alias("second_file"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'PMC' || c_custkey END AS pmcid, CASE WHEN c_custkey % 3 <> 0 THEN 'Mapping error.' END AS comment FROM customer")
+def map_ids(spark, sf):
+    c = table(spark, sf, "customer").select("c_custkey")
+    known = c.where("c_custkey % 3 = 0").select("c_custkey", F.concat(F.lit("PMC"), F.col("c_custkey").cast("string")).alias("pmcid"))
+    return Q.map_ids(c, known, "c_custkey")
+
+
+@query("SELECT p_partkey, regexp_replace(p_name || '.jpg', '\\.jpg$', '.webp') AS file FROM part")
+def replace_suffix(spark, sf):
+    return table(spark, sf, "part").select("p_partkey", J.with_extension(F.concat("p_name", F.lit(".jpg")), "webp").alias("file"))
+
+
+@query("""WITH b AS (SELECT event_id, year(ts) + event_id % 3 AS y FROM events), p AS (SELECT * FROM b WHERE event_id % 2 = 0 AND y < 2026),
+  u AS (SELECT * FROM p UNION ALL SELECT * FROM b WHERE event_id % 3 = 0 AND y >= (SELECT max(y) FROM p) AND event_id NOT IN (SELECT event_id FROM p))
+  SELECT event_id, 'file_' || right('0000000' || CAST(row_number() OVER (ORDER BY event_id) - 1 AS VARCHAR), 7) AS file_id FROM u""")
+def update_dataset(spark, sf):
+    e = table(spark, sf, "events").select("event_id", (F.year("ts") + F.col("event_id") % 3).cast("string").alias("y"), F.lit("x").alias("file_id"))
+    return H.update(e.where("event_id % 2 = 0 and y < 2026"), e.where("event_id % 3 = 0"), "event_id", "y", ["event_id"], "file_", 7).select("event_id", "file_id")
+
+
+@query("SELECT event_id, coalesce(p, 'seen') AS label FROM (SELECT event_id, CASE WHEN event_id % 4 = 0 THEN event_type END AS p FROM events)")
+def fill_predictions(spark, sf):
+    e = table(spark, sf, "events")
+    known = e.select("event_id", F.when(F.col("event_id") % 4 == 0, F.col("event_type")).alias("label"))
+    return O.fill_predictions(known, e.select("event_id"), "event_id", ["label"], lambda images: images.withColumn("label", F.lit("seen")))

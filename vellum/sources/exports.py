@@ -7,8 +7,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.functions.ids import shard_path
-from vellum.operators.harmonize import Levels, with_image_counts
+from vellum.operators.harmonize import Levels
+from vellum.sources.projections import article_metadata, case_series_table, case_table, citations, image_table, with_image_tokens
+from vellum.storage import forget, new_path
 
 DATASET_TYPES = ("text", "image", "multimodal", "case_series")
 
@@ -36,21 +37,44 @@ def write_json_lines(df: DataFrame, path: str) -> None:
 
 
 def write_json_array(df: DataFrame, path: str) -> None:
-    """One file that is one JSON array, as small reference lists are exchanged; rows are streamed, not gathered in memory at once."""
+    """One file that is one JSON array, as reference lists are exchanged.
+
+    Tasks write the rows as JSON, each behind a comma; the driver then copies the finished parts
+    into one file through a small buffer, without the first comma, and puts the brackets around them.
+    """
     spark = df.sparkSession
+    parts = new_path(spark, "json-parts")
+    rows = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
+    df.select(F.concat(F.lit(","), rows).alias("value")).write.text(parts)
     fs, target = _fs(spark, path)
-    out = spark._jvm.java.io.OutputStreamWriter(fs.create(target), "UTF-8")
-    out.write("[")
-    for i, row in enumerate(df.select(F.to_json(F.struct(*df.columns)).alias("j")).toLocalIterator()):
-        out.write(",\n" * (i > 0) + row["j"])
-    out.write("]\n")
-    out.close()
+    source, folder = _fs(spark, parts)
+    out, begun = fs.create(target), False
+    try:
+        out.write(bytearray(b"["))
+        files = [s.getPath() for s in source.listStatus(folder) if s.getLen() > 0 and s.getPath().getName().startswith("part-")]
+        for file in sorted(files, key=lambda f: f.getName()):
+            stream = source.open(file)
+            if not begun:
+                stream.skip(1)
+                begun = True
+            spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 1 << 16, False)
+            stream.close()
+        out.write(bytearray(b"]"))
+    finally:
+        out.close()
+        forget(spark, parts)
 
 
 def image_manifest(images: DataFrame, folder: str, per_case: bool = False) -> DataFrame:
-    """source and target of each file to copy: by two folder levels of its name, or by case."""
-    target = F.concat_ws("/", F.lit(folder), "case_id", "file") if per_case else F.concat_ws("/", F.lit(folder), shard_path(F.col("file")))
-    return images.select("file", F.col("file_path").alias("source"), target.alias("target"))
+    """source and target of each file to copy: two folder levels of its name, and in them the file or a folder for each case.
+
+    In a case's folder the article's key at the beginning of the file's name gives way to the folder.
+    """
+    file = F.col("file")
+    if per_case:
+        file = F.replace(file, F.concat(F.substring_index("case_id", "_", 1), F.lit("_")), F.concat("case_id", F.lit("/")))
+    path = F.concat_ws("/", F.lit(folder), F.substring("file", 1, 4), F.substring("file", 1, 5), file)
+    return images.select("file", F.col("file_path").alias("source"), path.alias("target"))
 
 
 def copy_files(manifest: DataFrame) -> DataFrame:
@@ -80,22 +104,45 @@ def readme(name: str, dataset_type: str, filters: list[dict], version: str, now:
     return "\n".join(lines + [f"  {f}" for f in filters]) + "\n"
 
 
-def export(levels: Levels, path: str, dataset_type: str, filters: list[dict], name: str, version: str = "", case_key: str = "case_id") -> None:
-    """Write a reconciled dataset: references and readme always, cases and images by type."""
+def export(levels: Levels, path: str, dataset_type: str, filters: list[dict], name: str, version: str = "", all_images: DataFrame | None = None, image_token: str | None = None, label_columns: list[str] = (), copy_images: bool = False) -> None:
+    """Write a reconciled dataset: citations, article metadata and readme always, cases and images by type.
+
+    Levels have the clinical columns; those they lack are null. ``all_images`` are the images
+    whose mentions become tokens in the cases of a multimodal dataset. With ``copy_images`` the
+    files are copied from their file_path, and ``image_status`` says what became of each.
+    """
     if dataset_type not in DATASET_TYPES:
         raise ValueError(f"dataset_type must be one of {DATASET_TYPES}")
     spark = levels.articles.sparkSession
     guard_name(spark, path)
-    write_json_array(levels.articles, f"{path}/case_report_citations.json")
+    write_json_array(citations(levels.articles), f"{path}/case_report_citations.json")
+    write_json_array(article_metadata(levels.articles), f"{path}/article_metadata.json")
+    cases = case_table(levels.cases)
+    if dataset_type == "multimodal" and all_images is not None:
+        cases = with_image_tokens(cases, all_images, token=image_token)
     if dataset_type in ("text", "multimodal"):
-        write_csv(levels.cases, f"{path}/cases.csv")
+        write_csv(cases, f"{path}/cases.csv")
     if dataset_type == "case_series":
-        write_csv(with_image_counts(levels.cases, levels.images, case_key), f"{path}/cases.csv")
+        write_csv(case_series_table(levels.cases, levels.images), f"{path}/cases.csv")
     if dataset_type in ("image", "multimodal"):
-        write_json_lines(levels.images, f"{path}/image_metadata.json")
+        write_json_lines(image_table(levels.images, path, list(label_columns)), f"{path}/image_metadata.json")
     if dataset_type != "text":
-        image_manifest(levels.images, f"{path}/images", dataset_type == "case_series").write.parquet(f"{path}/image_manifest")
+        manifest = image_manifest(levels.images, f"{path}/images", dataset_type == "case_series")
+        manifest.write.parquet(f"{path}/image_manifest")
+        if copy_images:
+            copy_files(spark.read.parquet(f"{path}/image_manifest")).write.parquet(f"{path}/image_status")
     fs, target = _fs(spark, f"{path}/readme.txt")
     out = spark._jvm.java.io.OutputStreamWriter(fs.create(target), "UTF-8")
     out.write(readme(name, dataset_type, filters, version))
     out.close()
+
+
+def remove_leftovers(spark: SparkSession, folder: str, names: list[str]) -> list[str]:
+    """Delete the named files and folders below ``folder``; the names that were there."""
+    found = []
+    for name in names:
+        fs, target = _fs(spark, f"{folder.rstrip('/')}/{name}")
+        if fs.exists(target):
+            fs.delete(target, True)
+            found.append(name)
+    return found

@@ -11,7 +11,9 @@ from vellum.functions.text import parse_list_column
 
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
     """One row per article with its metadata opened."""
-    return spark.read.parquet(path).select(F.col("article_id").alias("pmcid"), "article_metadata.*")
+    df = spark.read.parquet(path)
+    fields = [f for f in df.schema["article_metadata"].dataType.names if f != "pmcid"]
+    return df.select(F.col("article_id").alias("pmcid"), *[F.col("article_metadata").getField(f).alias(f) for f in fields])
 
 
 def read_cases(spark: SparkSession, path: str) -> DataFrame:
