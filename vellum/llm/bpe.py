@@ -21,6 +21,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from vellum.llm.common import gather
+
 CACHE_WORDS, RECENT_MARKS = 600_000, 50_000
 #: Bytes of text that are encoded at a time; a longer text is a block of its own.
 BLOCK_BYTES = 8 << 20
@@ -122,12 +124,7 @@ class WordEncoder:
             codes = np.insert(codes, np.r_[first[1:], len(codes)], len(known))
             first = first + np.arange(len(first))
             known.append(np.array([end_id], self.dtype).tobytes())
-        lengths = np.fromiter(map(len, known), np.int64, len(known)) // self.dtype.itemsize
-        starts, pieces = np.cumsum(lengths) - lengths, lengths[codes]
-        ends = np.cumsum(pieces)
-        where = np.repeat(starts[codes] - ends + pieces, pieces)
-        where += np.arange(len(where))
-        return np.frombuffer(b"".join(known), self.dtype)[where], np.add.reduceat(pieces, first)
+        return gather(known, codes, first, self.dtype)
 
     def _odd(self, texts: list[str]) -> list[bytes]:
         """Texts with doubtful borders, unit by unit."""

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +30,32 @@ def batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
+def text_blocks(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches' rows in slices of at most ``limit`` bytes of text; a longer text is a slice of its own. No text is null."""
+    for b in batches:
+        ends = np.cumsum(pc.binary_length(b.column(b.schema.get_field_index(column))).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < b.num_rows:
+            until = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, side="right")))
+            yield b.slice(at, until - at)
+            at = until
+
+
+def gather(known: list[bytes], codes: np.ndarray, first: np.ndarray, dtype: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts one after the other, and how many each has: a text's units are ``known[codes]`` from its place in ``first`` on."""
+    lengths = np.fromiter(map(len, known), np.int64, len(known)) // dtype.itemsize
+    starts, pieces = np.cumsum(lengths) - lengths, lengths[codes]
+    where = np.repeat(starts[codes] - np.cumsum(pieces) + pieces, pieces)
+    where += np.arange(len(where))
+    return np.frombuffer(b"".join(known), dtype)[where], np.add.reduceat(pieces, first)
+
+
+def binaries(ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """One binary value of ``sizes`` ids each, without a copy."""
+    edges = np.cumsum(np.r_[0, sizes]) * ids.dtype.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(ids)])
+
+
 def shared_runs(batches: Iterable[pa.RecordBatch], key: list[str]) -> Iterator[pa.Table]:
     """Tables of two and more consecutive rows with equal key, from batches already sorted by it.
 

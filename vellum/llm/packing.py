@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellum.llm.bpe import default_path, encoder
-from vellum.llm.common import batch, id_text, materialize, rows
+from vellum.llm.common import batch, binaries, id_text, materialize, rows
 
 _IDS = pa.schema([("part", pa.int64()), ("before", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
 _PIECE = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
@@ -32,10 +32,9 @@ def _encode(path: str, end_id: int):
         for b in batches:
             doc_ids, texts = (b.column(b.schema.get_field_index(c)) for c in ("doc_id", "text"))
             for first, ids, n in enc.blocks(texts, end_id):
-                edges = np.cumsum(np.r_[0, n])
-                data = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((edges * enc.dtype.itemsize).astype(np.int32)), pa.py_buffer(ids)])
-                yield batch(_IDS, [np.full(len(n), part), before + edges[:-1], doc_ids.slice(first, len(n)), n, data])
-                before += int(edges[-1])
+                ends = np.cumsum(n)
+                yield batch(_IDS, [np.full(len(n), part), before + ends - n, doc_ids.slice(first, len(n)), n, binaries(ids, n)])
+                before += int(ends[-1])
 
     return run
 

@@ -3,8 +3,9 @@
 A document of at most ``chunk_chars`` characters is one chunk and is segmented directly.
 A longer one is cut into chunks that different tasks take. A state at a chunk's border is
 how many characters of the piece that crosses it lie beyond. For every pair of entry and
-exit states a chunk yields the best score between them: a max-plus matrix. The matrices'
-prefix products give the best score of every state at every border. With these a chunk
+exit states a chunk yields the best score between them: a max-plus matrix. Products are
+associative: tasks combine the matrices of a span of chunks each, the spans' products give the best
+scores at the spans' beginnings, and from these each span gives those at every border in it. With these a chunk
 tells, for each exit state, which entry state the best path comes from; composing these
 maps from the end gives each chunk its exit state. Then each chunk is traced back on its own.
 Both compositions are associative, and their inputs are as small as the number of states.
@@ -14,7 +15,7 @@ from __future__ import annotations
 
 from array import array
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import accumulate
 
 import numpy as np
@@ -27,7 +28,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from vellum.llm.common import batch, id_text, materialize, rows
 from vellum.llm.unigram import NEG, Unigram, UnitCache, default_path, unigram
 
-CHUNK_CHARS = 1 << 16
+#: Characters of a chunk, and chunks whose matrices one task combines.
+CHUNK_CHARS, SPAN = 1 << 16, 64
 _IDS = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("ids", pa.binary()), ("n_chunks", pa.int32())])
 _IDS_DDL = "doc_id bigint, text string, ids binary, n_chunks int"
 _CHUNK = pa.schema([("row", pa.int64()), ("chunk", pa.int32()), ("n_chunks", pa.int32()), ("size", pa.int32()), ("body", pa.string())])
@@ -50,10 +52,14 @@ def compose(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a[:, :, None] + b[None, :, :]).max(axis=1)
 
 
-def border_scores(matrices: list[np.ndarray]) -> list[np.ndarray]:
-    """For each chunk the best score of each entry state, from the document's start in state 0."""
-    before = [np.where(np.arange(len(matrices[0])) == 0, 0.0, NEG)]
-    return before + [m[0] for m in accumulate(matrices[:-1], compose)]
+def border_scores(matrices: list[np.ndarray], start: np.ndarray | None = None) -> list[np.ndarray]:
+    """For each chunk the best score of each entry state, from those at the first (by default a document's start in state 0).
+
+    Only the start's row of each prefix product is needed, so a vector goes through the matrices.
+    """
+    if start is None:
+        start = np.where(np.arange(len(matrices[0])) == 0, 0.0, NEG)
+    return list(accumulate(matrices[:-1], lambda v, m: (v[:, None] + m).max(axis=0), initial=start))
 
 
 def _forward(model: Unigram, body: str, size: int, scores: np.ndarray):
@@ -154,7 +160,7 @@ def _per_document(df: DataFrame, column: str, scan, out: str, ddl: str) -> DataF
     return df.groupBy("row").applyInPandas(run, f"row bigint, chunk int, {out} {ddl}")
 
 
-def _encode_giants(giants: DataFrame, path: str, chunk_chars: int) -> DataFrame | None:
+def _encode_giants(giants: DataFrame, path: str, chunk_chars: int, span: int) -> DataFrame | None:
     spark = giants.sparkSession
     keyed, _ = materialize(giants.withColumn("row", F.monotonically_increasing_id()), "giant-documents")
     if keyed.isEmpty():
@@ -164,17 +170,36 @@ def _encode_giants(giants: DataFrame, path: str, chunk_chars: int) -> DataFrame
     states = unigram(path).longest
     as_matrix = lambda b: np.frombuffer(b).reshape(states, states)
     matrices = _each(path, [], lambda m, body, size: transfer(m, body, size).tobytes(), "matrix", pa.binary(), "binary", chunks)
-    scores = _per_document(matrices, "matrix", lambda ms: [s.tobytes() for s in border_scores(list(map(as_matrix, ms)))], "scores", "binary")
+    matrices, _ = materialize(matrices.withColumn("span", F.floor(F.col("chunk") / span).cast("int")), "giant-matrices")
+
+    def product(pdf: pd.DataFrame) -> pd.DataFrame:
+        """The product of a span's matrices: spans are combined by different tasks."""
+        pdf = pdf.sort_values("chunk")
+        return pd.DataFrame({"row": pdf["row"].iloc[:1], "chunk": pdf["span"].iloc[:1], "matrix": [reduce(compose, map(as_matrix, pdf["matrix"])).tobytes()]})
+
+    def inside(pdf: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
+        """The scores at the borders in a span, from those at its beginning."""
+        pdf = pdf.sort_values("chunk")
+        found = border_scores(list(map(as_matrix, pdf["matrix"])), np.frombuffer(entry["scores"].iloc[0]))
+        return pd.DataFrame({"row": pdf["row"], "chunk": pdf["chunk"], "scores": [s.tobytes() for s in found]})
+
+    products = matrices.groupBy("row", "span").applyInPandas(product, "row bigint, chunk int, matrix binary")
+    entries = _per_document(products, "matrix", lambda ms: [s.tobytes() for s in border_scores(list(map(as_matrix, ms)))], "scores", "binary").withColumnRenamed("chunk", "span")
+    scores = matrices.groupBy("row", "span").cogroup(entries.groupBy("row", "span")).applyInPandas(inside, "row bigint, chunk int, scores binary")
     scored, _ = materialize(chunks.join(scores, ["row", "chunk"]), "giant-scores")
     maps = _each(path, ["scores"], lambda m, body, size, s: entry_of_exit(m, body, size, np.frombuffer(s)), "entries", pa.list_(pa.int32()), "array<int>", scored)
     exits = _per_document(maps, "entries", lambda fs: exit_states([list(f) for f in fs]), "state", "int")
     traced = _each(path, ["scores", "state"], lambda m, body, size, s, state: np.array(trace(m, body, size, np.frombuffer(s), state), dtype="<u4").tobytes(), "ids", pa.binary(), "binary", scored.join(exits, ["row", "chunk"]))
-    whole = traced.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("parts"))
-    joined = F.expr("aggregate(parts, cast('' as binary), (a, p) -> concat(a, p.ids))")
-    return keyed.join(whole, "row").select("doc_id", "text", joined.alias("ids"), F.size("parts").cast("int").alias("n_chunks"))
 
 
-def encode(docs: DataFrame, model_path: str | None = None, chunk_chars: int = CHUNK_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    def whole(pdf: pd.DataFrame) -> pd.DataFrame:
+        """A document's ids are one value; its parts are put together once."""
+        return pd.DataFrame({"row": [pdf["row"].iloc[0]], "ids": [b"".join(pdf.sort_values("chunk")["ids"])], "n_chunks": [len(pdf)]})
+
+    return keyed.join(traced.groupBy("row").applyInPandas(whole, "row bigint, ids binary, n_chunks int"), "row").select("doc_id", "text", "ids", "n_chunks")
+
+
+def encode(docs: DataFrame, model_path: str | None = None, chunk_chars: int = CHUNK_CHARS, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN) -> DataFrame:
     """One row per input row: doc_id, text, ids (little-endian unsigned 32-bit), n_chunks.
 
     The ids are those of the vocabulary's best unigram segmentation. Null text counts as
@@ -184,7 +209,7 @@ def encode(docs: DataFrame, model_path: str | None = None, chunk_chars: int = CH
     path = model_path or default_path()
     wanted = id_text(docs, id_col, text_col)
     short = wanted.where(F.char_length("text") <= chunk_chars).mapInArrow(_direct(path), _IDS_DDL)
-    giants = _encode_giants(wanted.where(F.char_length("text") > chunk_chars), path, chunk_chars)
+    giants = _encode_giants(wanted.where(F.char_length("text") > chunk_chars), path, chunk_chars, span)
     return short if giants is None else short.unionByName(giants)
 
 

@@ -10,10 +10,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from vellum.llm.common import batch, id_text, rows
+from vellum.llm.common import batch, id_text, text_blocks
 from vellum.llm.unigram import NEG, Unigram, UnitCache, default_path, unigram
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_chars", pa.int64())])
@@ -65,7 +67,9 @@ def token_counts(docs: DataFrame, model_path: str | None = None, id_col: str = "
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, cache = unigram(path), _count_cache(path)
-        for ids, texts in rows(batches, ["doc_id", "text"]):
-            yield batch(_OUT, [ids, [cache.value(model.normalize(t)) for t in texts], list(map(len, texts))])
+        for b in text_blocks(batches):
+            ids, texts = (b.column(b.schema.get_field_index(c)) for c in ("doc_id", "text"))
+            known, codes, first = cache.coded([model.normalize(t) for t in texts.to_numpy(zero_copy_only=False).tolist()])
+            yield batch(_OUT, [ids, np.add.reduceat(np.array(known, np.int64)[codes], first), pc.utf8_length(texts).cast(pa.int64())])
 
     return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, n_tokens bigint, n_chars bigint")

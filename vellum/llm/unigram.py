@@ -13,6 +13,8 @@ from functools import lru_cache
 
 import ahocorasick
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 SPACE = "▁"
 NEG = float("-inf")
@@ -168,6 +170,30 @@ class UnitCache:
             found = out
         return self.join(first + found)
 
+    def coded(self, normals: list[str]) -> tuple[list, np.ndarray, np.ndarray]:
+        """The values of distinct units, for each unit of the texts the number of its value, and where each text's units begin.
+
+        Each distinct unit is looked up once. A text with an empty unit (marks that follow each
+        other, one at the end, none in front) is one unit.
+        """
+        texts = pc.replace_substring(pa.array(normals, pa.string()), "\n", SPACE + "\n")
+        whole = pc.or_(pc.match_substring(texts, SPACE + SPACE), pc.or_(pc.invert(pc.starts_with(texts, SPACE)), pc.ends_with(texts, SPACE))).to_numpy(zero_copy_only=False)
+        if not self.model.splits:
+            whole[:] = True
+        split = pc.split_pattern(pc.if_else(pa.array(whole), "", pc.utf8_slice_codeunits(texts, 1)), SPACE)
+        first = split.offsets.to_numpy()[:-1] - split.offsets[0].as_py()
+        units = split.flatten().dictionary_encode()
+        codes, names = units.indices.to_numpy().astype(np.int64), units.dictionary.to_numpy(zero_copy_only=False).tolist()
+        often = np.bincount(codes, minlength=len(names)) > 1
+        known = list(map(self.cache.get, names))
+        for i in [i for i, x in enumerate(known) if x is None]:
+            known[i] = self._known(names[i], often[i]) if names[i] else None
+        at = np.flatnonzero(whole)
+        codes[first[at]] = len(known) + np.arange(len(at))
+        known += [self.value(normals[i]) for i in at.tolist()]
+        empty = self.join([])
+        return [empty if x is None else x for x in known], codes, first
+
     def _new(self, part: str, marks: str):
         if part[0] == "\n":
             # Marks before a newline are a unit of their own.
@@ -175,13 +201,13 @@ class UnitCache:
             return self.join([self.make(marks), x]) if marks else x
         return self.make(marks + SPACE + part) if marks else self._known(part)
 
-    def _known(self, part: str):
+    def _known(self, part: str, often: bool = False):
         x = self.cache.get(part)
         if x is None:
             x = self.make(part if part[0] == "\n" else SPACE + part)
             if len(part) <= 64:
                 mark = hash(part) & 0x3FFFFF
-                if self.met[mark]:
+                if often or self.met[mark]:
                     if len(self.cache) >= self.size:
                         self.cache.clear()
                     self.cache[part] = x
