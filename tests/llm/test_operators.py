@@ -540,12 +540,24 @@ def test_sentencepiece_scan(odd, docs):
         key = lambda r: (str(r["doc_id"]), r["ids"])
         assert sorted(map(key, whole)) == sorted(map(key, cut))
         assert any(r["n_chunks"] > 1 for r in cut)
+        model = unigram.unigram(unigram.default_path())
+        want = [(str(d), np.array(model.segment(model.normalize(t)), "<u4").tobytes()) for d, t in texts(df)]
+        assert sorted(map(key, whole)) == sorted(want)
+        once = sentencepiece_scan.encode(df, chunk_chars=700, decoded=True).collect()
+        apart = sentencepiece_scan.decode(sentencepiece_scan.encode(df)).collect()
+        assert sorted((*key(r), r["decoded"]) for r in once) == sorted((*key(r), r["decoded"]) for r in apart)
         digest = sentencepiece_scan.encode_digest(df).collect()
         assert all(r["round_trip"] for r in digest)
         counts = {(str(r["doc_id"]), r["n_tokens"]) for r in token_counts.token_counts(df).collect()}
         assert counts == {(str(r["doc_id"]), r["n_tokens"]) for r in digest}
 
 
+def test_sentencepiece_of_empty_texts_alone(spark):
+    df = spark.createDataFrame([(1, ""), (2, None), (None, "")], "doc_id long, text string").coalesce(1)
+    got = sentencepiece_scan.encode_digest(df).collect()
+    assert sorted((str(r["doc_id"]), r["n_tokens"], r["round_trip"]) for r in got) == [("1", 0, True), ("2", 0, True), ("None", 0, True)]
+
+
 def test_empty_tables(spark, empty):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     vecs = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")

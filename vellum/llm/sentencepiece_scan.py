@@ -25,11 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from vellum.llm.common import batch, id_text, materialize, rows
+from vellum.llm.common import batch, binaries, gather, id_text, materialize, rows, text_blocks
 from vellum.llm.unigram import NEG, Unigram, UnitCache, default_path, unigram
 
 #: Characters of a chunk, and chunks whose matrices one task combines.
 CHUNK_CHARS, SPAN = 1 << 16, 64
+#: Bytes of texts that are encoded together: each distinct unit of them once.
+BLOCK_BYTES = 1 << 20
 _IDS = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("ids", pa.binary()), ("n_chunks", pa.int32())])
 _IDS_DDL = "doc_id bigint, text string, ids binary, n_chunks int"
 _CHUNK = pa.schema([("row", pa.int64()), ("chunk", pa.int32()), ("n_chunks", pa.int32()), ("size", pa.int32()), ("body", pa.string())])
@@ -110,6 +112,11 @@ def trace(model: Unigram, body: str, size: int, scores: np.ndarray, state: int)
     return [i for part in reversed(out) for i in part]
 
 
+def _decoded(model: Unigram, ids: pa.Array) -> pa.Array:
+    """The text of each value's ids, null for null."""
+    return pa.array([None if x is None else model.decode(np.frombuffer(x, dtype="<u4").tolist()) for x in ids.to_pylist()], pa.string())
+
+
 @lru_cache(maxsize=4)
 def _id_cache(path: str) -> UnitCache:
     """One cache for each Python worker."""
@@ -117,11 +124,16 @@ def _id_cache(path: str) -> UnitCache:
     return UnitCache(model, lambda unit: array("I", model.segment(unit)).tobytes(), b"".join)
 
 
-def _direct(path: str):
+def _direct(path: str, decoded: bool):
+    schema = _IDS.append(pa.field("decoded", pa.string())) if decoded else _IDS
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, cache = unigram(path), _id_cache(path)
-        for ids, texts in rows(batches, ["doc_id", "text"]):
-            yield batch(_IDS, [ids, texts, [cache.value(model.normalize(t)) for t in texts], [1] * len(ids)])
+        for b in text_blocks(batches, limit=BLOCK_BYTES):
+            doc_ids, texts = (b.column(b.schema.get_field_index(c)) for c in ("doc_id", "text"))
+            known, codes, first = cache.coded([model.normalize(t) for t in texts.to_numpy(zero_copy_only=False).tolist()])
+            ids = binaries(*gather(known, codes, first, np.dtype("<u4")))
+            yield batch(schema, [doc_ids, texts, ids, [1] * len(ids), *([_decoded(model, ids)] if decoded else [])])
 
     return run
 
@@ -199,18 +211,21 @@ def _encode_giants(giants: DataFrame, path: str, chunk_chars: int, span: int) ->
     return keyed.join(traced.groupBy("row").applyInPandas(whole, "row bigint, ids binary, n_chunks int"), "row").select("doc_id", "text", "ids", "n_chunks")
 
 
-def encode(docs: DataFrame, model_path: str | None = None, chunk_chars: int = CHUNK_CHARS, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN) -> DataFrame:
-    """One row per input row: doc_id, text, ids (little-endian unsigned 32-bit), n_chunks.
+def encode(docs: DataFrame, model_path: str | None = None, chunk_chars: int = CHUNK_CHARS, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, decoded: bool = False) -> DataFrame:
+    """One row per input row: doc_id, text, ids (little-endian unsigned 32-bit), n_chunks; with ``decoded`` also the ids' text.
 
     The ids are those of the vocabulary's best unigram segmentation. Null text counts as
     empty: no ids. Ids of documents may repeat or be null. An empty table gives an empty
     result; other columns are ignored. One document's ids are one value, as its text is.
+    ``decoded`` is what ``decode`` gives for the ids, made in the same pass over the texts.
     """
     path = model_path or default_path()
     wanted = id_text(docs, id_col, text_col)
-    short = wanted.where(F.char_length("text") <= chunk_chars).mapInArrow(_direct(path), _IDS_DDL)
+    short = wanted.where(F.char_length("text") <= chunk_chars).mapInArrow(_direct(path, decoded), _IDS_DDL + ", decoded string" * decoded)
     giants = _encode_giants(wanted.where(F.char_length("text") > chunk_chars), path, chunk_chars, span)
-    return short if giants is None else short.unionByName(giants)
+    if giants is None:
+        return short
+    return short.unionByName(decode(giants, path) if decoded else giants)
 
 
 def decode(encoded: DataFrame, model_path: str | None = None, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -222,8 +237,7 @@ def decode(encoded: DataFrame, model_path: str | None = None, ids_col: str = "id
         for b in batches:
             for i in range(0, b.num_rows, 256):
                 part = b.slice(i, 256)
-                ids = part.column(part.schema.get_field_index(ids_col)).to_pylist()
-                texts = pa.array([None if x is None else model.decode(np.frombuffer(x, dtype="<u4").tolist()) for x in ids], pa.string())
+                texts = _decoded(model, part.column(part.schema.get_field_index(ids_col)))
                 yield pa.RecordBatch.from_arrays([*part.columns, texts], names=[*part.schema.names, out_col])
 
     return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField(out_col, StringType())]))
@@ -231,5 +245,5 @@ def decode(encoded: DataFrame, model_path: str | None = None, ids_col: str = "id
 
 def encode_digest(docs: DataFrame, model_path: str | None = None, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     """doc_id, n_tokens, ids_crc32, n_chunks, round_trip (decoding gives the text again)."""
-    both = decode(encode(docs, model_path, chunk_chars), model_path)
+    both = encode(docs, model_path, chunk_chars, decoded=True)
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"), "n_chunks", (F.col("decoded") == F.col("text")).alias("round_trip"))
