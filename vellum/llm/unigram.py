@@ -47,6 +47,7 @@ class Unigram:
         self.raw[self.unk_id] = b" \xe2\x81\x87 "
         self.unk_score = min((s for _, s in self.pieces.values()), default=0.0) - 10
         self.longest = max(map(len, self.pieces), default=1)
+        self.single = frozenset(p for p in self.pieces if len(p) == 1)
         self.fallback = len(self.byte_id) == 256
         self.matcher = ahocorasick.Automaton()
         for piece, (i, score) in self.pieces.items():
@@ -86,6 +87,8 @@ class Unigram:
 
     def segment(self, text: str) -> list[int]:
         """The ids of the best segmentation of a normalised text."""
+        if text and self.single.issuperset(text):
+            return self._segment_known(text)
         n, pieces, unk = len(text), self.pieces, self.unk_score
         best, back, ids, done = [0.0] + [NEG] * n, [0] * (n + 1), [-1] * (n + 1), 0
 
@@ -118,6 +121,22 @@ class Unigram:
             return [i for x in out for i in ([x] if type(x) is int else self.unknown(x))]
         return out
 
+    def _segment_known(self, text: str) -> list[int]:
+        """The same where every character is a piece, so that no place needs an unknown one. Places go by their last character; -1 is the beginning."""
+        best, chosen = [NEG] * len(text) + [0.0], [None] * len(text)
+        for last, found in self.matcher.iter(text):
+            length, score, _ = found
+            candidate = best[last - length] + score
+            if candidate > best[last]:
+                best[last], chosen[last] = candidate, found
+        out, last = [], len(text) - 1
+        while last >= 0:
+            length, _, i = chosen[last]
+            out.append(i)
+            last -= length
+        out.reverse()
+        return out
+
     def units(self, normal: str) -> list[str]:
         """Parts that segment on their own; a part that begins with neither mark nor newline stands behind a mark."""
         return normal.replace("\n", SPACE + "\n").split(SPACE)
