@@ -24,6 +24,14 @@ _OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_chars",
 def count_pieces(model: Unigram, text: str) -> int:
     """Number of ids of the best segmentation of a normalised text."""
     n = len(text)
+    if text and model.single.issuperset(text):
+        # Every character is a piece. Places go by their last character; -1 is the beginning.
+        best, count = [NEG] * n + [0.0], [0] * (n + 1)
+        for last, (length, score, _) in model.matcher.iter(text):
+            candidate = best[last - length] + score
+            if candidate > best[last]:
+                best[last], count[last] = candidate, count[last - length] + 1
+        return count[n - 1]
     best, count, done = [0.0] + [NEG] * n, [0] * (n + 1), 0
     pieces, unk = model.pieces, model.unk_score
 
