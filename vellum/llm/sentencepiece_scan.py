@@ -178,7 +178,9 @@ def _encode_giants(giants: DataFrame, path: str, chunk_chars: int, span: int) ->
     if keyed.isEmpty():
         return None
     chunks, _ = materialize(keyed.select("row", "text").mapInArrow(_chunks(path, chunk_chars), "row bigint, chunk int, n_chunks int, size int, body string"), "giant-chunks")
-    chunks = chunks.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "row", "chunk")
+    # Chunks are few bytes but long work: they are spread by number, which neither a scan of small files nor adaptive execution undoes.
+    spread = lambda df: df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "row", "chunk")
+    chunks = spread(chunks)
     states = unigram(path).longest
     as_matrix = lambda b: np.frombuffer(b).reshape(states, states)
     matrices = _each(path, [], lambda m, body, size: transfer(m, body, size).tobytes(), "matrix", pa.binary(), "binary", chunks)
@@ -198,12 +200,11 @@ def _encode_giants(giants: DataFrame, path: str, chunk_chars: int, span: int) ->
     products = matrices.groupBy("row", "span").applyInPandas(product, "row bigint, chunk int, matrix binary")
     entries = _per_document(products, "matrix", lambda ms: [s.tobytes() for s in border_scores(list(map(as_matrix, ms)))], "scores", "binary").withColumnRenamed("chunk", "span")
     scores = matrices.groupBy("row", "span").cogroup(entries.groupBy("row", "span")).applyInPandas(inside, "row bigint, chunk int, scores binary")
-    scored, _ = materialize(chunks.join(scores, ["row", "chunk"]), "giant-scores")
+    scored = spread(materialize(chunks.join(scores, ["row", "chunk"]), "giant-scores")[0])
     maps = _each(path, ["scores"], lambda m, body, size, s: entry_of_exit(m, body, size, np.frombuffer(s)), "entries", pa.list_(pa.int32()), "array<int>", scored)
     exits = _per_document(maps, "entries", lambda fs: exit_states([list(f) for f in fs]), "state", "int")
     traced = _each(path, ["scores", "state"], lambda m, body, size, s, state: np.array(trace(m, body, size, np.frombuffer(s), state), dtype="<u4").tobytes(), "ids", pa.binary(), "binary", scored.join(exits, ["row", "chunk"]))
 
-
     def whole(pdf: pd.DataFrame) -> pd.DataFrame:
         """A document's ids are one value; its parts are put together once."""
         return pd.DataFrame({"row": [pdf["row"].iloc[0]], "ids": [b"".join(pdf.sort_values("chunk")["ids"])], "n_chunks": [len(pdf)]})
