@@ -25,7 +25,7 @@ from vellum.llm.common import gather
 
 CACHE_WORDS, RECENT_MARKS = 600_000, 50_000
 #: Bytes of text that are encoded at a time; a longer text is a block of its own.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 _VISIBLE = frozenset(map(chr, range(33, 127)))
 #: Letters and other visible characters whose class no Unicode version changes.
 _LETTER = "A-Za-zÀ-ÖØ-öø-ɏΑ-ΡΣ-Ωά-ώЀ-ҁҊ-ԣא-תء-غف-يぁ-ゖァ-ヺ一-龥가-힣"
