@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.llm import embedding_dedup, exact_dedup, langid, license_scan, line_dedup, packing, sentencepiece_scan, simhash, token_counts, token_records
+from vellum.llm import embedding_dedup, exact_dedup, funnels, langid, license_scan, line_dedup, packing, sentencepiece_scan, simhash, spelling, token_counts, token_records, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_records": _on("documents", token_records.token_records),
     "op9_license_scan": _on("documents", license_scan.license_scan),
     "op10_simhash_near_dedup": _on("documents", simhash.simhash_dedup),
+    "op11_spelling_variants": _on("documents", spelling.spelling_variants),
+    "op12_toxicity": lambda spark, sf_dir: toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")),
+    "op13_funnels": _on("clicks", funnels.funnel_counts),
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -38,4 +41,5 @@ ORACLE_SQL: dict[str, str] = {
           doc_id IS NOT DISTINCT FROM max(doc_id) OVER (PARTITION BY text) AS kept, sha256(text) AS text_sha256
         FROM d
     """,
+    "op13_funnels": funnels.ORACLE,
 }
