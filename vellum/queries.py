@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
+from vellum.article_queries import ARTICLE_CASES, ARTICLE_PASSAGES, article_cases, article_passages
 from vellum.functions import captions as C
 from vellum.functions import ids, predicates as P, text as T
 from vellum.operators import aggregates as A
@@ -234,7 +235,26 @@ DICTIONARY = {"the": ["article"], "of the": ["preposition", "article"], "in the"
   SELECT item_id, array_to_string(list_sort(list_distinct(l)), ',') AS labels FROM l""")
 def dict_label_longest(spark, sf):
     d = spark.createDataFrame(list(DICTIONARY.items()), "ngram string, labels array<string>")
-    return L.label_texts(table(spark, sf, "benchmark"), "item_id", "text", d, 2).select("item_id", F.array_join("label_list", ",").alias("labels"))
+    return L.label_texts(table(spark, sf, "benchmark"), "item_id", "text", d).select("item_id", F.array_join("label_list", ",").alias("labels"))
+
+
+@query(r"""
+  WITH RECURSIVE w AS (SELECT item_id, regexp_extract_all(lower(text), '([^\s!(),.:;?\[\]{}]+|[^\s])', 1)[1:1 + item_id % 12] AS w FROM benchmark),
+  k AS (SELECT w, max('b' || item_id % 7) AS label FROM w WHERE len(w) > 0 GROUP BY 1),
+  d AS (SELECT doc_id, regexp_extract_all(lower(text), '([^\s!(),.:;?\[\]{}]+|[^\s])', 1) AS t FROM documents),
+  p AS (SELECT doc_id, t, unnest(range(1, len(t) + 1)) AS s FROM d),
+  m AS MATERIALIZED (SELECT doc_id, s, s + len(w) AS e, label FROM p JOIN k ON t[s] = w[1] AND t[s:s + len(w) - 1] = w),
+  g AS MATERIALIZED (SELECT doc_id, s, max(e) AS e, arg_max(label, e) AS label FROM m GROUP BY 1, 2),
+  r AS (SELECT doc_id, min(s) AS s FROM g GROUP BY 1
+    UNION ALL SELECT r.doc_id, (SELECT min(n.s) FROM g n WHERE n.doc_id = r.doc_id AND n.s >= g.e) FROM r JOIN g ON g.doc_id = r.doc_id AND g.s = r.s),
+  l AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM r JOIN g USING (doc_id, s) GROUP BY 1)
+  SELECT doc_id, coalesce(labels, '') AS labels FROM documents LEFT JOIN l USING (doc_id)""")
+def dict_label_phrases(spark, sf):
+    """The first one to twelve words of every benchmark item, found in all documents."""
+    words = F.slice(L.words_with_places(F.col("text")), F.lit(1), (1 + F.col("item_id") % 12).cast("int"))
+    d = table(spark, sf, "benchmark").select(F.array_join(words, " ").alias("ngram"), F.concat(F.lit("b"), (F.col("item_id") % 7).cast("string")).alias("label"))
+    d = d.groupBy("ngram").agg(F.array(F.max("label")).alias("labels"))
+    return L.label_texts(table(spark, sf, "documents"), "doc_id", "text", d).select("doc_id", F.array_join("label_list", ",").alias("labels"))
 
 
 @query("""
@@ -621,3 +641,7 @@ def fill_predictions(spark, sf):
     e = table(spark, sf, "events")
     known = e.select("event_id", F.when(F.col("event_id") % 4 == 0, F.col("event_type")).alias("label"))
     return O.fill_predictions(known, e.select("event_id"), "event_id", ["label"], lambda images: images.withColumn("label", F.lit("seen")))
+
+
+query(ARTICLE_PASSAGES)(article_passages)
+query(ARTICLE_CASES)(article_cases)
