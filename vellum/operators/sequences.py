@@ -95,6 +95,26 @@ def dense_numbers(df: DataFrame, order: list[str], name: str = "number", parts:
     return _numbered(placed, _sizes(placed), name)
 
 
+def prefix_sums(df: DataFrame, groups: list[str], order: list[str], amount: str, name: str = "before", total: str = "total", parts: int | None = None) -> DataFrame:
+    """The rows with the sum of ``amount`` over the rows of their group that come before them, and over all rows of the group.
+
+    No window holds a group: rows are range-partitioned by group and order and written, a window sums within the
+    part of a group that one partition holds, another the partitions' sums, of which a group has one a partition.
+    ``order`` is total within a group, amounts are integers or decimals, so sums don't depend on the partitions.
+    """
+    placed = _in_partitions(df, [*groups, *order], parts).drop("__at")
+    sums = placed.groupBy(*groups, "__part").agg(F.sum(amount).alias("__sum"))
+    whole = Window.partitionBy(*groups)
+    ahead = F.sum("__sum").over(whole.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    sums = sums.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(groups)], F.col("__part").alias("__p"), F.coalesce(ahead, F.lit(0)).alias("__ahead"), F.sum("__sum").over(whole).alias(total))
+    own = F.sum(amount).over(Window.partitionBy("__part", *groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    on = F.col("__part") == F.col("__p")
+    for i, g in enumerate(groups):
+        on = on & F.col(g).eqNullSafe(F.col(f"__g{i}"))
+    out = placed.withColumn("__own", F.coalesce(own, F.lit(0))).join(sums, on).withColumn(name, F.col("__ahead") + F.col("__own"))
+    return out.select(*df.columns, name, total)
+
+
 def row_ids(df: DataFrame, order: list[str], prefix: str, width: int, name: str) -> DataFrame:
     """prefix and zero-padded row number in the given order, from 0."""
     return dense_numbers(df, order, "__number").withColumn(name, numbered(prefix, F.col("__number") - 1, width)).drop("__number")

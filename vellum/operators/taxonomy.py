@@ -9,6 +9,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vellum.storage import forget, materialize
+
 BOUNDARIES = (":", ".", "~")
 
 
@@ -346,3 +348,48 @@ def hierarchical_inference(df: DataFrame, models: dict[str, tuple[str | None, st
 def argmax_label(probabilities: Column, names: list[str]) -> Column:
     """The name at the highest probability, the first of equals."""
     return F.get(F.array(*map(F.lit, names)), (F.array_position(probabilities, F.array_max(probabilities)) - 1).cast("int"))
+
+
+def subclass_closure(edges: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
+    """class, ancestor, distance (the shortest) of every pair that subclass edges connect, from a table of any size.
+
+    One round for each level: pairs found last are carried on to the children of their class, so a class
+    meets no more rows than it has ancestors. A pair that is known isn't followed again, which ends
+    cycles; a class in one is its own ancestor. Tables are written each round. Null ends and repeated edges change nothing.
+    """
+    spark = edges.sparkSession
+    known = edges.select(F.col(child).alias("__child"), F.col(parent).alias("__parent")).where("__child is not null and __parent is not null").distinct()
+    known, known_path = materialize(known, "taxonomy-edges")
+    now, path = materialize(known.select(F.col("__child").alias("class"), F.col("__parent").alias("ancestor"), F.lit(1).alias("distance")), "taxonomy-pairs")
+    found, paths = now, [path]
+    while not now.isEmpty():
+        below = now.join(known, F.col("class") == F.col("__parent")).select(F.col("__child").alias("class"), "ancestor", (F.col("distance") + 1).alias("distance")).distinct()
+        now, path = materialize(below.join(found, ["class", "ancestor"], "left_anti"), "taxonomy-pairs")
+        found = found.unionByName(now)
+        paths.append(path)
+    out, _ = materialize(found, "taxonomy-closure")
+    forget(spark, known_path, *paths)
+    return out
+
+
+def taxonomy_errors(edges: DataFrame, root: str, child: str = "child", parent: str = "parent") -> DataFrame:
+    """kind, class_name: every fault of a table of subclass edges below ``root``, none if it is a forest of well-formed trees.
+
+    ``several parents``; ``recursion`` (a class below itself); ``empty tree`` (a child of the root without children);
+    ``single child`` (the only child of a class other than the root); ``repeated edge``.
+    """
+    known = edges.select(F.col(child).alias("c"), F.col(parent).alias("p")).where("c is not null and p is not null")
+    distinct = known.distinct()
+    named = lambda df, kind, column="c": df.select(F.lit(kind).alias("kind"), F.col(column).cast("string").alias("class_name"))
+    top = distinct.where(F.col("p") == root)
+    parts = [
+        named(distinct.groupBy("c").agg(F.count("*").alias("n")).where("n > 1"), "several parents"),
+        named(subclass_closure(known, "c", "p").where("class = ancestor"), "recursion", "class"),
+        named(top.join(distinct.select(F.col("p").alias("__p")).distinct(), F.col("c") == F.col("__p"), "left_anti"), "empty tree"),
+        named(distinct.where(F.col("p") != root).groupBy("p").agg(F.count("*").alias("n"), F.min("c").alias("c")).where("n = 1"), "single child"),
+        named(known.groupBy("c", "p").agg(F.count("*").alias("n")).where("n > 1"), "repeated edge"),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

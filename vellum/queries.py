@@ -645,3 +645,57 @@ def fill_predictions(spark, sf):
 
 query(ARTICLE_PASSAGES)(article_passages)
 query(ARTICLE_CASES)(article_cases)
+
+
+@query("""WITH c AS (SELECT o_custkey AS g, o_orderpriority AS l, count(*) AS n FROM orders GROUP BY 1, 2),
+  m AS (SELECT g, arg_min(l, (-n, l)) AS l, sum(n) AS n FROM c GROUP BY 1),
+  p AS (SELECT g, n, sum(n) OVER (PARTITION BY l ORDER BY g) - n AS b, sum(n) OVER (PARTITION BY l) AS t FROM m),
+  f AS (SELECT g, CAST(least(9, ((2 * b + n) * 10) // (2 * t)) AS INTEGER) AS fold FROM p)
+  SELECT o_orderkey, fold, fold < 2 AS is_valid FROM orders JOIN f ON o_custkey = g""")
+def group_folds(spark, sf):
+    """Folds of the customers' orders, balanced by priority."""
+    out = O.stratified_group_folds(table(spark, sf, "orders"), "o_custkey", "o_orderpriority", order=F.col("o_custkey"))
+    return out.select("o_orderkey", "fold", "is_valid")
+
+
+@query("""WITH w AS (SELECT kind, 1 / sqrt(count(*)) AS w FROM items GROUP BY 1),
+  i AS (SELECT item_id, CAST(greatest(round(w.w / (SELECT max(w.w) FROM w JOIN items USING (kind)) * 1073741824), 1) AS HUGEINT) AS u FROM items i JOIN w USING (kind)),
+  p AS (SELECT item_id, u, sum(u) OVER (ORDER BY item_id) - u AS b, sum(u) OVER () AS t FROM i),
+  d AS (SELECT item_id, CAST(((b + u) * 5000 + t // 2) // t - (b * 5000 + t // 2) // t AS BIGINT) AS copies FROM p)
+  SELECT item_id, copies FROM d WHERE copies > 0""")
+def weighted_draw(spark, sf):
+    """5,000 items drawn with replacement, rare kinds more often."""
+    items = table(spark, sf, "items")
+    weighted = items.join(A.class_weights(items, "kind"), "kind").select("item_id", "weight")
+    return O.weighted_draw(weighted, ["item_id"], "weight", 5000, order=F.col("item_id"), offset=0.5).select("item_id", "copies")
+
+
+def class_edges(spark, sf):
+    """Subclass edges over the clients: three below each, some pairs in a circle, some with their master as a second parent, some twice."""
+    c = table(spark, sf, "clients").select("client_id", "master_id")
+    k, name = F.col("client_id"), lambda x: F.concat(F.lit("c"), x.cast("string"))
+    parent = F.when(k == 0, "taxonomy").when(k % 97 == 45, name(k + 1)).when(k % 97 == 46, name(k - 1)).otherwise(name(F.expr("client_id div 3")))
+    more = F.when((k % 25 == 7) & (F.col("master_id") != k), F.array(parent, name(F.col("master_id")))).when(k % 50 == 9, F.array(parent, parent)).otherwise(F.array(parent))
+    return c.select(name(k).alias("child"), F.explode(more).alias("parent"))
+
+
+_CLASS_EDGES = """WITH RECURSIVE b AS (SELECT client_id AS k, master_id AS m, 'c' || client_id AS child,
+    CASE WHEN client_id = 0 THEN 'taxonomy' WHEN client_id % 97 = 45 THEN 'c' || (client_id + 1) WHEN client_id % 97 = 46 THEN 'c' || (client_id - 1) ELSE 'c' || (client_id // 3) END AS parent FROM clients),
+  e AS (SELECT child, parent FROM b UNION ALL SELECT child, CASE WHEN k % 25 = 7 THEN 'c' || m ELSE parent END FROM b WHERE (k % 25 = 7 AND m <> k) OR (k % 50 = 9 AND NOT (k % 25 = 7 AND m <> k))),
+  r AS (SELECT DISTINCT child AS class, parent AS ancestor, 1 AS distance FROM e UNION SELECT e.child, ancestor, distance + 1 FROM r JOIN e ON class = parent WHERE distance < 40),
+  z AS (SELECT class, ancestor, CAST(min(distance) AS INTEGER) AS distance FROM r GROUP BY 1, 2)"""
+
+
+@query(_CLASS_EDGES + " SELECT * FROM z")
+def class_closure(spark, sf):
+    return X.subclass_closure(class_edges(spark, sf))
+
+
+@query(_CLASS_EDGES + """, d AS (SELECT DISTINCT * FROM e)
+  SELECT 'several parents' AS kind, child AS class_name FROM d GROUP BY child HAVING count(*) > 1
+  UNION ALL SELECT 'recursion', class FROM z WHERE class = ancestor
+  UNION ALL SELECT 'empty tree', child FROM d WHERE parent = 'taxonomy' AND child NOT IN (SELECT parent FROM d)
+  UNION ALL SELECT 'single child', min(child) FROM d WHERE parent <> 'taxonomy' GROUP BY parent HAVING count(*) = 1
+  UNION ALL SELECT 'repeated edge', child FROM e GROUP BY child, parent HAVING count(*) > 1""")
+def class_errors(spark, sf):
+    return X.taxonomy_errors(class_edges(spark, sf), "taxonomy")
