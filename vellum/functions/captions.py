@@ -11,7 +11,9 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 _PARTS = ArrayType(StructType([StructField("reference", StringType()), StructField("caption", StringType())]))
 
 #: Places that name a part, the default reference, the mark of a range that can't be opened.
-PLACES = "left right top bottom upper lower middle center".split()
+PLACES = ["left", "right", "top", "bottom", "upper", "lower", "above", "below", "center", "centre", "middle"]
+#: Letters that may name a part without a mark behind them.
+BARE_LETTERS = "abcdefghijklABCDEFGHIJKL"
 UNDIVIDED, REVIEW = "undivided", "manual_review_needed"
 #: Shortened words whose full stops don't end a sentence.
 SHORT = ["i.e.", "e.g.", "vs.", "Fig.", "fig.", "Dr.", "approx."]
@@ -62,6 +64,14 @@ def caption_sentences(caption: str) -> list[str]:
     return out + ([short.replace("\0", ".")] if short else [])
 
 
+def mark_reference(sentence: str) -> str:
+    """A sentence that begins with a bare letter and a capitalised word gets a colon behind the letter; behind ``a`` a word all in capitals isn't enough."""
+    letter, gap, rest = sentence.partition(" ")
+    word = rest.split(maxsplit=1)[0] if rest.split() else ""
+    bare = len(letter) == 1 and letter in BARE_LETTERS and gap
+    return f"{letter}: {rest}" if bare and (word.istitle() or (letter != "a" and word.isupper())) else sentence
+
+
 def _clean(text: str) -> str:
     text = re.sub(r"^[\W_]+|[^\w)\]%]+$", "", text)
     text = re.sub(r"^(?:and|or)\s+|\s+(?:and|or)$", "", text, flags=re.I).strip(" ,;:")
@@ -73,17 +83,20 @@ def segment(caption: str | None) -> list[dict]:
 
     A sentence that begins with a reference gives each one the text behind it, another
     sentence the text before it. Sentences before all references are common to all parts;
-    a later one without a reference belongs to the references before it. Null has no parts.
+    a later one without a reference belongs to the references before it. A letter without a mark is a
+    reference where a capitalised word follows it at the start of a sentence. Null has no parts.
     """
     if caption is None:
         return []
-    pattern = next((p for p in _PATTERNS if len({r for m in p.finditer(caption) for r in expand(m[1] or m[2] or m[3])} - {REVIEW}) > 1), None)
+    sentences = [mark_reference(s) for s in caption_sentences(caption)]
+    marked = " ".join(sentences)
+    pattern = next((p for p in _PATTERNS if len({r for m in p.finditer(marked) for r in expand(m[1] or m[2] or m[3])} - {REVIEW}) > 1), None)
     if pattern is None:
         return [{"reference": UNDIVIDED, "caption": caption}]
     common: list[str] = []
     parts: dict[str, list[str]] = {}
     last: list[str] = []
-    for sentence in caption_sentences(caption):
+    for sentence in sentences:
         marks = list(pattern.finditer(sentence))
         if not marks:
             if not last:

@@ -14,15 +14,15 @@ _STRINGS, _INTS = ArrayType(StringType()), ArrayType(IntegerType())
 _MENTIONS = ArrayType(StructType([StructField("mention", StringType()), StructField("letters", _STRINGS)]))
 
 #: Number words.
-ONES = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split()
+ONES = ["one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven", "twelve", "thirteen", "fourteen", "fifteen", "sixteen", "seventeen", "eighteen", "nineteen"]
 TENS = {"twenty": 20, "thirty": 30, "forty": 40, "fifty": 50, "sixty": 60, "seventy": 70, "eighty": 80, "ninety": 90}
 NUMBER_WORDS = {**{w: i + 1 for i, w in enumerate(ONES)}, **TENS}
 HUNDRED = "hundred"
 _WORD = "(?:" + "|".join(sorted([*NUMBER_WORDS, HUNDRED], key=len, reverse=True)) + ")"
 _NUMBER = rf"(\d+|{_WORD}(?:[- ](?:and[- ])?{_WORD}){{0,3}})"
-_UNIT = r"(years?|yrs?|yo|y/o|months?|weeks?|days?)"
-OLD = rf"(?i)\b{_NUMBER}[- ]*{_UNIT}\b[^.]{{0,20}}?(?:old|\bo\b|(?<=yo))"
-AGED = rf"(?i)\b(?:aged|age of|age)[: ]+{_NUMBER}\b(?:[- ]*{_UNIT})?"
+#: Units of an age; ``yo`` and ``y/o`` say old themselves, behind the others ``old`` stands somewhere in the sentence.
+OLD = rf"(?i)\b{_NUMBER}[- ]*(?:(yo|y/o)\b|(years?|yrs?|months?|weeks?|days?)\b[^.]*?[\s-](?:old|o)\b)"
+AGED = rf"(?i)\b(?:aged|age of|age)[: ]+{_NUMBER}\b(?:[- ]*(yo|y/o|years?|yrs?|months?|weeks?|days?))?"
 LIMIT = 130
 
 
@@ -34,18 +34,22 @@ def words_to_number(words: Column) -> Column:
 
 
 def extract_age(text: Column) -> Column:
-    """Age in whole years: '... years old' first, then 'aged ...'; months, weeks and days are 0; null beyond 130 or if there is none."""
+    """Age in whole years: '... years old' first, then 'aged ...'; months, weeks and days are 0; null beyond 130 or if there is none.
 
-    def years(pattern: str) -> Column:
-        number, unit = F.regexp_extract(text, pattern, 1), F.lower(F.regexp_extract(text, pattern, 2))
+    A number, its unit and ``old`` stand in one sentence, however far apart; the first unit decides
+    (5 years, 3 months and 10 days old is 5).
+    """
+
+    def years(pattern: str, units: list[int]) -> Column:
+        number, unit = F.regexp_extract(text, pattern, 1), F.lower(F.concat(*[F.regexp_extract(text, pattern, u) for u in units]))
         return F.when(number == "", None).when(unit.rlike("^(month|week|day)"), F.lit(0)).otherwise(words_to_number(number))
 
-    age = F.coalesce(years(OLD), years(AGED))
+    age = F.coalesce(years(OLD, [2, 3]), years(AGED, [2]))
     return F.when(age <= LIMIT, age)
 
 
 #: The words that tell a gender, in lower case.
-TRANSGENDER = ["transgender", "transexual", "transsexual", "trans man", "trans woman", "trans male", "trans female"] + [f"{a}{d}to{d}{b}" for a, b in (("female", "male"), ("male", "female")) for d in "- "]
+TRANSGENDER = ["transgender", "transexual", "transsexual", "trans man", "trans woman", "trans male", "trans female", "female-to-male", "female to male", "male-to-female", "male to female"]
 ACRONYMS = ["mtf", "ftm"]
 FEMALE = ["woman", "women", "girl", "girls", "mistress", "mistresses", "lady", "ladies", "female", "females", "puerpera", "primigravida", "multigravida", "pregnant"]
 MALE = ["man", "men", "boy", "boys", "gentleman", "gentlemen", "mister", "male", "males"]

@@ -308,6 +308,27 @@ def age_extract(spark, sf):
     return prose(spark, sf).select("id", T.extract_age(F.col("t")).alias("age"))
 
 
+#: Behind every text stands one of these; what the text itself says comes first.
+_AGES = ["A 5 years, 3 months and 10 days old boy.", "A 30-year previously healthy and very well woman, not old at all", "Of 3 months. She was sixty-two years of age, and old.", "Aged 40, he was seen after 2 weeks, old scars", "a 45 yo f", "Twenty one y/o", "For 10 years. Old scars", "one hundred and thirty one years old", "one hundred and five-year-old", "at the age of ninety", "no age", "It took 5 days; an old friend"]
+_AGE_WORDS = {**T.NUMBER_WORDS, "and": 0}
+
+
+def _age_number(c: str) -> str:
+    """SQL: the number that digits or number words say."""
+    known = " ".join(f"WHEN '{w}' THEN {n}" for w, n in _AGE_WORDS.items())
+    return f"list_reduce(list_prepend(0, list_transform(regexp_split_to_array(lower({c}), '[- ]+'), lambda w: CASE w WHEN 'hundred' THEN -1 {known} ELSE coalesce(TRY_CAST(w AS INTEGER), 0) END)), lambda a, x: CASE WHEN x = -1 THEN greatest(a, 1) * 100 ELSE a + x END)"
+
+
+@query(f"""WITH t AS (SELECT doc_id, coalesce(text, '') || ' ' || ({_AGES!r})[1 + doc_id % {len(_AGES)}] AS t FROM documents),
+  e AS (SELECT doc_id, regexp_extract(t, '{T.OLD}', ['n', 'y', 'u']) AS o, regexp_extract(t, '{T.AGED}', ['n', 'u']) AS g FROM t),
+  a AS (SELECT doc_id, CASE WHEN o.n <> '' THEN CASE WHEN regexp_matches(lower(o.u), '^(month|week|day)') THEN 0 ELSE {_age_number('o.n')} END
+    WHEN g.n <> '' THEN CASE WHEN regexp_matches(lower(g.u), '^(month|week|day)') THEN 0 ELSE {_age_number('g.n')} END END AS a FROM e)
+  SELECT doc_id, CAST(CASE WHEN a <= 130 THEN a END AS INTEGER) AS age FROM a""")
+def age_of_texts(spark, sf):
+    told = F.get(F.array(*map(F.lit, _AGES)), (F.col("doc_id") % len(_AGES)).cast("int"))
+    return table(spark, sf, "documents").select("doc_id", T.extract_age(F.concat(F.coalesce("text", F.lit("")), F.lit(" "), told)).alias("age"))
+
+
 _GENDER = "CASE " + f"WHEN regexp_matches(a, '{T.whole_words(T.ACRONYMS)}') THEN 'Transgender' " + " ".join(f"WHEN regexp_matches(%s, '{pattern}') THEN '{name}'" for name, pattern in T.GENDERS) + " END"
 
 
@@ -450,6 +471,28 @@ def segment_caption(spark, sf):
     return table(spark, sf, "part").select("p_partkey", F.explode(C.segment_caption(caption)).alias("p")).select("p_partkey", "p.reference", "p.caption")
 
 
+@query("""WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[A-Za-z]{4,}') AS w, doc_id % 4 AS k FROM documents),
+  n AS (SELECT *, least(2 + doc_id % 5, len(w) // 3) AS n FROM d),
+  j AS (SELECT doc_id, k, n, i, CASE WHEN k = 3 THEN (['above', 'below', 'centre', 'left', 'right', 'upper'])[i + 1] ELSE chr(CAST(97 + i AS INTEGER)) END AS reference, upper(w[3 * i + 1][:1]) || lower(w[3 * i + 1][2:]) || ' ' || lower(w[3 * i + 2]) || ' ' || lower(w[3 * i + 3]) AS c FROM (SELECT *, unnest(range(n)) AS i FROM n)),
+  p AS (SELECT doc_id, reference, 'Study of it. ' || c || '.' AS caption FROM j WHERE n > 1),
+  u AS (SELECT doc_id, coalesce('Study of it. ' || CASE k WHEN 0 THEN reference || ' ' || c || '.' WHEN 1 THEN reference || ': ' || c || '.' WHEN 2 THEN c || ' (' || reference || ').' ELSE reference || ': ' || c || '.' END, 'Study of it. ') AS caption FROM n LEFT JOIN j USING (doc_id, k) WHERE n.n < 2)
+  SELECT * FROM p UNION ALL SELECT doc_id, 'undivided', caption FROM u""")
+def caption_parts(spark, sf):
+    """Captions of two to six parts made of the documents' words: bare letters, marked letters, letters in brackets, places."""
+    k, w = F.col("doc_id") % 4, F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("([A-Za-z]{4,})"), F.lit(1))
+    n = F.least(2 + F.col("doc_id") % 5, F.floor(F.size("w") / 3))
+
+    def part(i):
+        word = lambda j: F.get(F.col("w"), (3 * i + j).cast("int"))
+        c = F.concat(F.upper(F.substring(word(0), 1, 1)), F.lower(F.substring(word(0), 2, 10_000)), F.lit(" "), F.lower(word(1)), F.lit(" "), F.lower(word(2)))
+        letter = F.when(k == 3, F.get(F.array(*map(F.lit, ["above", "below", "centre", "left", "right", "upper"])), i.cast("int"))).otherwise(F.char(97 + i))
+        return F.when(k == 0, F.concat(letter, F.lit(" "), c, F.lit("."))).when(k == 2, F.concat(c, F.lit(" ("), letter, F.lit(")."))).otherwise(F.concat(letter, F.lit(": "), c, F.lit(".")))
+
+    d = table(spark, sf, "documents").select("doc_id", w.alias("w")).withColumn("n", n)
+    caption = F.concat(F.lit("Study of it. "), F.array_join(F.transform(F.when(F.col("n") > 0, F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).otherwise(F.array().cast("array<bigint>")), part), " "))
+    return d.select("doc_id", F.explode(C.segment_caption(caption)).alias("p")).select("doc_id", "p.reference", "p.caption")
+
+
 @F.pandas_udf(BinaryType())
 def _panels(key: pd.Series) -> pd.Series:
     """White images of 60 rows with one to three grey panels of noise, side by side."""
