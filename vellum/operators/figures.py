@@ -59,6 +59,6 @@ def downloaded(captions: DataFrame, inventory: DataFrame, file: str) -> DataFram
 
 
 def join_license(captions: DataFrame, articles: DataFrame, case_key: str, article_key: str = "pmcid", name: str = "license") -> DataFrame:
-    """Left join of the article's licence on the article key that a case key begins with."""
+    """Left join of the article's licence on the article key that a case key begins with; of several the first by name."""
     keyed = captions.withColumn(article_key, F.substring_index(case_key, "_", 1))
-    return keyed.join(articles.select(article_key, name).dropDuplicates([article_key]), article_key, "left")
+    return keyed.join(articles.groupBy(article_key).agg(F.min(name).alias(name)), article_key, "left")

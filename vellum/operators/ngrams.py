@@ -59,3 +59,13 @@ def ngram_counts(df: DataFrame, text: str, max_n: int = 5, minimum: int = 25, st
         stop = stop_forms(list(stop_words), any_capitalization)
         out = out.where(~F.col("first").isin(stop) & ~F.col("last").isin(stop))
     return out.groupBy("ngram", "n").agg(F.sum("count").alias("count")).where(F.col("count") > minimum)
+
+
+def ngram_tables(df: DataFrame, text: str, max_n: int = 5, minimum: int = 25, stop_words: list[str] = (), any_capitalization: bool = True, characters: str = SEGMENT_CHARACTERS) -> dict[str, DataFrame]:
+    """What an n-gram study of captions needs, by one call: ``segments``, ``tokens`` and ``ngrams`` with their counts over distinct texts."""
+    distinct = df.select(text).distinct()
+    return {
+        "segments": segment_counts(distinct, text, characters),
+        "tokens": token_counts(distinct, text, characters),
+        "ngrams": ngram_counts(df, text, max_n, minimum, stop_words, any_capitalization, characters),
+    }

@@ -292,6 +292,26 @@ def fill_exclusions(tasks: Column, defaults: dict[str, tuple[str, str]]) -> Colu
     return F.array_sort(F.concat(tasks, F.filter(F.array(*extra), lambda x: x.isNotNull()))) if extra else tasks
 
 
+def is_exclusion(name: str) -> bool:
+    """Whether a class by its name stands for none of its siblings."""
+    return name == "exclusion_class" or name.startswith(("other_", "no_"))
+
+
+def exclusion_defaults(taxonomy: Taxonomy, classes: list[str] | None = None) -> dict[str, tuple[str, str]]:
+    """Task -> (class it hangs on, default class), as ``fill_exclusions`` takes them, of a taxonomy's exclusion classes.
+
+    These are ``classes``, or those that ``is_exclusion`` tells by name; of several in a task the first in the
+    taxonomy's order. Tasks that are named ~main as columns are meant by their paths.
+    """
+    out: dict[str, tuple[str, str]] = {}
+    paths = taxonomy.class_paths()
+    for name in taxonomy.parents:
+        if name in paths and (name in classes if classes is not None else is_exclusion(name)):
+            task = path_tasks(paths[name])[-1][0]
+            out.setdefault(task, (conditioning(task), name))
+    return out
+
+
 def multilabel(tasks: Column) -> Column:
     """The values of the tasks: the consistent label list."""
     return F.array_distinct(F.transform(tasks, lambda t: t["value"]))

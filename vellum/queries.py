@@ -18,6 +18,7 @@ from vellum.operators import articles as R
 from vellum.operators import figures as G
 from vellum.operators import folds as O
 from vellum.operators import harmonize as H
+from vellum.operators import inference as M
 from vellum.operators import labels as L
 from vellum.operators import ngrams as N
 from vellum.operators import pixels as I
@@ -26,6 +27,7 @@ from vellum.operators import taxonomy as X
 from vellum.plans.query import DatasetBuilder, Field
 from vellum.session import table
 from vellum.sources import acquisition as Q
+from vellum.sources import exports as E
 from vellum.sources import projections as J
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -742,3 +744,78 @@ def class_closure(spark, sf):
   UNION ALL SELECT 'repeated edge', child FROM e GROUP BY child, parent HAVING count(*) > 1""")
 def class_errors(spark, sf):
     return X.taxonomy_errors(class_edges(spark, sf), "taxonomy")
+
+
+#: The same regions and sizes, each task with a class for what is none of the others.
+OPEN_TAXONOMY = X.Taxonomy(
+    {"place": ["taxonomy"], "west": ["place"], "east": ["place"], "other_place": ["place"], "north_west": ["west"], "south_west": ["west"], "other_west": ["west"], "size": ["taxonomy"], "small": ["size"], "large": ["size"], "no_size": ["size"]},
+    subsidiary={"west": ["size"]}, maps_to={"small_west": ["small", "north_west"]},
+)
+
+
+@query(_PART_LABELS + """, m AS (SELECT p_partkey, max(value) FILTER (task = 'place') AS a, max(value) FILTER (task = 'place:west') AS b, max(value) FILTER (task = 'place:west~size') AS c FROM ok GROUP BY 1)
+  SELECT p_partkey, coalesce(a, 'other_place') AS place, coalesce(b, CASE WHEN a = 'west' THEN 'other_west' ELSE '' END) AS west, coalesce(c, CASE WHEN a = 'west' THEN 'no_size' ELSE '' END) AS size FROM part LEFT JOIN m USING (p_partkey)""")
+def exclusion_columns(spark, sf):
+    """Missing tasks filled by the classes that their names make exclusion classes."""
+    out = X.multiplex(_part_labels(spark, sf), "labels", OPEN_TAXONOMY, "multiplex_without_merging", X.exclusion_defaults(OPEN_TAXONOMY))
+    west = OPEN_TAXONOMY._named("place:west", OPEN_TAXONOMY.children())
+    return out.select("p_partkey", "place", F.col(f"`{west}`").alias("west"), F.col("`place:west~size`").alias("size"))
+
+
+_SEGMENTS = r"""WITH d AS (SELECT DISTINCT text FROM benchmark), x AS (SELECT unnest(regexp_split_to_array(text, '[!(),.:;?\[\]{}]')) AS s FROM d)"""
+
+
+@query(_SEGMENTS + r"""
+  SELECT 'segment' AS kind, sha256(s) AS item, count(*) AS count FROM (SELECT trim(s, ' ' || chr(9) || chr(10) || chr(13)) AS s FROM x) WHERE s <> '' GROUP BY ALL
+  UNION ALL SELECT 'token', sha256(t), count(*) FROM (SELECT unnest(regexp_split_to_array(s, '[ \n]')) AS t FROM x) WHERE t <> '' GROUP BY ALL""")
+def segments_and_tokens(spark, sf):
+    tables = N.ngram_tables(table(spark, sf, "benchmark"), "text", 3, 1)
+    named = lambda kind: tables[f"{kind}s"].select(F.lit(kind).alias("kind"), F.sha2(kind, 256).alias("item"), "count")
+    return named("segment").unionByName(named("token"))
+
+
+@query(_CLINICAL + """, c AS (SELECT file, 'early' AS class, age FROM img JOIN cas USING (case_id) WHERE age <= 1995 UNION ALL SELECT file, 'urgent', age FROM img JOIN cas USING (case_id) WHERE gender IN ('1-URGENT', '2-HIGH'))
+  SELECT file, 'ds/all_' || class || '/images/' || file[:4] || '/' || file[:5] || '/' || file AS file_path, class, 1 AS unlabelled FROM c WHERE file IN (SELECT file FROM c GROUP BY 1 HAVING count(*) = 1)""")
+def image_classes(spark, sf):
+    """Two classes of images by filters on their cases; those of both are dropped."""
+    articles, cases, images = clinical(spark, sf)
+    cases = cases.withColumn("pmcid", F.substring_index("case_id", "_", 1))
+    builder = DatasetBuilder(articles, cases, images.withColumn("pmcid", F.substring_index("case_id", "_", 1)))
+    classes = {"early": [{"field": "max_age", "string_list": ["1995"]}], "urgent": [{"field": "gender", "string_list": ["1-urgent", "2-high"]}]}
+    out = E.classification_table(builder, "ds/all", [], classes, keep_label_columns=True)
+    return out.select("file", "file_path", "class", F.col("image_type").isNull().cast("int").alias("unlabelled"))
+
+
+@query("""WITH d AS (SELECT doc_id, 'i' || doc_id AS image, 1 + doc_id % 3 AS a, 2 + doc_id % 4 AS b FROM documents),
+  m AS (SELECT image, chr(CAST(96 + a + k AS INTEGER)) AS c, 'Figs. ' || a || chr(CAST(96 + a AS INTEGER)) || '-' || chr(CAST(96 + a + b AS INTEGER)) AS mention FROM d, range(0, 6) t(k) WHERE k <= b
+    UNION ALL SELECT image, 'undivided', 'figure 9' FROM d WHERE doc_id % 2 = 0 UNION ALL SELECT image, 'b', 'Fig 4 B' FROM d WHERE doc_id % 5 = 0),
+  f AS (SELECT image, c FROM d, (VALUES ('a'), ('b'), ('e'), ('undivided')) t(c))
+  SELECT image, c AS image_component, (SELECT coalesce(string_agg(DISTINCT mention, '|' ORDER BY mention), '') FROM m WHERE m.image = f.image AND m.c IN (f.c, 'undivided')) AS case_substring FROM f""")
+def mentioned_parts(spark, sf):
+    """Figures that whole texts mention, with ranges of letters, joined to the parts of images."""
+    k, s = F.col("doc_id"), lambda c: c.cast("string")
+    a, b = 1 + k % 3, 2 + k % 4
+    first = F.concat(F.lit(" Figs. "), s(a), F.char(96 + a), F.lit("-"), F.char(96 + a + b), F.lit(" show it."))
+    text = F.concat(F.coalesce("text", F.lit("")), first, F.when(k % 2 == 0, " See figure 9.").otherwise(""), F.when(k % 5 == 0, " In Fig 4 B it is.").otherwise(""))
+    d = table(spark, sf, "documents").select(F.concat(F.lit("i"), s(k)).alias("image"), T.extract_figure_mentions(text).alias("m"))
+    files = d.select("image", F.explode(F.array(*map(F.lit, ["a", "b", "e", "undivided"]))).alias("image_component"))
+    out = G.join_figure_references(files, G.mention_rows(d, "image", "m"), "image")
+    return out.select("image", "image_component", F.array_join("case_substring", "|").alias("case_substring"))
+
+
+@query("""WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) = len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+  o AS (SELECT vec_id, label, unnest(v) AS x, unnest(range(len(v))) AS i FROM e),
+  t AS (SELECT vec_id, CASE WHEN label < 5 THEN 'low' ELSE 'high' END AS half, 'l' || label AS leaf FROM e WHERE label IS NOT NULL),
+  h AS (SELECT half AS c, i, avg(x) AS m FROM o JOIN t USING (vec_id) GROUP BY 1, 2),
+  l AS (SELECT half, leaf AS c, i, avg(x) AS m FROM o JOIN t USING (vec_id) GROUP BY 1, 2, 3),
+  a AS (SELECT vec_id, arg_min(c, (d, c)) AS half FROM (SELECT vec_id, c, sum((x - m) ** 2) AS d FROM o JOIN h USING (i) GROUP BY 1, 2) GROUP BY 1),
+  b AS (SELECT vec_id, arg_min(c, (d, c)) AS leaf FROM (SELECT vec_id, c, sum((x - m) ** 2) AS d FROM o JOIN a USING (vec_id) JOIN l USING (i, half) GROUP BY 1, 2) GROUP BY 1)
+  SELECT vec_id, half, CASE WHEN half = 'low' THEN leaf END AS low, CASE WHEN half = 'high' THEN leaf END AS high FROM embeddings LEFT JOIN a USING (vec_id) LEFT JOIN b USING (vec_id)""")
+def centroid_levels(spark, sf):
+    """All vectors classified by the nearest class mean, first into halves, then within the half."""
+    e = table(spark, sf, "embeddings").select("vec_id", "embedding", "label")
+    half = F.when(F.col("label").isNotNull(), F.when(F.col("label") < 5, "low").otherwise("high"))
+    e = e.withColumn("half", half).withColumn("leaf", F.concat(F.lit("l"), F.col("label").cast("string")))
+    model = lambda label, part: M.nearest_centroid(M.centroids(part, "embedding", label))
+    tasks = {"half": M.Task(model("half", e))} | {h: M.Task(model("leaf", e.where(F.col("half") == h)), "half", h) for h in ("low", "high")}
+    return M.score_levels(e, "vec_id", "embedding", tasks)

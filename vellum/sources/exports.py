@@ -7,8 +7,10 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vellum.functions.ids import shard_path
 from vellum.operators.harmonize import Levels
-from vellum.sources.projections import article_metadata, case_series_table, case_table, citations, image_table, with_image_tokens
+from vellum.plans.query import DatasetBuilder
+from vellum.sources.projections import article_metadata, case_series_table, case_table, citations, fields_of, image_table, with_image_tokens
 from vellum.storage import forget, new_path
 
 DATASET_TYPES = ("text", "image", "multimodal", "case_series")
@@ -131,12 +133,44 @@ def export(levels: Levels, path: str, dataset_type: str, filters: list[dict], na
         manifest.write.parquet(f"{path}/image_manifest")
         if copy_images:
             copy_files(spark.read.parquet(f"{path}/image_manifest")).write.parquet(f"{path}/image_status")
-    fs, target = _fs(spark, f"{path}/readme.txt")
+    _write_text(spark, f"{path}/readme.txt", readme(name, dataset_type, filters, version))
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, target = _fs(spark, path)
     out = spark._jvm.java.io.OutputStreamWriter(fs.create(target), "UTF-8")
-    out.write(readme(name, dataset_type, filters, version))
+    out.write(text)
     out.close()
 
 
+#: The label columns that a classification table keeps on request.
+LABEL_COLUMNS = ["image_type", "image_subtype", "radiology_region", "radiology_region_granular", "radiology_view", "ml_labels_for_supervised_classification", "gt_labels_for_semisupervised_classification"]
+
+
+def classification_table(builder: DatasetBuilder, folder: str, common: list[dict], classes: dict[str, list[dict]], label_filter_column: str = "both", keep_label_columns: bool = False) -> DataFrame:
+    """file_id, file, file_path, class, and the label columns where they are kept: the images of each class.
+
+    A class has the images under the common and its own filters; files of several classes are dropped. The
+    path is in the class's own dataset, ``<folder>_<class>``. Columns that the images lack are null.
+    """
+    images = builder.classification(common, classes, "file", label_filter_column)
+    path = F.concat(F.lit(f"{folder}_"), F.col("class"), F.lit("/images/"), shard_path(F.col("file")))
+    return fields_of(images.withColumn("file_path", path), ["file_id", "file", "file_path", "class", *(LABEL_COLUMNS if keep_label_columns else [])])
+
+
+def export_classification(builder: DatasetBuilder, directory: str, name: str, common: list[dict], classes: dict[str, list[dict]], label_filter_column: str = "both", keep_label_columns: bool = False, version: str = "", copy_images: bool = False) -> None:
+    """An image dataset for each class in ``<directory>/<name>_<class>``, and in ``<directory>/<name>`` a CSV of all classes and a readme."""
+    folder, spark = f"{directory.rstrip('/')}/{name}", builder.images.sparkSession
+    for path in [folder, *[f"{folder}_{c}" for c in classes]]:
+        guard_name(spark, path)
+    for c, own in classes.items():
+        filters = [*common, *own]
+        export(builder.query(filters, "image", label_filter_column), f"{folder}_{c}", "image", filters, f"{name}_{c}", version, copy_images=copy_images)
+    write_csv(classification_table(builder, folder, common, classes, label_filter_column, keep_label_columns), f"{folder}/{name}.csv")
+    listed = [*common, *[{"class": c, "filter_list": own} for c, own in classes.items()]]
+    _write_text(spark, f"{folder}/readme.txt", readme(name, "image classification", listed, version))
+
+
 def remove_leftovers(spark: SparkSession, folder: str, names: list[str]) -> list[str]:
     """Delete the named files and folders below ``folder``; the names that were there."""
     found = []

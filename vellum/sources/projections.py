@@ -17,22 +17,22 @@ IMAGE = ["file_id", "file", "file_path", "main_image", "case_id", "license", "fi
 ARTICLE_LINK = "https://www.ncbi.nlm.nih.gov/pmc/articles/"
 
 
-def _fields(df: DataFrame, names: list[str]) -> DataFrame:
+def fields_of(df: DataFrame, names: list[str]) -> DataFrame:
     """The named columns in order; those that the table lacks are null."""
     return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in names])
 
 
 def citations(articles: DataFrame) -> DataFrame:
-    return _fields(articles, CITATION)
+    return fields_of(articles, CITATION)
 
 
 def article_metadata(articles: DataFrame) -> DataFrame:
-    return _fields(articles, ARTICLE)
+    return fields_of(articles, ARTICLE)
 
 
 def case_table(cases: DataFrame) -> DataFrame:
     """The cases with their article's key, which their own begins with."""
-    return _fields(cases.withColumn("pmcid", article_of(F.col("case_id"))), CASE)
+    return fields_of(cases.withColumn("pmcid", article_of(F.col("case_id"))), CASE)
 
 
 def was_split(component: Column) -> Column:
@@ -49,7 +49,7 @@ def image_table(images: DataFrame, folder: str, labels: list[str] = (), componen
     out = images.withColumn("file_path", F.concat_ws("/", F.lit(folder), F.lit("images"), shard_path(F.col("file"))))
     if "case_id" not in out.columns and "patient_id" in out.columns:
         out = out.withColumnRenamed("patient_id", "case_id")
-    return _fields(out.withColumn("split_during_preprocessing", was_split(part)), [*IMAGE, *labels])
+    return fields_of(out.withColumn("split_during_preprocessing", was_split(part)), [*IMAGE, *labels])
 
 
 def case_link(article: Column) -> Column:
