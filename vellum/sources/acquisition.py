@@ -5,11 +5,13 @@ from __future__ import annotations
 import calendar
 import zipfile
 from collections.abc import Callable
+from html.parser import HTMLParser
 from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 #: Fixed value: as many results as one search returns at most.
 SEARCH_LIMIT = 9_999
@@ -137,37 +139,68 @@ def parse_articles(df: DataFrame, xml: str, key: str, licenses: list[str] = ())
     return read.select(key, "pmcid", "title", "license", "keywords", "cases", F.size("cases").alias("case_amount"), captions.alias("captions"), "error")
 
 
-def _inner(html: Column, pattern: str) -> Column:
-    """The text inside the first match, without tags, white space joined; null if there is none."""
-    found = F.regexp_replace(F.regexp_extract(html, pattern, 1), "<[^>]*>", "")
-    return F.nullif(F.trim(F.regexp_replace(found, r"\s+", " ")), F.lit(""))
-
-
-def _all_inner(html: Column, pattern: str) -> Column:
-    found = F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
-    clean = F.transform(found, lambda x: F.trim(F.regexp_replace(F.regexp_replace(x, r"<[^>]*>|\*", ""), r"\s+", " ")))
-    return F.filter(clean, lambda x: x != "")
-
-
-def citation_html(html: Column) -> Column:
+_LISTS = ["authors", "mesh_terms", "major_mesh_terms", "keywords"]
+_CITATION = StructType([StructField(f, ArrayType(StringType()) if f in _LISTS else StringType()) for f in ["title", "authors", "journal", "journal_detail", "year", "mesh_terms", "major_mesh_terms", "keywords", "abstract", "link"]])
+
+
+class _Page(HTMLParser):
+    """Texts of the elements that an abstract's page is read for, by the element's name and classes, however they are nested."""
+
+    #: Fixed values: (element, class) -> field.
+    FIELDS = {("h1", "heading-title"): "title", ("a", "full-name"): "authors", ("button", "journal-actions-trigger"): "journal", ("span", "cit"): "journal_detail", ("button", "keyword-link"): "terms", ("div", "abstract-content"): "abstract", ("p", ""): "paragraphs", ("strong", "sub-title"): "subtitles"}
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.found: dict[str, list[tuple[str, bool]]] = {f: [] for f in self.FIELDS.values()}
+        self.link: str | None = None
+        #: Open captures: [element, how many of its name are open in it, field, marked, texts].
+        self.open: list[list] = []
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        given = dict(attrs)
+        classes = (given.get("class") or "").split()
+        if tag == "meta" and given.get("name") == "citation_abstract_html_url":
+            self.link = self.link or given.get("content")
+        for x in self.open:
+            x[1] += x[0] == tag
+        for (name, cls), field in self.FIELDS.items():
+            if name == tag and (not cls or cls in classes) and (field != "abstract" or "selected" in classes):
+                self.open.append([tag, 1, field, "major" in classes, []])
+
+    def handle_endtag(self, tag: str) -> None:
+        for x in self.open:
+            x[1] -= x[0] == tag
+        for x in [x for x in self.open if x[1] <= 0]:
+            self.found[x[2]].append((" ".join("".join(x[4]).split()), x[3]))
+        self.open = [x for x in self.open if x[1] > 0]
+
+    def handle_data(self, data: str) -> None:
+        for x in self.open:
+            x[4].append(data)
+
+
+def citation_page(html: str | None) -> dict:
+    """The fields of one abstract's page; what is missing is null, or an empty list. Unclosed elements are left out."""
+    page = _Page()
+    page.feed(html or "")
+    page.close()
+    one = lambda field: next((t for t, _ in page.found[field] if t), None)
+    terms = [(t.replace("*", "").strip(), major) for t, major in page.found["terms"]]
+    major = [t for t, m in terms if m and t]
+    words = next((t.partition("Keywords:")[2] for t, _ in page.found["paragraphs"] if t.startswith("Keywords:")), None) if any(t == "Keywords:" for t, _ in page.found["subtitles"]) else None
+    return {
+        "title": one("title"), "authors": list(dict.fromkeys(t for t, _ in page.found["authors"] if t)), "journal": one("journal"),
+        "journal_detail": one("journal_detail"), "year": (one("journal_detail") or "")[:4] or None,
+        "mesh_terms": major + [t for t, m in terms if not m and t], "major_mesh_terms": major,
+        "keywords": [k.strip() for k in words.replace(".", "").lower().split(";")] if words is not None else None,
+        "abstract": one("abstract"), "link": page.link,
+    }
+
+
+@F.pandas_udf(_CITATION)
+def citation_html(html: pd.Series) -> pd.DataFrame:
     """struct(title, authors, journal, journal_detail, year, mesh_terms, major_mesh_terms, keywords, abstract, link) of an abstract's page."""
-    by_class = lambda tag, name: rf'(?is)<{tag}\b[^>]*class="[^"]*\b{name}\b[^"]*"[^>]*>(.*?)</{tag}>'
-    detail = _inner(html, by_class("span", "cit"))
-    major = _all_inner(html, r'(?is)<button\b[^>]*class="[^"]*\bkeyword-link major\b[^"]*"[^>]*>(.*?)</button>')
-    minor = _all_inner(html, r'(?is)<button\b[^>]*class="[^"]*\bkeyword-link"[^>]*>(.*?)</button>')
-    keywords = _inner(html, r'(?is)<strong\b[^>]*class="sub-title"[^>]*>\s*Keywords:\s*</strong>(.*?)</p>')
-    return F.struct(
-        _inner(html, by_class("h1", "heading-title")).alias("title"),
-        F.array_distinct(_all_inner(html, by_class("a", "full-name"))).alias("authors"),
-        _inner(html, by_class("button", "journal-actions-trigger")).alias("journal"),
-        detail.alias("journal_detail"),
-        F.substring(detail, 1, 4).alias("year"),
-        F.concat(major, minor).alias("mesh_terms"),
-        major.alias("major_mesh_terms"),
-        F.transform(F.split(F.lower(F.replace(keywords, F.lit("."), F.lit(""))), ";"), lambda k: F.trim(k)).alias("keywords"),
-        _inner(html, r'(?is)<div\b[^>]*class="abstract-content selected"[^>]*>(.*?)</div>').alias("abstract"),
-        F.nullif(F.regexp_extract(html, r'(?is)<meta\b[^>]*name="citation_abstract_html_url"[^>]*content="([^"]*)"', 1), F.lit("")).alias("link"),
-    )
+    return pd.DataFrame([citation_page(h) for h in html], columns=_CITATION.names)
 
 
 def join_content(metadata: DataFrame, content: DataFrame, key: str = "pmcid") -> DataFrame:
