@@ -15,12 +15,14 @@ reach their tree by a shuffle, and a task holds one shard's tree at a time.
 ``near_copies`` is the form for a Jaccard similarity of five-word shingles. Copies at 0.8
 differ in some 15 % of the bits of a fingerprint, a radius for which blocks of bits hold no
 choice that parts a corpus. So fingerprints are wider (256 bits), shards are keyed by minima of
-the shingles' hashes, and links of the trees that aren't sure are verified on the shingles.
+the shingles' hashes, and a pair that a tree finds is compared on its shingles' hashes, within the shard
+and before it joins two groups: what only looks near never hides a link.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import combinations, repeat
 
 import numpy as np
@@ -228,14 +230,14 @@ def simhash_dedup(docs: DataFrame, radius: int = 4, words: int = 4, seed: int =
     return fp.join(near_groups(fp, radius, blocks), "fp", "left").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-#: Of ``near_copies``: 64-bit words of a fingerprint, bits in which candidates differ at most, bits below which a link
-#: needs no verification (a pair at 0.8 differs in 39 +- 6 bits, one at 0.7 in 49 +- 6), shards of a document, minima of a shard's key.
-WIDE, WIDE_RADIUS, WIDE_SURE, BANDS, ROWS = 4, 58, 20, 12, 4
+#: Of ``near_copies``: 64-bit words of a fingerprint, bits in which candidates differ at most (a pair at 0.8 differs in
+#: 39 +- 6), shards of a document, minima of a shard's key, members of a shard that one task compares.
+WIDE, WIDE_RADIUS, BANDS, ROWS, SHARD_ROWS = 4, 58, 12, 4, 4096
 _SEEDS = np.array([xxhash.xxh64_intdigest(f"minimum {i}") for i in range(BANDS * ROWS)], dtype=np.uint64)
 _ODD = np.array([xxhash.xxh64_intdigest(f"factor {i}") | 1 for i in range(BANDS * ROWS)], dtype=np.uint64)
 _WORD_SEEDS = [np.uint64(xxhash.xxh64_intdigest(f"word {i}")) for i in range(WIDE)]
 _SKETCH = pa.schema([("doc_id", pa.int64()), ("content", pa.binary()), ("fp", pa.binary()), ("keys", pa.list_(pa.int64()))])
-_NEAR = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("d", pa.int32())])
+_SET = pa.schema([("doc_id", pa.int64()), ("content", pa.binary()), ("hashes", pa.binary())])
 
 
 def shingle_hashes(text: str, words: int = 5, seed: int = 42) -> np.ndarray:
@@ -273,46 +275,191 @@ def _sketches(words: int):
     return run
 
 
-def _near_search(radius: int, sure: int):
+class VerifiedTree(BKTree):
+    """A BK-tree of wide fingerprints whose groups are joined by verified links alone.
+
+    ``same`` compares two members, given by their numbers; it is asked only for members of different groups.
+    """
+
+    def insert(self, value: int, group: int | None = None) -> int:
+        """Add a value, to the group of an earlier number if one is given; its number."""
+        me = len(self.values)
+        self.values.append(value)
+        self.children.append({})
+        self.group.append(me if group is None else self.root(group))
+        self.uniform.append(True)
+        if me:
+            mine, i = self.root(me), 0
+            while True:
+                if self.uniform[i] and self.root(i) != mine:
+                    self.uniform[i] = False
+                d = (self.values[i] ^ value).bit_count()
+                if d not in self.children[i]:
+                    break
+                i = self.children[i][d]
+            self.children[i][d] = me
+        return me
+
+    def link(self, value: int, mine: int | None, radius: int, same) -> list[int]:
+        """Numbers of one member of each group that the value is linked to, apart from ``mine``; those groups and ``mine`` are one from then on."""
+        links, todo = [], [0] if self.values else []
+        mine = None if mine is None else self.root(mine)
+        while todo:
+            i = todo.pop()
+            r = self.root(i)
+            if r == mine and self.uniform[i]:
+                continue
+            d = (self.values[i] ^ value).bit_count()
+            if d <= radius and r != mine and same(i):
+                links.append(i)
+                if mine is None:
+                    mine = r
+                else:
+                    self.group[r] = mine
+            todo.extend([c for k, c in self.children[i].items() if d - radius <= k <= d + radius])
+        return links
+
+
+class ShardSets:
+    """Sets of 32-bit hashes, compared by their Jaccard similarity.
+
+    In a shard of many, the hashes that most members share are bits of one integer a member: that gives a bound of what two
+    have in common, and mostly the number itself. Hashes of one member alone count for nothing but its size.
+    """
+
+    MANY, FREQUENT = 32, 4096
+
+    def __init__(self, hashes: list[bytes], similarity: float):
+        self.arrays = [np.frombuffer(h, np.uint32) for h in hashes]
+        self.sizes = list(map(len, self.arrays))
+        self.similarity = similarity
+        self.own = lru_cache(2048)(lambda i: frozenset(self.arrays[i].tolist()))
+        self.masks: list[int] = []
+        if len(hashes) >= self.MANY:
+            found, place, count = np.unique(np.concatenate(self.arrays), return_inverse=True, return_counts=True)
+            order = np.argsort(-count, kind="stable")[: self.FREQUENT]
+            bit = np.full(len(found), -1, np.int64)
+            bit[order] = np.arange(len(order))
+            bit[count < 2] = -2
+            of, ends = bit[place], np.cumsum(self.sizes)
+            for n, e in zip(self.sizes, ends.tolist(), strict=True):
+                mine = of[e - n : e]
+                flags = np.zeros(self.FREQUENT, np.uint8)
+                flags[mine[mine >= 0]] = 1
+                self.masks.append(int.from_bytes(np.packbits(flags).tobytes(), "big"))
+            #: Hashes of each member that another has too, but that are no bits.
+            self.rest = np.add.reduceat(np.r_[of == -1, False], np.r_[0, ends[:-1]]).tolist() if len(found) else [0] * len(hashes)
+            self.rest = [r if n else 0 for r, n in zip(self.rest, self.sizes, strict=True)]
+
+    def alike(self, i: int, j: int) -> bool:
+        a, b, s = self.sizes[i], self.sizes[j], self.similarity
+        most = min(a, b)
+        if most < s * max(a, b):
+            return False
+        if self.masks:
+            rest = min(self.rest[i], self.rest[j])
+            bits = (self.masks[i] & self.masks[j]).bit_count()
+            most = bits + rest
+            if most < s * (a + b - most):
+                return False
+            if not rest or bits >= s * (a + b - bits):
+                return True
+        both = len(self.own(i).intersection(self.own(j)))
+        return both >= s * (a + b - both)
+
+
+def shard_pairs(fps: list[bytes], keys: list[list[int]], hashes: list[bytes], key: int, comps: list[int], probes: list[bool], similarity: float, radius: int = WIDE_RADIUS) -> Iterator[tuple[int, int]]:
+    """Pairs of places whose sets of hashes are ``similarity`` alike, enough of them to join all that are.
+
+    Members that share a component in ``comps`` are joined already. Where there are ``probes``, the other members have been
+    compared with each other, and probes with each other: only probes are looked up. A pair that shares an earlier key than this shard's meets there.
+    """
+    sets = ShardSets(hashes, similarity)
+
+    def alike(i: int, j: int) -> bool:
+        # The shard's own key is one that they share: an earlier one is where they meet.
+        return sets.alike(i, j) and next(x for x, y in zip(keys[i], keys[j], strict=True) if x == y) == key
+
+    tree, first, at = VerifiedTree(), {}, []
+    order = [i for i, p in enumerate(probes) if not p] + [i for i, p in enumerate(probes) if p]
+    searched = any(probes)
+    for i in order:
+        value = int.from_bytes(fps[i], "big")
+        known = first.get(comps[i])
+        if probes[i] or not searched:
+            for j in tree.link(value, known, radius, lambda n, i=i: alike(i, at[n])):
+                yield i, at[j]
+                known = j if known is None else known
+        if not probes[i]:
+            n = tree.insert(value, known)
+            at.append(i)
+            first.setdefault(comps[i], n)
+
+
+def _near_search(similarity: float):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, int, int]] = []
-        for shard in shared_runs(batches, ["key"]):
-            tree, reps = BKTree(), shard.column("rep").to_pylist()
-            for k, fp in enumerate(shard.column("fp").to_pylist()):
-                held += [(max(reps[k], reps[i]), min(reps[k], reps[i]), d) for i, d in tree.add(int.from_bytes(fp, "big"), radius, sure)]
+        held: list[tuple[int, int]] = []
+        for shard in shared_runs(batches, ["key", "chunk", "block"]):
+            reps, fps, keys, hashes, comps, probes = (shard.column(c).to_pylist() for c in ("rep", "fp", "keys", "hashes", "comp", "probe"))
+            for i, j in shard_pairs(fps, keys, hashes, shard.column("key")[0].as_py(), comps, probes, similarity):
+                held.append((max(reps[i], reps[j]), min(reps[i], reps[j])))
             if len(held) >= 10_000:
-                yield batch(_NEAR, list(map(list, zip(*held, strict=True))))
+                yield batch(_EDGE, list(map(list, zip(*held, strict=True))))
                 held = []
         if held:
-            yield batch(_NEAR, list(map(list, zip(*held, strict=True))))
+            yield batch(_EDGE, list(map(list, zip(*held, strict=True))))
 
     return run
 
 
-def _verify(words: int, similarity: float):
+def _sets(words: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for us, vs, a, b in rows(batches, ["u", "v", "text_u", "text_v"]):
-            good = []
-            for u, v, x, y in zip(us, vs, a, b, strict=True):
-                x, y = shingle_hashes(x, words), shingle_hashes(y, words)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if both >= similarity * (len(x) + len(y) - both):
-                    good.append((u, v))
-            if good:
-                yield batch(_EDGE, list(map(list, zip(*good, strict=True))))
+        for ids, texts in rows(batches, ["doc_id", "text"]):
+            found = [shingle_hashes(t, words) for t in texts]
+            yield batch(_SET, [ids, [xxhash.xxh3_128_digest(h.tobytes()) for h in found], [np.unique((h >> np.uint64(32)).astype(np.uint32)).tobytes() for h in found]])
 
     return run
 
 
-def near_copies(docs: DataFrame, similarity: float = 0.8, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _links(members: DataFrame, similarity: float, name: str) -> DataFrame:
+    """The written links of members (key, chunk, block, probe, comp, rep, fp, keys, hashes), shard by shard."""
+    dealt = members.repartition("key", "chunk", "block").sortWithinPartitions("key", "chunk", "block", "probe", F.xxhash64("key", "rep"), "rep")
+    return materialize(dealt.mapInArrow(_near_search(similarity), "u bigint, v bigint"), name)[0]
+
+
+def _across_chunks(placed: DataFrame, links: DataFrame, similarity: float, size: int) -> DataFrame:
+    """Links between the chunks of large shards. ``placed``: key, chunks, chunk and a member's own columns.
+
+    A chunk's groups have joined most of a dense shard's members; one member of each is compared first, which joins the
+    groups of the chunks. Then the members outside a shard's largest group are looked up in its other chunks: few in a
+    dense shard. Where they are many, they are dealt to blocks, and the work grows with their number times the shard's.
+    """
+    component = connected_components(links)
+    known = lambda edges: placed.join(edges.withColumnRenamed("component", "__comp"), F.col("rep") == F.col("node"), "left").select(*placed.columns, F.coalesce("__comp", "rep").alias("comp"))
+    first = known(component).select("key", "chunk", "comp", "rep").groupBy("key", "chunk", "comp").agg(F.min("rep").alias("rep"), F.count("*").alias("n")).where("n > 1")
+    leaders = placed.join(first.select("key", "rep"), ["key", "rep"]).select("key", F.pmod(F.xxhash64("rep"), F.greatest(F.lit(1), F.expr(f"chunks div {size}"))).cast("int").alias("chunk"), F.lit(0).alias("block"), F.lit(False).alias("probe"), F.col("rep").alias("comp"), "rep", "fp", "keys", "hashes")
+    joined = _links(leaders, similarity, "near-leaders")
+    component = connected_components(links.unionByName(joined))
+    members, _ = materialize(known(component), "near-members")
+    largest = members.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("largest"))
+    outside = members.join(largest, "key").where("comp <> largest")
+    counts = outside.groupBy("key").agg(F.count("*").alias("probes"))
+    columns = ["key", "chunk", "block", "probe", "comp", "rep", "fp", "keys", "hashes"]
+    blocks = F.expr(f"cast((probes + {size - 1}) div {size} as int)")
+    own = members.join(counts, "key").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("probe", F.lit(False))
+    others = F.filter(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: c != F.col("__own"))
+    probes = outside.join(counts, "key").withColumn("block", F.pmod(F.xxhash64("rep", "key"), blocks).cast("int")).withColumnRenamed("chunk", "__own").withColumn("chunk", F.explode(others)).withColumn("probe", F.lit(True))
+    return joined.unionByName(_links(own.select(columns).unionByName(probes.select(columns)), similarity, "near-probes"))
+
+
+def near_copies(docs: DataFrame, similarity: float = 0.8, words: int = 5, id_col: str = "doc_id", text_col: str = "text", size: int = SHARD_ROWS) -> DataFrame:
     """One row per input row: doc_id, component_id (smallest id reachable), kept (doc_id = component_id).
 
     Documents link when the sets of their ``words``-word shingles (lower-cased A-Z, words
     between white space) have a Jaccard similarity of ``similarity`` or more. Equal sets always
-    meet; a pair at 0.8 shares a shard with a probability of 0.998. In a shard each document
-    gives one link to each group in range; all but the nearest (``WIDE_SURE`` bits) are verified on
-    the shingles. The order in a shard is drawn anew for each of a document's 12 shards, so a
-    group that one order joins by a link that fails is joined by others.
+    meet; a pair at 0.8 shares a shard with a probability of 0.998, and its fingerprints are within the trees' radius
+    with one of 0.999. Every pair that meets is compared on 32-bit hashes of its shingles, unless it is joined already; none below the
+    similarity is linked. A shard of over ``size`` documents is dealt to several tasks (``_across_chunks``).
 
     Null text counts as empty; texts without words are equal to each other. Rows with a null
     id are their own and kept. Rows that repeat an id are all kept or all dropped. An empty
@@ -321,16 +468,22 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, words: int = 5, id_col
     wanted = id_text(docs, id_col, text_col)
     drawn, _ = materialize(wanted.mapInArrow(_sketches(words), "doc_id bigint, content binary, fp binary, keys array<bigint>"), "sketches")
     groups, _ = materialize(drawn.where("doc_id is not null").groupBy("content").agg(F.min("doc_id").alias("rep"), F.first("fp").alias("fp"), F.first("keys").alias("keys")), "sketch-groups")
-    shards = groups.select(F.explode("keys").alias("key"), "rep", "fp").repartition("key").sortWithinPartitions("key", F.xxhash64("key", "rep"), "rep")
-    links, _ = materialize(shards.mapInArrow(_near_search(WIDE_RADIUS, WIDE_SURE), "u bigint, v bigint, d int"), "near-links")
-    links = links.groupBy("u", "v").agg(F.min("d").alias("d")).where("u <> v")
-    unsure, _ = materialize(links.where(F.col("d") > WIDE_SURE).select("u", "v"), "near-unsure")
-    # One row an id: those that repeat an id go by the text that stands for it.
-    ends = unsure.select(F.col("u").alias("doc_id")).unionByName(unsure.select(F.col("v").alias("doc_id"))).distinct()
-    texts, _ = materialize(wanted.join(ends, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text")), "near-texts")
-    pairs = unsure.join(texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u")), "u").join(texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v")), "v")
-    good = pairs.mapInArrow(_verify(words, similarity), "u bigint, v bigint")
-    edges = links.where(F.col("d") <= WIDE_SURE).select("u", "v").unionByName(good)
+    # A document without a shard in common with another stays out of all that follows.
+    keyed = groups.select(F.explode("keys").alias("key"), "rep")
+    counts, _ = materialize(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "near-keys")
+    shared = keyed.join(counts, "key").groupBy("rep").agg(F.collect_list(F.struct("key", "n")).alias("at"))
+    found = groups.join(shared, "rep")
+    found, _ = materialize(found.select("rep", "content", "fp", "keys", "at"), "near-found")
+    # Rows that share an id may have other texts; the one that the group stands for is told by its content.
+    sets = wanted.join(found.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi").mapInArrow(_sets(words), "doc_id bigint, content binary, hashes binary")
+    sets = sets.groupBy(F.col("doc_id").alias("rep"), "content").agg(F.first("hashes").alias("hashes"))
+    members, _ = materialize(found.join(sets, ["rep", "content"]).select("rep", "fp", "keys", "hashes", "at"), "near-sets")
+    placed = members.select("rep", "fp", "keys", "hashes", F.explode("at").alias("x")).select("x.key", F.expr(f"cast((x.n + {size - 1}) div {size} as int)").alias("chunks"), "rep", "fp", "keys", "hashes")
+    placed = placed.withColumn("chunk", F.pmod(F.xxhash64("rep", "key"), F.col("chunks")).cast("int"))
+    columns = ["key", "chunk", F.lit(0).alias("block"), F.lit(False).alias("probe"), F.col("rep").alias("comp"), "rep", "fp", "keys", "hashes"]
+    edges = _links(placed.select(columns), similarity, "near-links")
+    if not counts.where(F.col("n") > size).isEmpty():
+        edges = edges.unionByName(_across_chunks(placed.where("chunks > 1"), edges, similarity, size))
     # Rows that share an id but not their text link the groups of both.
     reps = drawn.where("doc_id is not null").join(groups.select("content", "rep"), "content").select("doc_id", "rep")
     twice = reps.where("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
