@@ -13,18 +13,22 @@ from vellum.operators.sequences import prefix_sums
 def stratified_group_folds(df: DataFrame, group: str, label: str, folds: int = 10, validation: int = 2, seed: int = 0, order: Column | None = None) -> DataFrame:
     """The rows with ``fold`` and ``is_valid`` (fold below ``validation``): a group's rows share a fold.
 
-    A group belongs to its most frequent label (of equals the first). The groups of a label stand in an order
-    drawn by ``seed`` (or by ``order``), and a group goes to the fold that holds the middle of its rows among all
-    rows of the label: folds of a label differ by the rows of one group at most. Places come from prefix sums
+    A group belongs to its most frequent label (of equals the first). The groups of a label, larger ones first and
+    equals in an order drawn by ``seed`` (or by ``order``), are dealt to the folds forwards and backwards in turn: folds of a label
+    differ by one group, and in rows by those of its largest group at most. Places come from prefix sums
     over range partitions, so a label of any size is many tasks. Null groups and labels are a group and a label.
     """
     counts = df.groupBy(group, label).agg(F.count("*").alias("n"))
     first = F.min_by(F.struct(F.col(label).alias("l")), F.struct(-F.col("n"), F.col(label)))["l"]
     main = counts.groupBy(group).agg(first.alias("__main"), F.sum("n").alias("__rows"))
-    main = main.withColumn("__order", F.xxhash64(F.lit(seed), F.col(group)) if order is None else order)
-    placed = prefix_sums(main, ["__main"], ["__order", group], "__rows", "__before", "__total")
-    middle = F.expr(f"least({folds - 1}, ((2 * __before + __rows) * {folds}) div (2 * __total))")
-    dealt = placed.select(F.col(group).alias("__group"), middle.cast("int").alias("fold"))
+    main = main.withColumns({"__order": F.xxhash64(F.lit(seed), F.col(group)) if order is None else order, "__less": -F.col("__rows"), "__one": F.lit(1)})
+    placed = prefix_sums(main, ["__main"], ["__less", "__order", group], "__one", "__place", "__total")
+    forwards = F.pmod("__place", F.lit(folds))
+    fold = F.when(F.expr(f"__place div {folds}") % 2 == 0, forwards).otherwise(folds - 1 - forwards)
+    if order is None:
+        # Another start for each label, so that the first folds don't get all remainders.
+        fold = F.pmod(fold + F.pmod(F.xxhash64(F.lit(seed), "__main"), F.lit(folds)), F.lit(folds))
+    dealt = placed.select(F.col(group).alias("__group"), fold.cast("int").alias("fold"))
     return df.join(dealt, F.col(group).eqNullSafe(F.col("__group"))).drop("__group").withColumn("is_valid", F.col("fold") < validation)
 
 

@@ -694,8 +694,8 @@ query(ARTICLE_CASES)(article_cases)
 
 @query("""WITH c AS (SELECT o_custkey AS g, o_orderpriority AS l, count(*) AS n FROM orders GROUP BY 1, 2),
   m AS (SELECT g, arg_min(l, (-n, l)) AS l, sum(n) AS n FROM c GROUP BY 1),
-  p AS (SELECT g, n, sum(n) OVER (PARTITION BY l ORDER BY g) - n AS b, sum(n) OVER (PARTITION BY l) AS t FROM m),
-  f AS (SELECT g, CAST(least(9, ((2 * b + n) * 10) // (2 * t)) AS INTEGER) AS fold FROM p)
+  p AS (SELECT g, row_number() OVER (PARTITION BY l ORDER BY n DESC, g) - 1 AS i FROM m),
+  f AS (SELECT g, CAST(CASE WHEN i // 10 % 2 = 0 THEN i % 10 ELSE 9 - i % 10 END AS INTEGER) AS fold FROM p)
   SELECT o_orderkey, fold, fold < 2 AS is_valid FROM orders JOIN f ON o_custkey = g""")
 def group_folds(spark, sf):
     """Folds of the customers' orders, balanced by priority."""
