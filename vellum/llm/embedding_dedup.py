@@ -401,19 +401,27 @@ def embedding_dedup(embeddings: DataFrame, threshold: float = 0.93, id_col: str
 def audit_recall(embeddings: DataFrame, result: DataFrame, threshold: float = 0.93, every: int = 50, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """One row: links of the vectors whose id is divisible by ``every`` by brute force against all, links counted, recall.
 
-    The queries are a stated share of the rows; they go to the rows by label, in blocks.
+    The queries are a stated share of the rows. Queries and rows of a label meet in blocks of bounded size, each block of
+    queries with each of rows, so no task holds a label. Rows that repeat an id count together. Without queries the recall is 1.
     """
     wanted = embeddings.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).cast("array<double>").alias("embedding"))
-    units = wanted.mapInArrow(_units, "vec_id bigint, label string, dim int, vec binary").where("vec is not null and label is not null and vec_id is not null")
-    blocks = units.where(F.col("vec_id") % every == 0).withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(8)))
-    others = units.withColumn("block", F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(8)])))
+    units, _ = materialize(wanted.mapInArrow(_units, "vec_id bigint, label string, dim int, vec binary").where("vec is not null and label is not null and vec_id is not null"), "audit-units")
+    asked = F.col("vec_id") % every == 0
+    blocks = units.groupBy("label", "dim").agg(F.ceil(F.count("*") / BLOCK).alias("rows"), F.greatest(F.lit(1).cast("bigint"), F.ceil(F.count(F.when(asked, 1)) / BLOCK)).alias("queries"))
+    # Which rows are dealt to a block is a matter of size alone.
+    dealt, _ = materialize(units.withColumn("h", F.xxhash64("vec_id", "vec")).join(blocks, ["label", "dim"]), "audit-blocks")
+    one, all_ = lambda n: F.pmod("h", F.col(n)), lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    left = dealt.where(asked).withColumn("q", one("queries")).withColumn("r", all_("rows")).select("label", "dim", "q", "r", "vec_id", "vec")
+    right = dealt.withColumn("r", one("rows")).withColumn("q", all_("queries")).select(F.col("label").alias("l"), F.col("dim").alias("d"), F.col("q").alias("q2"), F.col("r").alias("r2"), F.col("vec").alias("vec"))
 
     def count(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"vec_id": [], "true": []}).astype("int64")
         s = _matrix(left["vec"]) @ _matrix(right["vec"]).T >= threshold
-        return pd.DataFrame({"vec_id": left["vec_id"], "true": s.sum(axis=1) - 1})
+        return pd.DataFrame({"vec_id": left["vec_id"], "true": s.sum(axis=1)})
 
-    true = blocks.groupBy("label", "dim", "block").cogroup(others.groupBy("label", "dim", "block")).applyInPandas(count, "vec_id bigint, true bigint")
-    both = true.join(result.select("vec_id", "n_links"), "vec_id")
+    true = left.groupBy("label", "dim", "q", "r").cogroup(right.groupBy("l", "d", "q2", "r2")).applyInPandas(count, "vec_id bigint, true bigint").groupBy("vec_id").agg(F.sum("true").alias("true"))
+    # Each row finds itself once.
+    true = true.join(units.where(asked).groupBy("vec_id").agg(F.count("*").alias("own")), "vec_id").withColumn("true", F.col("true") - F.col("own"))
+    both = true.join(result.groupBy("vec_id").agg(F.sum("n_links").alias("n_links")), "vec_id")
     return both.agg(F.sum("true").alias("true_links"), F.sum("n_links").alias("found_links")).withColumn("recall", F.when(F.col("true_links") > 0, F.col("found_links") / F.col("true_links")).otherwise(F.lit(1.0)))

@@ -26,6 +26,8 @@ from vellum.llm.common import batch, rows
 BITS = 15
 #: Expected number of sampled training documents of one language, and of all the sample's features: they go to the driver.
 SAMPLE_PER_LANG, SAMPLE_FEATURES = 600, 30_000_000
+#: Expected sampled documents of a language at least, however many languages there are.
+LEAST_PER_LANG = 20
 _OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
 _FEATURES = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("lang", pa.string()), ("feature", pa.list_(pa.int32())), ("tf", pa.list_(pa.float32()))])
 _DF = pa.schema([("feature", pa.int32()), ("n", pa.int64())])
@@ -147,7 +149,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
     The driver gathers one row a language, one a feature, and the sparse features of about
     ``sample_per_lang`` documents of each language, or fewer if documents are so long or
-    languages so many that these would be over ``SAMPLE_FEATURES`` in all. Rows that repeat
+    languages so many that these would be over ``SAMPLE_FEATURES`` in all, but no fewer than
+    ``LEAST_PER_LANG`` (or all that it has): beyond that, the sample grows with the number of languages, not of documents. Rows that repeat
     an id and its text are one document of the sample. More languages than ``max_langs``, if
     it is given, are an error: none is left out.
     """
@@ -176,7 +179,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     # A share of each language, by a hash of id and text: no sort, the same documents every time.
     # A document has three features a character at most. One small row a language is broadcast.
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
-    wanted = {lang: min(sample_per_lang, SAMPLE_FEATURES / len(langs) / min(1 << bits, 3 * size + 1)) for lang, (_, size) in per_lang.items()}
+    wanted = {lang: min(sample_per_lang, max(LEAST_PER_LANG, SAMPLE_FEATURES / len(langs) / min(1 << bits, 3 * size + 1))) for lang, (_, size) in per_lang.items()}
     shares = docs.sparkSession.createDataFrame([(lang, int((1 << 30) * min(1.0, wanted[lang] / n))) for lang, (n, _) in per_lang.items()], "lang string, share long")
     chosen = learn.join(F.broadcast(shares), "lang").where(draw < F.col("share")).select("doc_id", "lang", "text").distinct()
 
