@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import batch, id_text, materialize, rows, shared_runs
+from vellum.llm.common import batch, forget, id_text, materialize, rows, shared_runs
 from vellum.llm.components import connected_components
 
 #: Fingerprints that chance puts into a shard at most, and those above which a shard is split again.
@@ -233,6 +233,8 @@ def simhash_dedup(docs: DataFrame, radius: int = 4, words: int = 4, seed: int =
 #: Of ``near_copies``: 64-bit words of a fingerprint, bits in which candidates differ at most (a pair at 0.8 differs in
 #: 39 +- 6), shards of a document, minima of a shard's key, members of a shard that one task compares.
 WIDE, WIDE_RADIUS, BANDS, ROWS, SHARD_ROWS = 4, 58, 12, 4, 4096
+#: Members of a shard up to which all their fingerprints are compared before their sets of hashes are fetched.
+FEW = 64
 _SEEDS = np.array([xxhash.xxh64_intdigest(f"minimum {i}") for i in range(BANDS * ROWS)], dtype=np.uint64)
 _ODD = np.array([xxhash.xxh64_intdigest(f"factor {i}") | 1 for i in range(BANDS * ROWS)], dtype=np.uint64)
 _WORD_SEEDS = [np.uint64(xxhash.xxh64_intdigest(f"word {i}")) for i in range(WIDE)]
@@ -412,6 +414,20 @@ def _near_search(similarity: float):
     return run
 
 
+def _within_radius(radius: int):
+    """Of shards of few members (key, rep, n, fp): those rows that have another within the radius."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard in shared_runs(batches, ["key"]):
+            fp = np.frombuffer(b"".join(shard.column("fp").to_pylist()), np.uint64).reshape(-1, WIDE)
+            near = np.bitwise_count(fp[:, None] ^ fp[None]).sum(axis=2, dtype=np.int64) <= radius
+            at = np.flatnonzero(near.sum(axis=1) > 1)
+            if len(at):
+                yield from shard.select(["key", "rep", "n"]).take(pa.array(at)).combine_chunks().to_batches()
+
+    return run
+
+
 def _sets(words: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in rows(batches, ["doc_id", "text"]):
@@ -470,20 +486,25 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, words: int = 5, id_col
     groups, _ = materialize(drawn.where("doc_id is not null").groupBy("content").agg(F.min("doc_id").alias("rep"), F.first("fp").alias("fp"), F.first("keys").alias("keys")), "sketch-groups")
     # A document without a shard in common with another stays out of all that follows.
     keyed = groups.select(F.explode("keys").alias("key"), "rep")
-    counts, _ = materialize(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "near-keys")
+    counts, counts_path = materialize(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "near-keys")
     shared = keyed.join(counts, "key").groupBy("rep").agg(F.collect_list(F.struct("key", "n")).alias("at"))
-    found = groups.join(shared, "rep")
-    found, _ = materialize(found.select("rep", "content", "fp", "keys", "at"), "near-found")
+    found, found_path = materialize(groups.join(shared, "rep").select("rep", "content", "fp", "keys", "at"), "near-found")
+    # Most shards hold a few documents that share a passage: their fingerprints tell them apart, and their sets stay where they are.
+    opened = found.select("rep", "fp", F.explode("at").alias("x")).select("x.key", "rep", "x.n", "fp")
+    few = opened.where(F.col("n") <= FEW).repartition("key").sortWithinPartitions("key").mapInArrow(_within_radius(WIDE_RADIUS), "key bigint, rep bigint, n bigint")
+    left = few.unionByName(opened.where(F.col("n") > FEW).drop("fp")).groupBy("rep").agg(F.collect_list(F.struct("key", "n")).alias("at"))
+    found, near_path = materialize(found.drop("at").join(left, "rep"), "near-candidates")
     # Rows that share an id may have other texts; the one that the group stands for is told by its content.
     sets = wanted.join(found.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi").mapInArrow(_sets(words), "doc_id bigint, content binary, hashes binary")
     sets = sets.groupBy(F.col("doc_id").alias("rep"), "content").agg(F.first("hashes").alias("hashes"))
-    members, _ = materialize(found.join(sets, ["rep", "content"]).select("rep", "fp", "keys", "hashes", "at"), "near-sets")
+    members, members_path = materialize(found.join(sets, ["rep", "content"]).select("rep", "fp", "keys", "hashes", "at"), "near-sets")
     placed = members.select("rep", "fp", "keys", "hashes", F.explode("at").alias("x")).select("x.key", F.expr(f"cast((x.n + {size - 1}) div {size} as int)").alias("chunks"), "rep", "fp", "keys", "hashes")
     placed = placed.withColumn("chunk", F.pmod(F.xxhash64("rep", "key"), F.col("chunks")).cast("int"))
     columns = ["key", "chunk", F.lit(0).alias("block"), F.lit(False).alias("probe"), F.col("rep").alias("comp"), "rep", "fp", "keys", "hashes"]
     edges = _links(placed.select(columns), similarity, "near-links")
     if not counts.where(F.col("n") > size).isEmpty():
         edges = edges.unionByName(_across_chunks(placed.where("chunks > 1"), edges, similarity, size))
+    forget(docs.sparkSession, counts_path, found_path, near_path, members_path)
     # Rows that share an id but not their text link the groups of both.
     reps = drawn.where("doc_id is not null").join(groups.select("content", "rep"), "content").select("doc_id", "rep")
     twice = reps.where("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
