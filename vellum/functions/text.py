@@ -109,7 +109,8 @@ def figure_numbers(text: str | None, below: int = 16, gap: int = 5) -> list[int]
             for part in _FIG_PART.findall(token):
                 if part.isdigit():
                     n = int(part)
-                    out += range(last + 1, n + 1) if dash and last is not None and last < n < last + below else [n]
+                    # What a range holds from ``below`` on goes in any case.
+                    out += range(last + 1, min(n + 1, below)) if dash and last is not None and last < n else [n]
                     last, at, dash = n, k, False
                 else:
                     dash = last is not None and part.lower() in ("-", "–", "to", "through")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
+from vellum import column_queries
 from vellum.article_queries import ARTICLE_CASES, ARTICLE_PASSAGES, article_cases, article_passages
 from vellum.functions import captions as C
 from vellum.functions import ids, predicates as P, text as T
@@ -819,3 +820,7 @@ def centroid_levels(spark, sf):
     model = lambda label, part: M.nearest_centroid(M.centroids(part, "embedding", label))
     tasks = {"half": M.Task(model("half", e))} | {h: M.Task(model("leaf", e.where(F.col("half") == h)), "half", h) for h in ("low", "high")}
     return M.score_levels(e, "vec_id", "embedding", tasks)
+
+
+QUERIES.update(column_queries.QUERIES)
+ORACLE_SQL.update(column_queries.ORACLE_SQL)
