@@ -824,3 +824,24 @@ def centroid_levels(spark, sf):
 
 QUERIES.update(column_queries.QUERIES)
 ORACLE_SQL.update(column_queries.ORACLE_SQL)
+
+
+@query("""WITH l AS (SELECT p_partkey, unnest(list_concat(CASE WHEN p_partkey % 2 = 0 THEN ['south_west'] ELSE [] END, CASE WHEN p_partkey % 7 = 0 THEN ['north_west', 'north_west'] ELSE [] END, CASE WHEN p_partkey % 3 = 0 THEN ['east'] ELSE [] END, CASE WHEN p_partkey % 5 = 0 THEN ['west', 'unknown'] ELSE [] END, CASE WHEN p_size > 25 THEN ['large'] ELSE [] END, CASE WHEN p_size < 30 THEN ['small'] ELSE [] END)) AS c FROM part),
+  p(c, parent_class) AS (VALUES ('south_west', 'west'), ('north_west', 'west'), ('east', 'place'), ('west', 'place'), ('large', 'size'), ('small', 'size'))
+  SELECT p_partkey, parent_class, count(DISTINCT c) AS n FROM l JOIN p USING (c) GROUP BY 1, 2 HAVING count(DISTINCT c) > 1""")
+def disjoint_labels(spark, sf):
+    """Rows with several labels below one parent."""
+    one = lambda test, *names: F.when(test, F.array(*map(F.lit, names))).otherwise(F.array().cast("array<string>"))
+    k, s = F.col("p_partkey"), F.col("p_size")
+    labels = F.concat(one(k % 2 == 0, "south_west"), one(k % 7 == 0, "north_west", "north_west"), one(k % 3 == 0, "east"), one(k % 5 == 0, "west", "unknown"), one(s > 25, "large"), one(s < 30, "small"))
+    class_map = X.dimensions(spark, TAXONOMY)["class_map"]
+    return X.disjoint_violations(table(spark, sf, "part").select("p_partkey", labels.alias("labels")), "p_partkey", "labels", class_map)
+
+
+@query(_PART_LABELS + """, m AS (SELECT p_partkey, max(value) FILTER (task = 'place') AS a, max(value) FILTER (task = 'place:west') AS b, max(value) FILTER (task = 'place:west~size') AS c FROM ok GROUP BY 1)
+  SELECT p_partkey, array_to_string(list_filter([a, c], lambda x: x IS NOT NULL), ',') AS packed, coalesce(b, '') AS west FROM part LEFT JOIN m USING (p_partkey)""")
+def packed_columns(spark, sf):
+    """Two task columns packed into one list, a third left as it is."""
+    west = TAXONOMY._named("place:west", TAXONOMY.children())
+    out = X.multiplex(_part_labels(spark, sf), "labels", TAXONOMY, "multiplex", merged={"packed": ["place", "place:west~size"]})
+    return out.select("p_partkey", F.array_join("packed", ",").alias("packed"), F.col(f"`{west}`").alias("west"))
