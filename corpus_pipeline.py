@@ -42,6 +42,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by a Jaccard similarity of 0.8 or more of their five-word shingles, the one with the smallest doc_id stays.
 
+    A pair at 0.8 is found with a probability of 0.997, none below is linked; whole texts count, however long.
     Texts without words are equal to each other; rows with a null id stay. Rows that share an
     id stay if one of them does. An empty table stays empty; other columns stay as they are.
     """
@@ -49,7 +50,11 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents as pieces of sequences of at most 2048 ids; null and empty texts are a single end id, repeated or null ids are documents of their own, an empty table has no pieces."""
+    """All documents as pieces of sequences of at most 2048 ids, very long texts over many sequences.
+
+    Null and empty texts are a single end id, repeated or null ids are documents of their own, an
+    empty table has no pieces; other columns, whatever their names, are left out.
+    """
     return pack(docs)
 
 
