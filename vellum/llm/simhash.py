@@ -235,6 +235,8 @@ def simhash_dedup(docs: DataFrame, radius: int = 4, words: int = 4, seed: int =
 WIDE, WIDE_RADIUS, BANDS, ROWS, SHARD_ROWS = 4, 58, 12, 4, 4096
 #: Members of a shard up to which all their fingerprints are compared before their sets of hashes are fetched.
 FEW = 64
+#: Largest filter of the ids whose texts are asked for: 2**29 bits are 64 MB.
+MOST_BITS = 29
 _SEEDS = np.array([xxhash.xxh64_intdigest(f"minimum {i}") for i in range(BANDS * ROWS)], dtype=np.uint64)
 _ODD = np.array([xxhash.xxh64_intdigest(f"factor {i}") | 1 for i in range(BANDS * ROWS)], dtype=np.uint64)
 _WORD_SEEDS = [np.uint64(xxhash.xxh64_intdigest(f"word {i}")) for i in range(WIDE)]
@@ -428,11 +430,25 @@ def _within_radius(radius: int):
     return run
 
 
-def _sets(words: int):
+def _id_filter(ids: DataFrame, bits: int) -> np.ndarray:
+    """A set of 2**bits bits, as 64-bit integers, with those of the ids' hashes set: what the driver gathers is bounded by its size."""
+    h = F.shiftrightunsigned(F.xxhash64("rep"), 64 - bits)
+    found = ids.select(F.shiftrightunsigned(h, 6).alias("place"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(xxhash64(rep), {64 - bits}) & 63 as int))").alias("bit")).groupBy("place").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(1 << (bits - 6), np.int64)
+    out[found.column("place").to_numpy()] = found.column("bits").to_numpy()
+    return out
+
+
+def _sets(words: int, shared, bits: int):
+    """Sets of the documents (doc_id, h, text) whose h, the first ``bits`` bits of their id's hash, is in the filter."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in rows(batches, ["doc_id", "text"]):
-            found = [shingle_hashes(t, words) for t in texts]
-            yield batch(_SET, [ids, [xxhash.xxh3_128_digest(h.tobytes()) for h in found], [np.unique((h >> np.uint64(32)).astype(np.uint32)).tobytes() for h in found]])
+        for b in batches:
+            h = b.column(b.schema.get_field_index("h")).to_numpy()
+            wanted = b.filter(pa.array((shared.value[h >> 6] >> (h & 63) & 1).astype(bool)))
+            for ids, texts in rows([wanted] if wanted.num_rows else [], ["doc_id", "text"]):
+                found = [shingle_hashes(t, words) for t in texts]
+                yield batch(_SET, [ids, [xxhash.xxh3_128_digest(h.tobytes()) for h in found], [np.unique((h >> np.uint64(32)).astype(np.uint32)).tobytes() for h in found]])
 
     return run
 
@@ -495,7 +511,11 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, words: int = 5, id_col
     left = few.unionByName(opened.where(F.col("n") > FEW).drop("fp")).groupBy("rep").agg(F.collect_list(F.struct("key", "n")).alias("at"))
     found, near_path = materialize(found.drop("at").join(left, "rep"), "near-candidates")
     # Rows that share an id may have other texts; the one that the group stands for is told by its content.
-    sets = wanted.join(found.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi").mapInArrow(_sets(words), "doc_id bigint, content binary, hashes binary")
+    # Texts aren't shuffled: a filter of bounded size tells most of those that aren't asked for, the join the rest.
+    bits = min(MOST_BITS, max(16, (32 * found.count()).bit_length()))
+    asked = docs.sparkSession.sparkContext.broadcast(_id_filter(found.select("rep"), bits))
+    hashed = wanted.where("doc_id is not null").select("doc_id", F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - bits).alias("h"), "text")
+    sets = hashed.mapInArrow(_sets(words, asked, bits), "doc_id bigint, content binary, hashes binary")
     sets = sets.groupBy(F.col("doc_id").alias("rep"), "content").agg(F.first("hashes").alias("hashes"))
     members, members_path = materialize(found.join(sets, ["rep", "content"]).select("rep", "fp", "keys", "hashes", "at"), "near-sets")
     placed = members.select("rep", "fp", "keys", "hashes", F.explode("at").alias("x")).select("x.key", F.expr(f"cast((x.n + {size - 1}) div {size} as int)").alias("chunks"), "rep", "fp", "keys", "hashes")
