@@ -13,9 +13,9 @@ def case_paragraphs(sections: Column) -> Column:
     """Paragraphs that may hold cases, of array<struct<kind, title, text>>.
 
     Those of sections of kind CASE; else those under titles with the word case; else those
-    that tell an age. No sections: an empty list.
+    that tell an age. A section without text is none. No sections: an empty list.
     """
-    texts = lambda test: F.transform(F.filter(sections, test), lambda s: s["text"])
+    texts = lambda test: F.transform(F.filter(sections, lambda s: s["text"].isNotNull() & test(s)), lambda s: s["text"])
     levels = [
         texts(lambda s: F.upper(s["kind"]) == "CASE"),
         texts(lambda s: F.contains(F.lower(s["title"]), F.lit("case"))),
@@ -51,7 +51,7 @@ def article_cases(sections: Column) -> Column:
 
     Of kind CASE if there are such; else each run of paragraphs below a title with the word case is one; else
     those of the kind of the first paragraph that tells an age, unless that is an abstract. Then
-    paragraphs are merged to cases.
+    paragraphs are merged to cases. A paragraph without text decides nothing and is in no case.
     """
     none = F.array().cast("array<string>")
 
@@ -65,7 +65,8 @@ def article_cases(sections: Column) -> Column:
         # Runs are merged like paragraphs: one that begins with no mention goes on with the case before it.
         return F.when(F.size(marked) > 0, merge_paragraphs(marked)).when(F.size(runs) > 0, merge_paragraphs(runs)).when(kind.isNotNull(), merge_paragraphs(own)).otherwise(none)
 
-    return F.get(F.transform(F.array(F.coalesce(sections, F.array().cast("array<struct<kind: string, title: string, title_number: int, text: string>>"))), choose), 0)
+    told = F.filter(F.coalesce(sections, F.array().cast("array<struct<kind: string, title: string, title_number: int, text: string>>")), lambda x: x["text"].isNotNull())
+    return F.get(F.transform(F.array(told), choose), 0)
 
 
 def one_caption_a_file(captions: Column) -> Column:
