@@ -117,6 +117,23 @@ def test_case_paragraphs_and_captions(spark):
     assert [r[0] for r in t.select(R.is_noise(F.col("t"))).collect()] == [True, False, True, False]
 
 
+def test_images_of_one_size_are_cut_in_stacks(spark):
+    rng = np.random.default_rng(3)
+    stack = np.full((5, 60, 130), 255.0)
+    for i in range(5):
+        stack[i, 10 : 45 + i, 5:50] = rng.integers(0, 255, (35 + i, 45))
+        stack[i, 12:55, 80 : 115 + i] = 40 * i
+    whole = I.edges(I.blur(stack))
+    for i in range(5):
+        assert (whole[i] == I.edges(I.blur(stack[i]))).all()
+    small = stack[:, :, :60].astype(np.uint8)
+    rows = [(k, (60, 130, 1, stack[k % 5].astype(np.uint8).tobytes()) if k % 2 else (60, 60, 1, small[k % 5].tobytes())) for k in range(40)]
+    df = spark.createDataFrame([*rows, (40, None)], "k int, image struct<height: int, width: int, nChannels: int, data: binary>").coalesce(1)
+    got = [tuple(r)[:6] for r in I.split_images(df).collect()]
+    alone = [(k, *r[1:]) for k, *_ in rows for r in (got_one for got_one in got if got_one[0] == k % 10)]
+    assert got == alone and len(got) > 40 and {r[0] for r in got} == set(range(40))
+
+
 def test_image_parts(spark):
     rng = np.random.default_rng(0)
     a = np.full((220, 320, 3), 255, np.uint8)

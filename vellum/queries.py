@@ -502,8 +502,9 @@ def _panels(key: pd.Series) -> pd.Series:
 
     def draw(k: int) -> bytes:
         a = np.full((60, 70 * (k % 3 + 1) + 20), 255, np.uint8)
+        noise = np.random.default_rng(k).integers(0, 255, (40, 40))
         for i in range(k % 3 + 1):
-            a[10:50, 20 + 70 * i : 60 + 70 * i] = np.random.default_rng(k).integers(0, 255, (40, 40))
+            a[10:50, 20 + 70 * i : 60 + 70 * i] = noise
         return a.tobytes()
 
     return key.map(draw)
@@ -513,7 +514,9 @@ def _panels(key: pd.Series) -> pd.Series:
 def image_parts(spark, sf):
     width = (70 * (F.col("p_partkey") % 3 + 1) + 20).cast("int")
     image = F.struct(F.lit(60).alias("height"), width.alias("width"), F.lit(1).alias("nChannels"), _panels("p_partkey").alias("data"))
-    drawn = table(spark, sf, "part").select("p_partkey", image.alias("image"))
+    # A small file of keys becomes a great many pixels: keys are dealt to all cores before they are drawn.
+    keys = table(spark, sf, "part").select("p_partkey").repartition(8 * spark.sparkContext.defaultParallelism, "p_partkey")
+    drawn = keys.select("p_partkey", image.alias("image"))
     counts = I.split_images(drawn).groupBy("p_partkey").agg(F.count("*").alias("parts"))
     return counts.withColumn("status", I.split_status(F.col("parts"), F.lit(2)))
 
