@@ -165,3 +165,12 @@ def test_row_numbers_are_dense_over_many_partitions(spark):
         assert (low, high, many) == (1, n, n)
     assert sorted(r["count"] for r in S.shards(df, 7, ["l_orderkey", "l_linenumber"]).groupBy("shard").count().collect()) == sorted(n // 7 + (i < n % 7) for i in range(7))
     assert S.dense_numbers(df.where("false"), ["l_orderkey"]).count() == 0
+
+
+def test_label_lists_are_opened_once_a_row(spark):
+    tree = X.Taxonomy({"place": ["taxonomy"], "west": ["place"], "east": ["place"], "other_place": ["place"], "size": ["taxonomy"], "small": ["size"], "no_size": ["size"]}, subsidiary={"west": ["size"]})
+    df = spark.createDataFrame([(1, ["west"]), (2, ["west", "east"]), (3, ["west", "small"]), (4, []), (5, None), (6, ["east", "unknown"])], "k int, labels array<string>")
+    out = X.multiplex(df, "labels", tree, "multiplex_without_merging", X.exclusion_defaults(tree))
+    got = {r["k"]: (r["place"], r["place:west~size"]) for r in out.collect()}
+    assert got == {1: ("west", "no_size"), 2: ("other_place", ""), 3: ("west", "small"), 4: ("other_place", ""), 5: ("other_place", ""), 6: ("east", "")}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("coalesce(labels") == 1

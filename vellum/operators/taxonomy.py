@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import xml.etree.ElementTree as ET
 from collections import Counter, defaultdict
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -271,11 +272,24 @@ def _below(task: Column, top: Column) -> Column:
     return (task == top) | (task.startswith(top) & F.substring(task, F.length(top) + 1, F.lit(1)).isin(*BOUNDARIES))
 
 
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once a row, however often it is used: the only element of an array has a name."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
 def resolve(tasks: Column) -> Column:
     """Drop tasks with more than one value, and all that hang below them."""
-    names = F.transform(tasks, lambda t: t["task"])
-    bad = F.array_distinct(F.filter(names, lambda n: F.size(F.filter(names, lambda m: m == n)) > 1))
-    return F.filter(tasks, lambda t: ~F.exists(bad, lambda b: _below(t["task"], b)))
+
+    def keep(all_: Column, bad: Column) -> Column:
+        return F.when(F.size(bad) == 0, all_).otherwise(F.filter(all_, lambda t: ~F.exists(bad, lambda b: _below(t["task"], b))))
+
+    def drop(all_: Column) -> Column:
+        def repeated(names: Column) -> Column:
+            return F.array_distinct(F.filter(names, lambda n: F.size(F.filter(names, lambda m: m == n)) > 1))
+
+        return _once(_once(F.transform(all_, lambda t: t["task"]), repeated), lambda bad: keep(all_, bad))
+
+    return _once(tasks, drop)
 
 
 def task_map(tasks: Column) -> Column:
@@ -284,12 +298,21 @@ def task_map(tasks: Column) -> Column:
 
 def fill_exclusions(tasks: Column, defaults: dict[str, tuple[str, str]]) -> Column:
     """For each task that is missing: its default, where its conditioning class is among the values (or it has none)."""
-    extra = []
-    for task, (condition, default) in sorted(defaults.items()):
-        has = F.array_contains(F.transform(tasks, lambda t: t["task"]), task)
-        holds = F.lit(True) if not condition else F.array_contains(F.transform(tasks, lambda t: t["value"]), condition)
-        extra.append(F.when(~has & holds, F.struct(F.lit(task).alias("task"), F.lit(default).alias("value"))))
-    return F.array_sort(F.concat(tasks, F.filter(F.array(*extra), lambda x: x.isNotNull()))) if extra else tasks
+    if not defaults:
+        return tasks
+
+    def fill(all_: Column) -> Column:
+        def missing(names: Column, values: Column) -> Column:
+            extra = []
+            for task, (condition, default) in sorted(defaults.items()):
+                holds = F.lit(True) if not condition else F.array_contains(values, condition)
+                extra.append(F.when(~F.array_contains(names, task) & holds, F.struct(F.lit(task).alias("task"), F.lit(default).alias("value"))))
+            return F.filter(F.array(*extra), lambda x: x.isNotNull())
+
+        names, values = F.transform(all_, lambda t: t["task"]), F.transform(all_, lambda t: t["value"])
+        return F.array_sort(F.concat(all_, _once(names, lambda n: _once(values, lambda v: missing(n, v)))))
+
+    return _once(tasks, fill)
 
 
 def is_exclusion(name: str) -> bool:
