@@ -263,3 +263,13 @@ def test_pages_with_nested_elements_and_any_order_of_attributes():
     got = Q.citation_page(html)
     assert got["abstract"].split() == ["Onetwo", "&", "three"] and got["link"] == "u" and got["title"] == "T t" and got["mesh_terms"] == ["Lung"] and got["major_mesh_terms"] == []
     assert Q.citation_page(None)["title"] is None and Q.citation_page("<h1 class=heading-title>open")["title"] is None
+
+
+def test_pages_are_parsed_in_bounded_blocks():
+    import pyarrow as pa
+
+    page = '<h1 class="heading-title">T %d</h1><p>' + "x" * 300_000 + "</p>"
+    pages = [page % i for i in range(9)] + [None, ""]
+    blocks = list(Q.citation_html.func(iter([pa.array(pages, pa.string()).slice(1), pa.array([], pa.string())])))
+    assert max(map(len, blocks)) <= 5 and len(blocks) >= 3
+    assert [x["title"] for b in blocks for x in b.to_pylist()] == [f"T {i}" for i in range(1, 9)] + [None, None]

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import calendar
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 from pathlib import Path
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 #: Fixed value: as many results as one search returns at most.
@@ -197,10 +201,25 @@ def citation_page(html: str | None) -> dict:
     }
 
 
-@F.pandas_udf(_CITATION)
-def citation_html(html: pd.Series) -> pd.DataFrame:
-    """struct(title, authors, journal, journal_detail, year, mesh_terms, major_mesh_terms, keywords, abstract, link) of an abstract's page."""
-    return pd.DataFrame([citation_page(h) for h in html], columns=_CITATION.names)
+#: Characters of pages that are parsed at a time.
+_PAGES = 1 << 20
+
+
+@F.arrow_udf(_CITATION)
+def citation_html(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """struct(title, authors, journal, journal_detail, year, mesh_terms, major_mesh_terms, keywords, abstract, link) of an abstract's page.
+
+    A batch's pages are parsed a bounded number of characters at a time, a longer page alone, so a worker holds the
+    parsed fields of few pages however large the batches are.
+    """
+    kind = to_arrow_type(_CITATION)
+    for b in batches:
+        ends = np.cumsum(pc.fill_null(pc.utf8_length(b), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < len(b):
+            until = max(at + 1, int(np.searchsorted(ends, (int(ends[at - 1]) if at else 0) + _PAGES, side="right")))
+            yield pa.array([citation_page(h) for h in b.slice(at, until - at).to_pylist()], kind)
+            at = until
 
 
 def join_content(metadata: DataFrame, content: DataFrame, key: str = "pmcid") -> DataFrame:
