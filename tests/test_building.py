@@ -273,3 +273,13 @@ def test_pages_are_parsed_in_bounded_blocks():
     blocks = list(Q.citation_html.func(iter([pa.array(pages, pa.string()).slice(1), pa.array([], pa.string())])))
     assert max(map(len, blocks)) <= 5 and len(blocks) >= 3
     assert [x["title"] for b in blocks for x in b.to_pylist()] == [f"T {i}" for i in range(1, 9)] + [None, None]
+
+
+def test_ambiguous_files_are_dropped_in_one_shuffle(spark):
+    from vellum.operators.harmonize import class_subsets
+
+    a = spark.createDataFrame([("x", 1), ("y", None), (None, 3), ("v", 7), ("v", 8)], "file string, n int")
+    b = spark.createDataFrame([("y", 4), ("z", 5)], "file string, n int")
+    out = class_subsets({"a": a, "b": b}, "file")
+    assert out.columns == ["file", "n", "class"] and sorted(map(tuple, out.collect())) == [("x", 1, "a"), ("z", 5, "b")]
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()

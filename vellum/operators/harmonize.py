@@ -47,8 +47,9 @@ def with_image_counts(cases: DataFrame, images: DataFrame, case_key: str, name:
 
 
 def drop_ambiguous(df: DataFrame, key: str) -> DataFrame:
-    """Drop all rows of a key that occurs more than once. Counts are combined before the shuffle."""
-    return df.join(df.groupBy(key).agg(F.count("*").alias("__n")).where("__n = 1").select(key), key, "left_semi")
+    """Drop all rows of a key that is null or occurs more than once. The rows are made and shuffled once, with their counts."""
+    others = [F.first(F.col(f"`{c}`")).alias(c) for c in df.columns if c != key]
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("__n"), *others).where("__n = 1").select(*[f"`{c}`" for c in df.columns])
 
 
 def class_subsets(subsets: dict[str, DataFrame], key: str, name: str = "class") -> DataFrame:
