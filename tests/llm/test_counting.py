@@ -189,6 +189,52 @@ def test_toxicity_learns_stems_of_each_language(spark, spoken):
         assert np.mean([got[i]["predicted"] for i, k, x, _ in test if x and k == lang]) > 0.9
 
 
+def test_toxicity_learns_from_every_labelled_document(spark):
+    rng = random.Random(6)
+    rows = [(i, "de" if i % 8 == 3 else "en", int(i % 10 == 1)) for i in range(9000)]
+    rows = [(i, lang, x, speech(rng, lang, x)) for i, lang, x in rows]
+    docs = spark.createDataFrame([(i, t, lang) for i, lang, _, t in rows], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, x) for i, _, x, _ in rows], "doc_id bigint, toxic int")
+    m = toxicity.train(docs, labels)
+    learned = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    n = np.array([sum(r[1] == lang for r in learned) for lang in ("de", "en")])
+    assert m.langs == ["de", "en"] and np.allclose(m.prior, np.log(n / n.sum()))
+    # Frequencies of features, from all texts too.
+    for k, lang in enumerate(m.langs):
+        corpus = toxicity.Corpus.of(pa.array([r[3] for r in learned if r[1] == lang]))
+        counts = toxicity.speech_counts(corpus, np.arange(n[k])) + 1
+        assert np.allclose(m.speech[:, k], np.log(counts / counts.sum()), atol=1e-5)
+    test = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5 == 0]
+    right = (m.score(pa.array([r[3] for r in test])) >= 0.5) == np.array([r[2] for r in test])
+    assert right.mean() > 0.97, right.mean()
+
+
+def test_toxicity_shards_and_tasks_learn_one_model(spark, spoken):
+    docs = spark.createDataFrame([(i, t, lang) for i, lang, _, t in spoken], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, x) for i, _, x, _ in spoken], "doc_id bigint, toxic int")
+    test = [r for r in spoken if zlib.crc32(str(r[0]).encode()) % 5 == 0]
+    a, b = (toxicity.train(docs, labels, size=300) for _ in range(2))
+    s = a.score(pa.array([r[3] for r in test]))
+    assert np.array_equal(s, b.score(pa.array([r[3] for r in test])))
+    assert ((s >= 0.5) == np.array([r[2] for r in test])).mean() > 0.95
+
+
+def test_sums_of_rows_and_thresholds_equal_plain_loops():
+    rng = np.random.default_rng(3)
+    many = np.r_[0, rng.integers(0, 30, 5000), 250, 100, 99]
+    starts, table = np.cumsum(many) - many, rng.normal(size=(500, 4)).astype(np.float32)
+    features = rng.integers(0, 500, many.sum())
+    want = [table[features[a : a + n]].sum(axis=0) / np.sqrt(max(n, 1)) for a, n in zip(starts, many, strict=True)]
+    assert np.allclose(toxicity.sum_rows(table, features, starts, many), want, atol=1e-4)
+    z, toxic, clean = np.arange(6) / 2, np.array([0, 1, 0, 3, 0, 2]), np.array([5, 0, 2, 1, 0, 0])
+
+    def f1(t):
+        hit = toxic[z >= t].sum()
+        return 2 * hit / (hit + clean[z >= t].sum() + toxic.sum())
+
+    assert toxicity.best_threshold(z, toxic, clean) == max((z[1:] + z[:-1]) / 2, key=f1)
+
+
 def test_toxicity_depends_on_text_alone_and_on_all_of_it(spoken):
     m = toxicity.fit([r[3] for r in spoken], [r[2] for r in spoken], [r[1] for r in spoken])
     clean = " ".join(r[3] for r in spoken if not r[2] and r[1] == "en")

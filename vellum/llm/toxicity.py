@@ -9,12 +9,14 @@ block of texts.
 
 Thresholds are calibrated by language: the language is guessed from the text itself, by
 multinomial naive Bayes over the same hashed features, and each language's threshold
-becomes a score of 0.5. The model is fitted on a bounded sample of the labelled documents; its size is fixed but for one column
-a language, and it is broadcast.
+becomes a score of 0.5. The model is fitted on all labelled documents, by tasks whose models are averaged after every
+round; its size is fixed but for one column a language, and it is broadcast.
 """
 
 from __future__ import annotations
 
+import copy
+import math
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -22,23 +24,34 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import batch, id_text, materialize, text_blocks
+from vellum.llm.common import batch, forget, id_text, materialize, text_blocks
+from vellum.llm.simhash import MOST_BITS, _id_filter
 
 #: Hashed rows (2**BITS) and their length, filter widths, filters of each width.
 BITS, DIM, WIDTHS, FILTERS = 17, 16, (1, 2, 3), 16
-#: Bounds of the sample that the driver gathers: documents with label 1, with label 0, and characters in all (expected).
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 2500, 3500, 16_000_000
-#: Texts of the sample that a feature must be in.
+#: Labelled texts and characters of a shard, on average.
+SHARD_TEXTS, SHARD_CHARS = 5000, 16_000_000
+#: Texts that a feature must be in.
 LEAST_TEXTS = 3
 EPOCHS, BATCH, RATE = 4, 32, 0.08
 #: Toxic documents of a language in the calibration set from which it has a threshold of its own.
 LEAST_TOXIC = 8
 #: Bytes of text scored at a time, positions whose responses are held at a time.
 BLOCK_BYTES, POSITIONS = 4 << 20, 1 << 17
+#: Words of so many features are summed one by one.
+LONG_WORD = 100
+#: Thresholds are set on logits in steps of 1 / STEPS, up to MOST_LOGIT from zero.
+STEPS, MOST_LOGIT = 1024, 64
+#: Numbers of an array that are added up as one row; languages whose counts a task holds.
+SLICE, LANGS_HELD = 1 << 15, 16
 PADDING = max(WIDTHS)
+_PLAIN = pa.schema([("id", pa.int64()), ("lang", pa.string()), ("text", pa.string())])
+_SLICES, _SLICES_DDL = pa.schema([("source", pa.int32()), ("key", pa.string()), ("slice", pa.int32()), ("values", pa.binary())]), "source int, key string, slice int, values binary"
+_LOGITS = pa.schema([(x, pa.int64()) for x in ("guessed", "label", "step", "n")])
 _OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
 
 
@@ -71,21 +84,38 @@ def word_features(words: list[str], bits: int = BITS) -> tuple[np.ndarray, np.nd
     return hashes[order].astype(np.int64), np.searchsorted(of[order], np.arange(len(words)))
 
 
-def sum_rows(table: np.ndarray, features: np.ndarray, starts: np.ndarray, many: np.ndarray) -> np.ndarray:
-    """For each word the sum of its features' rows, divided by the root of their number; words of one number at a time."""
+def sum_rows(table: np.ndarray, features: np.ndarray, starts: np.ndarray, many: np.ndarray, roots: np.ndarray | None = None) -> np.ndarray:
+    """For each word the sum of its features' rows, divided by ``roots``, or the root of their number: of all words' first features, then the second ones."""
     out = np.zeros((len(starts), table.shape[1]), np.float32)
-    for n in np.unique(many).tolist():
-        at = np.flatnonzero(many == n)
-        step = max(1, (1 << 16) // n)
-        for lo in range(0, len(at), step):
-            some = at[lo : lo + step]
-            out[some] = table[features[starts[some][:, None] + np.arange(n)]].sum(axis=1) / np.float32(np.sqrt(n))
-    return out
+    order = np.argsort(-many, kind="stable")
+    counts, first = many[order], starts[order]
+    # Few words are that long; each is summed by itself.
+    long = int(np.searchsorted(-counts, -LONG_WORD))
+    for k in range(long):
+        for lo in range(0, counts[k], 1 << 16):
+            out[order[k]] += table[features[first[k] + lo : first[k] + min(lo + (1 << 16), counts[k])]].sum(axis=0)
+    for lo in range(long, len(order), 1 << 12):
+        hi = min(lo + (1 << 12), len(order))
+        some = np.zeros((hi - lo, table.shape[1]), np.float32)
+        ends = np.searchsorted(-counts[lo:hi], -np.arange(counts[lo]))
+        for j, n in enumerate(ends.tolist()):
+            some[:n] += table.take(features[first[lo : lo + n] + j], axis=0, mode="clip")
+        out[order[lo:hi]] = some
+    return out / (np.sqrt(np.maximum(many, 1), dtype=np.float32) if roots is None else roots)[:, None]
+
+
+def plain_texts(texts: pa.Array) -> pa.Array:
+    """Texts lower-cased, with a space for all that is between runs of letters, digits and low lines. No text is null."""
+    return pc.replace_substring_regex(pc.utf8_lower(texts.cast(pa.string())), r"[^\pL\pN_]+", " ")
 
 
 def words_of(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(distinct words, the texts' words as places in them, how many each text has); words are runs of letters, digits and low lines, lower-cased. No text is null."""
-    plain = pc.replace_substring_regex(pc.utf8_lower(texts.cast(pa.string())), r"[^\pL\pN_]+", " ")
+    """``plain_words`` of texts; words are runs of letters, digits and low lines, lower-cased. No text is null."""
+    return plain_words(plain_texts(texts))
+
+
+def plain_words(plain: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(distinct words, the texts' words as places in them, how many each text has) of texts between spaces."""
     split = pc.split_pattern(plain, " ")
     coded = split.flatten().dictionary_encode()
     words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
@@ -167,10 +197,10 @@ def pool(x: np.ndarray, flat: np.ndarray, first: np.ndarray, windows: np.ndarray
         some = np.flatnonzero((ends > lo) & (first < hi))
         if not len(some):
             continue
-        response = projected[0][flat[lo:hi]]
+        response = projected[0].take(flat[lo:hi], axis=0, mode="clip")
         for j in range(1, len(filters)):
             behind = flat[lo + j : hi + j]
-            response[: len(behind)] += projected[j][behind]
+            response[: len(behind)] += projected[j].take(behind, axis=0, mode="clip")
         edges = np.stack([np.maximum(first[some], lo) - lo, np.minimum(ends[some], hi) - lo], axis=1).ravel()
         # reduceat takes no end at the array's end: a row that nothing reads stands behind it.
         response = np.vstack([response, np.full((1, response.shape[1]), -np.inf, np.float32)])
@@ -188,7 +218,7 @@ def untrained(seed: int = 0) -> Model:
 
 @dataclass
 class Corpus:
-    """Texts as numbers of distinct words, text i's up to ``ends[i]``; features of word w from ``starts[w]`` on, ``many[w]`` of them."""
+    """Texts as numbers of distinct words, text i's up to ``ends[i]``; features of word w from ``starts[w]`` on, ``many[w]`` of them. ``roots[w]`` is the root of their number before any were left out."""
 
     words: list[str]
     ids: np.ndarray
@@ -196,17 +226,24 @@ class Corpus:
     features: np.ndarray
     starts: np.ndarray
     many: np.ndarray
+    roots: np.ndarray
 
     @classmethod
-    def of(cls, texts: list[str], at_a_time: int = 50_000) -> Corpus:
-        words, ids, sizes = words_of(pa.array(texts, pa.string()))
-        found, many = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    def of(cls, plain: pa.Array, common: np.ndarray | None = None, at_a_time: int = 50_000) -> Corpus:
+        """Of texts as ``plain_texts`` gives them; with only their ``common`` features, if given."""
+        words, ids, sizes = plain_words(plain)
+        found, many, roots = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0, np.float32)]
         for lo in range(0, len(words), at_a_time):
             features, starts = word_features(words[lo : lo + at_a_time])
+            n = np.diff(np.r_[starts, len(features)])
+            roots.append(np.sqrt(n, dtype=np.float32))
+            if common is not None:
+                keep = common[features]
+                features, n = features[keep], np.add.reduceat(keep, starts, dtype=np.int64)
             found.append(features.astype(np.int32))
-            many.append(np.diff(np.r_[starts, len(features)]))
+            many.append(n)
         many = np.concatenate(many)
-        return cls(words, ids.astype(np.int32), sizes, np.concatenate(found), np.cumsum(many) - many, many)
+        return cls(words, ids.astype(np.int32), sizes, np.concatenate(found), np.cumsum(many) - many, many, np.concatenate(roots))
 
     def __post_init__(self) -> None:
         self.ends = np.cumsum(self.sizes)
@@ -220,48 +257,98 @@ class Corpus:
         return self.features[np.repeat(self.starts[words] - np.cumsum(n) + n, n) + np.arange(n.sum())]
 
 
-def train_filters(corpus: Corpus, texts: np.ndarray, labels: np.ndarray, epochs: int = EPOCHS, seed: int = 0) -> Model:
-    """Adagrad on the logistic loss of the corpus's numbered ``texts``, both labels with equal weight. A maximum's gradient goes to the window that holds it."""
-    m, rng = untrained(seed), np.random.default_rng(seed)
-    if not len(labels) or labels.min() == labels.max():
-        m.weights[:] = 0
-        m.bias = 0.0 if not len(labels) else (4.0 if labels[0] else -4.0)
-        return m
-    # A feature of few texts tells these texts apart, not the labels: its row is zero and stays so.
-    met = np.zeros(1 << BITS, np.int64)
-    for i in texts.tolist():
-        met[np.unique(corpus.features_of(np.unique(corpus.text(i))))] += 1
-    common = met >= LEAST_TEXTS
-    m.rows[~common] = 0
-    share = labels.mean()
-    weight = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
-    squares = {"rows": np.full(1 << BITS, 1e-6), "offsets": np.full(len(m.offsets), 1e-6), "weights": np.full(len(m.weights), 1e-6), "bias": 1e-6, "filters": [np.full(f.shape, 1e-6) for f in m.filters]}
-    for _ in range(epochs):
+def texts_with(corpus: Corpus, texts: Iterable[int]) -> np.ndarray:
+    """For each feature, in how many of the numbered texts it is."""
+    met, seen = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, bool)
+    for i in texts:
+        seen[:] = False
+        seen[corpus.features_of(np.unique(corpus.text(i)))] = True
+        met += seen
+    return met
+
+
+def speech_counts(corpus: Corpus, texts: np.ndarray, at_a_time: int = 50_000) -> np.ndarray:
+    """How often each feature occurs in the numbered texts."""
+    seen = np.bincount(np.concatenate([corpus.text(i) for i in texts.tolist()]), minlength=len(corpus.words))
+    used, out = np.flatnonzero(seen), np.zeros(1 << BITS, np.int64)
+    for lo in range(0, len(used), at_a_time):
+        some = used[lo : lo + at_a_time]
+        out += np.bincount(corpus.features_of(some), np.repeat(seen[some], corpus.many[some]), minlength=1 << BITS).astype(np.int64)
+    return out
+
+
+def set_languages(m: Model, counts: dict[str, np.ndarray], docs: dict[str, int]) -> None:
+    """Log-probabilities of features in each language, with add-one smoothing.
+
+    A word's is a sum over its features, divided by the root of their number like its embedding.
+    """
+    m.langs = sorted(docs)
+    if not m.langs:
+        return
+    m.speech = np.empty((1 << BITS, len(m.langs)), np.float32)
+    for k, lang in enumerate(m.langs):
+        n = counts.get(lang, np.zeros(1 << BITS, np.int64)) + 1.0
+        m.speech[:, k] = np.log(n / n.sum())
+    many = np.array([docs[x] for x in m.langs])
+    m.prior = np.log(many / many.sum())
+
+
+class Learner:
+    """A model in training: Adagrad on the logistic loss, both labels with equal weight. A maximum's gradient goes to the window that holds it.
+
+    ``common`` marks the features with a row. A feature of few texts tells these texts apart, not the labels: its row is zero and stays so.
+    """
+
+    def __init__(self, common: np.ndarray, share: float, seed: int = 0) -> None:
+        self.model, self.common, self.share = untrained(seed), common, share
+        m = self.model
+        m.rows[~common] = 0
+        self.squares = {"rows": np.full(1 << BITS, 1e-6, np.float32), "offsets": np.full(len(m.offsets), 1e-6), "weights": np.full(len(m.weights), 1e-6), "bias": np.full(1, 1e-6)}
+        self.squares |= {k: np.full(f.shape, 1e-6) for k, f in enumerate(m.filters)}
+
+    def small(self) -> np.ndarray:
+        """Everything but the rows and their squares, one after the other."""
+        m, q = self.model, self.squares
+        return np.concatenate([np.ravel(x) for x in (*m.filters, m.offsets, m.weights, m.bias, *(q[k] for k in (*range(len(m.filters)), "offsets", "weights", "bias")))])
+
+    def set_small(self, values: np.ndarray) -> None:
+        m, at = self.model, 0
+
+        def take(like: np.ndarray) -> np.ndarray:
+            nonlocal at
+            at += like.size
+            return values[at - like.size : at].reshape(like.shape).astype(like.dtype)
+
+        m.filters = [take(f) for f in m.filters]
+        m.offsets, m.weights, m.bias = take(m.offsets), take(m.weights), float(take(np.zeros(1))[0])
+        self.squares |= {k: take(self.squares[k]) for k in (*range(len(m.filters)), "offsets", "weights", "bias")}
+
+    def learn(self, corpus: Corpus, labels: np.ndarray, rng: np.random.Generator) -> None:
+        """One pass over the texts of a corpus of common features, in random order."""
+        m, q = self.model, self.squares
+        weight = np.where(labels == 1, 0.5 / self.share, 0.5 / (1 - self.share))
+
+        def step(name: str | int, value: np.ndarray, grad: np.ndarray) -> np.ndarray:
+            q[name] += grad * grad
+            return (value - RATE * grad / np.sqrt(q[name])).astype(np.float32)
+
         for some in np.array_split(rng.permutation(len(labels)), max(1, len(labels) // BATCH)):
-            lines = [corpus.text(texts[i]) for i in some.tolist()]
+            lines = [corpus.text(i) for i in some.tolist()]
             sizes = np.array(list(map(len, lines)))
             used, local = np.unique(np.concatenate(lines), return_inverse=True)
             lengths = corpus.many[used]
             x = np.zeros((len(used) + 1, DIM), np.float32)
-            x[:-1] = sum_rows(m.rows, corpus.features, corpus.starts[used], lengths)
+            x[:-1] = sum_rows(m.rows, corpus.features, corpus.starts[used], lengths, corpus.roots[used])
             flat, first = padded(local, sizes, len(used))
-            best, tops = [], []
-            for f in m.filters:
-                projected = [x @ g for g in f]
-                response = projected[0][flat]
-                for j in range(1, len(f)):
-                    response[:-j] += projected[j][flat[j:]]
-                top = np.stack([a + response[a : a + n + 1].argmax(axis=0) for a, n in zip(first.tolist(), sizes.tolist(), strict=True)])
-                tops.append(top)
-                best.append(np.take_along_axis(response, top, axis=0))
-            pooled = np.concatenate(best, axis=1) + m.offsets
+            found = [tops(x, flat, first, sizes + 1, f) for f in m.filters]
+            pooled = np.concatenate([best for best, _ in found], axis=1) + m.offsets
             active = np.maximum(pooled, 0)
             z = active @ m.weights + m.bias
             g = ((1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[some]) * weight[some] / len(some)).astype(np.float32)
             back = np.where(pooled > 0, g[:, None] * m.weights, 0).astype(np.float32)
             dx = np.zeros_like(x)
             grads = []
-            for k, (f, top) in enumerate(zip(m.filters, tops, strict=True)):
+            for k, (f, (_, top)) in enumerate(zip(m.filters, found, strict=True)):
                 mine = back[:, k * FILTERS : (k + 1) * FILTERS]
                 df = np.zeros_like(f)
                 for j in range(len(f)):
@@ -269,132 +356,265 @@ def train_filters(corpus: Corpus, texts: np.ndarray, labels: np.ndarray, epochs:
                     df[j] = np.einsum("ifd,if->df", x[hit], mine)
                     np.add.at(dx, hit.ravel(), (mine[:, :, None] * f[j].T[None]).reshape(-1, DIM))
                 grads.append(df)
-
-            def step(name: str, value, grad):
-                squares[name] = squares[name] + grad * grad
-                return value - RATE * grad / np.sqrt(squares[name])
-
-            for k, df in enumerate(grads):
-                squares["filters"][k] += df * df
-                m.filters[k] = (m.filters[k] - RATE * df / np.sqrt(squares["filters"][k])).astype(np.float32)
-            m.weights = step("weights", m.weights, active.T @ g).astype(np.float32)
-            m.offsets = step("offsets", m.offsets, back.sum(axis=0)).astype(np.float32)
-            m.bias = float(step("bias", m.bias, float(g.sum())))
-            touched = np.flatnonzero(np.any(dx[:-1], axis=1))
+            m.filters = [step(k, f, df) for k, (f, df) in enumerate(zip(m.filters, grads, strict=True))]
+            m.weights = step("weights", m.weights, active.T @ g)
+            m.offsets = step("offsets", m.offsets, back.sum(axis=0))
+            m.bias = float(step("bias", np.array([m.bias]), g.sum(keepdims=True))[0])
+            touched = np.flatnonzero(np.any(dx[:-1], axis=1) & (lengths > 0))
             if len(touched):
-                n = lengths[touched]
-                grad = np.repeat(dx[touched] / np.sqrt(n)[:, None].astype(np.float32), n, axis=0)
+                grad = np.repeat(dx[touched] / corpus.roots[used[touched]][:, None], lengths[touched], axis=0)
                 rows, inverse = np.unique(corpus.features_of(used[touched]), return_inverse=True)
                 total = np.zeros((len(rows), DIM), np.float32)
                 np.add.at(total, inverse, grad)
-                total[~common[rows]] = 0
-                squares["rows"][rows] += (total * total).mean(axis=1)
-                m.rows[rows] -= (RATE * total / np.sqrt(squares["rows"][rows])[:, None]).astype(np.float32)
-    return m
+                q["rows"][rows] += (total * total).mean(axis=1)
+                m.rows[rows] -= RATE * total / np.sqrt(q["rows"][rows])[:, None]
+
+
+def tops(x: np.ndarray, flat: np.ndarray, first: np.ndarray, windows: np.ndarray, filters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Like ``pool``, with the place in ``flat`` where each largest response begins."""
+    projected = [x @ f for f in filters]
+    best, top = np.full((len(first), filters.shape[2]), -np.inf, np.float32), np.zeros((len(first), filters.shape[2]), np.int64)
+    ends = first + windows
+    for lo in range(0, len(flat), POSITIONS):
+        hi = min(lo + POSITIONS, len(flat))
+        response = projected[0].take(flat[lo:hi], axis=0, mode="clip")
+        for j in range(1, len(filters)):
+            behind = flat[lo + j : hi + j]
+            response[: len(behind)] += projected[j].take(behind, axis=0, mode="clip")
+        for i in np.flatnonzero((ends > lo) & (first < hi)).tolist():
+            a = max(int(first[i]), lo) - lo
+            mine = response[a : min(int(ends[i]), hi) - lo]
+            at = mine.argmax(axis=0)
+            value = mine[at, np.arange(mine.shape[1])]
+            better = value > best[i]
+            best[i][better], top[i][better] = value[better], at[better] + a + lo
+    return best, top
+
+
+def best_threshold(z: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> float:
+    """The middle of the gap between two logits that gives label 1 the best F1 measure; of equals the widest gap. ``z`` ascends without repeats, with the numbers of texts of either label."""
+    if len(z) == 1:
+        return float(z[0])
+    s, y, n = z[::-1], toxic[::-1], (toxic + clean)[::-1]
+    f1 = 2 * np.cumsum(y)[:-1] / (np.cumsum(n)[:-1] + y.sum())
+    k = int(np.lexsort((s[1:] - s[:-1], -f1))[0])
+    return float((s[k] + s[k + 1]) / 2)
 
 
-def learn_languages(m: Model, corpus: Corpus, langs: list[str | None], at_a_time: int = 50_000) -> None:
-    """Log-probabilities of features in each language, with add-one smoothing; texts without a language aren't used.
+def steps_of(z: np.ndarray) -> np.ndarray:
+    """Logits as whole numbers of 1 / STEPS."""
+    return np.rint(np.clip(z, -MOST_LOGIT, MOST_LOGIT) * STEPS).astype(np.int64)
 
-    A word's is a sum over its features, divided by the root of their number like its embedding.
+
+def calibrate(m: Model, guessed: np.ndarray, labels: np.ndarray, steps: np.ndarray, n: np.ndarray) -> None:
+    """A threshold for each language with enough toxic documents, that of all texts for the others; and one temperature.
+
+    ``n`` texts of a language, a label and a logit in ``steps_of``, of all texts that thresholds are set on.
     """
-    m.langs = sorted({x for x in langs if x is not None})
-    if not m.langs:
-        return
-    counts = np.ones((1 << BITS, len(m.langs)))
-    for k, lang in enumerate(m.langs):
-        mine = [i for i, x in enumerate(langs) if x == lang]
-        seen = np.bincount(np.concatenate([corpus.text(i) for i in mine]), minlength=len(corpus.words))
-        used = np.flatnonzero(seen)
-        for lo in range(0, len(used), at_a_time):
-            some = used[lo : lo + at_a_time]
-            counts[:, k] += np.bincount(corpus.features_of(some), np.repeat(seen[some], corpus.many[some]), minlength=1 << BITS)
-    docs = np.array([sum(x == lang for x in langs) for lang in m.langs])
-    m.speech = np.log(counts / counts.sum(axis=0)).astype(np.float32)
-    m.prior = np.log(docs / docs.sum())
-
-
-def best_threshold(z: np.ndarray, labels: np.ndarray) -> float:
-    """The middle of the gap between two logits that gives label 1 the best F1 measure; of equals the widest gap."""
-    order = np.argsort(-z, kind="stable")
-    s, y = z[order], labels[order]
-    gaps = s[:-1] - s[1:]
-    f1 = 2 * np.cumsum(y)[:-1] / (np.arange(1, len(y)) + y.sum())
-    k = int(np.lexsort((-gaps, -np.where(gaps > 0, f1, -1)))[0])
-    return float((s[k] + s[k + 1]) / 2)
 
+    def threshold(some: np.ndarray) -> float:
+        z, place = np.unique(steps[some], return_inverse=True)
+        toxic = np.bincount(place, n[some] * labels[some], len(z))
+        return best_threshold(z / STEPS, toxic, np.bincount(place, n[some], len(z)) - toxic)
 
-def calibrate(m: Model, z: np.ndarray, guessed: np.ndarray, labels: np.ndarray) -> None:
-    """A threshold for each language with enough toxic documents, that of all texts for the others; and one temperature."""
-    both = len(labels) and labels.min() != labels.max()
-    common = best_threshold(z, labels) if both else 0.0
-    m.thresholds = np.full(max(1, len(m.langs)), common)
+    both = (labels == 1).any() and (labels == 0).any()
+    m.thresholds = np.full(max(1, len(m.langs)), threshold(np.ones(len(n), bool)) if both else 0.0)
     for k in range(len(m.langs)):
         mine = guessed == k
-        if (labels[mine] == 1).sum() >= LEAST_TOXIC and (labels[mine] == 0).any():
-            m.thresholds[k] = best_threshold(z[mine], labels[mine])
+        if n[mine & (labels == 1)].sum() >= LEAST_TOXIC and (labels[mine] == 0).any():
+            m.thresholds[k] = threshold(mine)
     if both:
-        s = z - m.thresholds[guessed]
+        s = steps / STEPS - m.thresholds[guessed]
 
         def loss(t: float) -> float:
-            a = np.where(labels == 1, -s, s) / t
-            return float(np.logaddexp(0, a).mean())
+            return float(np.average(np.logaddexp(0, np.where(labels == 1, -s, s) / t), weights=n))
 
         m.temperature = min(np.exp(np.linspace(np.log(0.2), np.log(20), 60)).tolist(), key=loss)
 
 
+def one_label(label: int | None) -> Model:
+    """The model where all labels are equal, or none is given."""
+    m = untrained()
+    m.weights[:] = 0
+    m.bias = 0.0 if label is None else (4.0 if label else -4.0)
+    return m
+
+
 def fit(texts: list[str], labels: list[int], langs: list[str | None], epochs: int = EPOCHS, seed: int = 0) -> Model:
-    """The model of a sample: every fifth document is kept from the filters and sets thresholds and temperature."""
+    """The model of texts in memory, a single shard: every fifth is kept from the filters and sets thresholds and temperature."""
     y = np.array(labels, np.int64)
     rest = np.arange(len(y)) % 5 == 0
-    if len(y) < 10 or not (y[rest] == 1).any() or not (y[rest] == 0).any():
+    if not kept_apart([(int(a), int(b), 1) for a, b in zip(y, rest, strict=True)]):
         rest = np.zeros(len(y), bool)
-    corpus, learn = Corpus.of(texts), np.flatnonzero(~rest)
-    m = train_filters(corpus, learn, y[learn], epochs, seed)
-    learn_languages(m, corpus, langs)
-    del corpus
+    plain = plain_texts(pa.array(texts, pa.string()))
+    corpus, learn = Corpus.of(plain), np.flatnonzero(~rest)
+    if len(set(y[learn].tolist())) < 2:
+        m = one_label(int(y[0]) if len(y) else None)
+    else:
+        learner = Learner(texts_with(corpus, learn.tolist()) >= LEAST_TEXTS, y[learn].mean(), seed)
+        mine = Corpus.of(plain.take(pa.array(learn)), learner.common)
+        for k in range(epochs):
+            learner.learn(mine, y[learn], np.random.default_rng((seed, k)))
+        m = learner.model
+    spoken = {x: np.flatnonzero([x == y for y in langs]) for x in set(langs) - {None}}
+    set_languages(m, {x: speech_counts(corpus, i) for x, i in spoken.items()}, {x: len(i) for x, i in spoken.items()})
     test = np.flatnonzero(rest) if rest.any() else learn
-    chosen = [texts[i] for i in test.tolist()]
-    z, guessed = m.scores(pa.array(chosen, pa.string()))
-    calibrate(m, z, guessed, y[test])
+    z, guessed = m.scores(plain.take(pa.array(test)))
+    calibrate(m, guessed, y[test], steps_of(z), np.ones(len(test), np.int64))
     return m
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic", toxic: int = SAMPLE_TOXIC, clean: int = SAMPLE_CLEAN, chars: int = SAMPLE_CHARS) -> Model:
-    """The model of labelled documents whose CRC-32 of the id isn't divisible by 5.
+def kept_apart(counts: list[tuple[int, int, int]]) -> bool:
+    """Whether thresholds are set on texts of their own: of (label, whether kept apart, number of texts) either side has both labels."""
+    return sum(n for _, _, n in counts) >= 10 and all({label for label, apart, _ in counts if apart == side} == {0, 1} for side in (True, False))
+
 
-    The driver gathers about ``toxic`` and ``clean`` documents of either label, dealt
-    evenly to the languages, or fewer if they would hold over ``chars`` characters. They are drawn by a hash of id and text,
-    the same every time. Labels other than 0 and 1, null labels, ids and texts aren't learned from. Without labels
-    the model scores everything 0.5 or less.
+def _asked(shared, bits: int):
+    """Of documents (id, h, lang, text), as plain texts, those whose h, the first ``bits`` bits of their id's hash, is in the filter."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h = b.column(b.schema.get_field_index("h")).to_numpy()
+            for part in text_blocks([b.filter(pa.array((shared.value[h >> 6] >> (h & 63) & 1).astype(bool)))], limit=BLOCK_BYTES):
+                yield batch(_PLAIN, [part.column(part.schema.get_field_index(c)) for c in ("id", "lang")] + [plain_texts(part.column(part.schema.get_field_index("text")))])
+
+    return run
+
+
+def _slices(source: int, key: str | None, values: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for k, lo in enumerate(range(0, len(values), SLICE)):
+        yield batch(_SLICES, [[source], [key], [k], [values[lo : lo + SLICE].tobytes()]])
+
+
+def summed(parts: DataFrame, dtype: type) -> dict[str | None, np.ndarray]:
+    """Arrays by key, added up by Spark: the driver gathers one array a key. ``parts``: source, key, slice, values of the dtype."""
+
+    def add(table: pa.Table) -> pa.Table:
+        # In the order of the sources: a sum of floats depends on it.
+        table = table.sort_by("source")
+        total = np.sum([np.frombuffer(v.as_buffer(), dtype) for v in table.column("values")], axis=0, dtype=dtype)
+        return pa.table({"key": table.column("key").slice(0, 1), "slice": table.column("slice").slice(0, 1), "values": pa.array([total.tobytes()], pa.binary())})
+
+    out: dict[str | None, list] = {}
+    for r in parts.groupBy("key", "slice").applyInArrow(add, "key string, slice int, values binary").toArrow().sort_by("slice").to_pylist():
+        out.setdefault(r["key"], []).append(np.frombuffer(r["values"], dtype))
+    return {k: np.concatenate(v) for k, v in out.items()}
+
+
+def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often features occur by language; for key null, in how many of the texts that filters learn from."""
+    met, spoken, source = np.zeros(1 << BITS, np.int64), {}, None
+    for part in text_blocks(batches, limit=BLOCK_BYTES):
+        source = TaskContext.get().partitionId()
+        corpus = Corpus.of(part.column(part.schema.get_field_index("text")))
+        met += texts_with(corpus, np.flatnonzero(~np.array(part.column(part.schema.get_field_index("rest")))).tolist())
+        langs = part.column(part.schema.get_field_index("lang")).dictionary_encode()
+        codes = langs.indices.fill_null(-1).to_numpy()
+        for k, lang in enumerate(langs.dictionary.to_pylist()):
+            spoken[lang] = spoken.get(lang, 0) + speech_counts(corpus, np.flatnonzero(codes == k))
+            if len(spoken) >= LANGS_HELD:
+                for x in sorted(spoken):
+                    yield from _slices(source, x, spoken[x])
+                spoken = {}
+    if source is not None:
+        for x in sorted(spoken):
+            yield from _slices(source, x, spoken[x])
+        yield from _slices(source, None, met)
+
+
+def _learned(shared, round_: int, seed: int):
+    """What a task's pass changes in the learner, times its texts: rows, squares of rows, texts of a task that changed a row, everything else, texts."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given, source, n = shared.value, TaskContext.get().partitionId(), 0
+        mine, rng = copy.deepcopy(given), np.random.default_rng((seed, round_, source))
+        for part in text_blocks(batches, limit=BLOCK_BYTES):
+            mine.learn(Corpus.of(part.column(part.schema.get_field_index("text")), given.common), part.column(part.schema.get_field_index("label")).to_numpy(), rng)
+            n += part.num_rows
+        if n:
+            squares = mine.squares["rows"] - given.squares["rows"]
+            change = np.concatenate([(mine.model.rows - given.model.rows).ravel(), squares, squares > 0, mine.small() - given.small(), [1.0]]) * n
+            yield from _slices(source, None, change.astype(np.float32))
+
+    return run
+
+
+def join_learned(learner: Learner, total: np.ndarray) -> None:
+    """The learner of the next round: the mean of the tasks, weighted by their texts; of a row that of the tasks that changed it."""
+    n = 1 << BITS
+    rows, squares, by, small = np.split(total, [n * DIM, n * (DIM + 1), n * (DIM + 2)])
+    by = np.maximum(by, 1)
+    learner.model.rows += (rows.reshape(n, DIM) / by[:, None]).astype(np.float32)
+    learner.squares["rows"] += (squares / by).astype(np.float32)
+    learner.set_small(learner.small() + small[:-1] / small[-1])
+
+
+def _logits(shared):
+    """(guessed language, label, step, texts) of the texts of each block."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_blocks(batches, limit=BLOCK_BYTES):
+            z, guessed = shared.value.scores(part.column(part.schema.get_field_index("text")))
+            found, n = np.unique(np.stack([guessed, part.column(part.schema.get_field_index("label")).to_numpy(), steps_of(z)]), axis=1, return_counts=True)
+            yield batch(_LOGITS, [*found, n])
+
+    return run
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic", size: int = SHARD_TEXTS, chars: int = SHARD_CHARS, epochs: int = EPOCHS, seed: int = 0) -> Model:
+    """The model of all labelled documents whose CRC-32 of the id isn't divisible by 5.
+
+    They are dealt by their id to shards of about ``size`` texts or ``chars`` characters, and these to tasks. In each of ``epochs`` rounds
+    every task learns all its texts, from the model of the round before, and the models of the tasks are averaged. A fifth of the
+    documents, by another hash, is kept from the filters and sets thresholds and temperature; counts of features by language
+    are of all. The driver holds the model and sums, no texts. Labels other than 0 and 1, null labels, ids and texts
+    aren't learned from; a row of ``docs`` counts each time it stands there. Without labels the model scores everything 0.5 or less.
     """
     spark = docs.sparkSession
     marked = labels.select(F.col(id_col).cast("bigint").alias("id"), F.col(label_col).cast("int").alias("label")).where("id is not null and label in (0, 1) and crc32(encode(cast(id as string), 'UTF-8')) % 5 <> 0").distinct()
     own = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("id is not null and text is not null")
-    # Texts are shuffled for none but the sample: what is joined first are their hashes and lengths.
-    known, _ = materialize(own.select("id", "lang", F.char_length("text").alias("size"), F.xxhash64("text").alias("h")).join(marked, "id"), "toxic-labelled")
-    sizes = known.groupBy("label", "lang").agg(F.count("*").alias("n"), F.avg("size").alias("size")).collect()
-    if not sizes:
-        return fit([], [], [])
-    wanted = {(r["label"], r["lang"]): min(r["n"], max(1, (toxic if r["label"] else clean) / sum(x["label"] == r["label"] for x in sizes))) for r in sizes}
-    # What small languages leave is dealt to the others.
-    for label, most in ((1, toxic), (0, clean)):
-        mine = sorted((r for r in sizes if r["label"] == label), key=lambda r: r["n"])
-        for i, r in enumerate(mine):
-            take = min(r["n"], max(1, most / (len(mine) - i)))
-            wanted[label, r["lang"]], most = take, most - take
-    over = min(1.0, chars / max(1, sum(wanted[r["label"], r["lang"]] * r["size"] for r in sizes)))
-    shares = spark.createDataFrame([(r["label"], r["lang"], int((1 << 30) * over * wanted[r["label"], r["lang"]] / r["n"])) for r in sizes], "label int, lang string, share bigint")
-    # One small row for each label and language.
-    near = F.broadcast(shares.select(F.col("label").alias("__label"), F.col("lang").alias("__lang"), "share"))
-    drawn = known.join(near, (F.col("label") == F.col("__label")) & F.col("lang").eqNullSafe(F.col("__lang"))).where(F.pmod(F.xxhash64("id", "h"), F.lit(1 << 30)) < F.col("share"))
-    # As many rows as the sample has, by its bounds.
-    drawn = F.broadcast(drawn.select("id", "h", "label", F.col("lang").alias("__lang")).distinct())
-    on = (own.id == drawn.id) & (F.xxhash64(own.text) == drawn.h) & own.lang.eqNullSafe(drawn["__lang"])
-    sample = own.join(drawn, on).select(own.id, "h", "label", "lang", "text").distinct().toArrow().sort_by([("id", "ascending"), ("h", "ascending"), ("label", "ascending"), ("lang", "ascending")])
-    order = np.argsort(np.array([zlib.crc32(f"{i}:{h}".encode()) for i, h in zip(sample.column("id").to_pylist(), sample.column("h").to_pylist(), strict=True)], np.int64), kind="stable")
-    sample = sample.take(pa.array(order))
-    return fit(sample.column("text").to_pylist(), sample.column("label").to_pylist(), sample.column("lang").to_pylist())
+    rest = F.pmod(F.xxhash64("id", F.lit("rest")), F.lit(5)) == 0
+    known, known_path = materialize(own.select("id", "lang", F.char_length("text").alias("size")).join(marked, "id").withColumn("rest", rest), "toxic-labelled")
+    found = known.groupBy("label", "rest", "lang").agg(F.count("*").alias("n"), F.sum("size").alias("size")).collect()
+    if not found:
+        return one_label(None)
+    apart = kept_apart([(r["label"], r["rest"], r["n"]) for r in found])
+    n = sum(r["n"] for r in found)
+    shards = max(1, -(-n // size), -(-sum(r["size"] for r in found) // chars))
+    # Texts without a label aren't shuffled: a filter of bounded size tells most of them, the join the rest.
+    bits = min(MOST_BITS, max(16, (32 * n).bit_length()))
+    asked = spark.sparkContext.broadcast(_id_filter(known.select(F.col("id").alias("rep")), bits))
+    plain = own.select("id", F.shiftrightunsigned(F.xxhash64("id"), 64 - bits).alias("h"), "lang", "text").mapInArrow(_asked(asked, bits), "id bigint, lang string, text string")
+    # Both sides are dealt to the shards, so that the join moves a text once; the table has a file a shard.
+    dealt = plain.repartition(shards, "id").join(marked.repartition(shards, "id"), "id").select((rest if apart else F.lit(False)).alias("rest"), "id", "label", "lang", "text")
+    ordered = dealt.sortWithinPartitions("rest", F.xxhash64("id", F.lit("order")), "id", "label", "lang", "text")
+    table, table_path = materialize(ordered.drop("id"), "toxic-shards")
+    # What tasks hand over is as large as the model, so their number grows only with the root of that of the shards.
+    table = table.coalesce(min(shards, 2 * math.ceil(math.sqrt(shards))))
+    forget(spark, known_path)
+    learn = [r for r in found if not (apart and r["rest"])]
+    toxic = sum(r["n"] for r in learn if r["label"])
+    counts = summed(table.mapInArrow(_counts, _SLICES_DDL), np.int64)
+    if len({r["label"] for r in learn}) < 2:
+        m = one_label(learn[0]["label"])
+    else:
+        learner = Learner(counts[None] >= LEAST_TEXTS, toxic / sum(r["n"] for r in learn), seed)
+        for k in range(epochs):
+            shared = spark.sparkContext.broadcast(learner)
+            join_learned(learner, summed(table.where("not rest").mapInArrow(_learned(shared, k, seed), _SLICES_DDL), np.float32)[None])
+            shared.destroy()
+        m = learner.model
+    docs_of: dict[str, int] = {}
+    for r in found:
+        if r["lang"] is not None:
+            docs_of[r["lang"]] = docs_of.get(r["lang"], 0) + r["n"]
+    set_languages(m, counts, docs_of)
+    shared = spark.sparkContext.broadcast(m)
+    logits = table.where("rest" if apart else "true").mapInArrow(_logits(shared), "guessed bigint, label bigint, step bigint, n bigint").groupBy("guessed", "label", "step").agg(F.sum("n").alias("n")).toArrow()
+    calibrate(m, *(logits.column(c).to_numpy() for c in ("guessed", "label", "step", "n")))
+    shared.destroy()
+    forget(spark, table_path)
+    return m
 
 
 def toxicity(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic", model: Model | None = None) -> DataFrame:
